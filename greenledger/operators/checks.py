@@ -6,10 +6,9 @@ Failure counts follow the usual data-test conventions:
     accepted_values distinct non-NULL values outside the list
     unique          distinct non-NULL keys that occur more than once
 
-Plan: all row-level checks (not_null, expression) of a model share ONE
-global aggregate (partial per task, one small final merge); accepted_values
-and unique each run one grouped aggregate, which partial-aggregates map-side
-so a hot value is reduced before its shuffle.
+Plan: all not_null, expression and accepted_values checks of a model share
+ONE scan and one partially-aggregated shuffle of their failures; each unique
+check is one grouped count on its key.
 """
 
 from __future__ import annotations
@@ -63,31 +62,47 @@ def _key(check: Check) -> Column:
     return F.expr(check.column)
 
 
-def _row_level(df: DataFrame, model: str, checks: list[Check]) -> DataFrame | None:
-    if not checks:
-        return None
-    aggs = []
+def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
+    """not_null, expression and accepted_values checks in ONE pass.
+
+    Each row emits a (check, value) pair per failed check (value NULL for
+    row-level checks) through a ``concat`` of one-element arrays; pairs are
+    counted with a partial aggregate, so only distinct failures per task are
+    shuffled. A local catalogue of the checks fills in zero failures.
+    """
+    spark = df.sparkSession
+    pair = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.StringType())])
+    empty = F.array().cast(T.ArrayType(pair))
+    items = []
     for i, ch in enumerate(checks):
         if ch.kind == "not_null":
-            cond = _key(ch).isNull()
+            bad, val = _key(ch).isNull(), F.lit(None).cast("string")
+        elif ch.kind == "expression":
+            bad, val = ~F.coalesce(F.expr(ch.expr), F.lit(True)), F.lit(None).cast("string")
         else:
-            cond = ~F.coalesce(F.expr(ch.expr), F.lit(True))
-        aggs.append(F.count_if(cond).alias(f"c{i}"))
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(ch.kind).alias("check"), F.lit(ch.label).alias("column"),
-                     F.col(f"c{i}").alias("failing")) for i, ch in enumerate(checks)]
-    return (wide.select(F.explode(F.array(*rows)).alias("r"))
-                .select(F.lit(model).alias("model"), "r.check", "r.column", "r.failing"))
-
-
-def _grouped(df: DataFrame, model: str, ch: Check) -> DataFrame:
-    k = _key(ch).alias("__k")
-    if ch.kind == "unique":
-        bad = (df.select(k).where(F.col("__k").isNotNull())
-                 .groupBy("__k").count().where(F.col("count") > 1))
-    else:
-        bad = (df.select(k).where(F.col("__k").isNotNull() & ~F.col("__k").isin(list(ch.values)))
-                 .groupBy("__k").count())
+            k = _key(ch)
+            bad, val = k.isNotNull() & ~k.isin(list(ch.values)), k.cast("string")
+        items.append(F.when(bad, F.array(F.struct(F.lit(i).alias("i"), val.alias("v"))))
+                     .otherwise(empty))
+    failures = df.select(F.explode(F.concat(*items)).alias("f")).select("f.i", "f.v")
+    per_value = failures.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    per_check = per_value.groupBy("i").agg(F.sum("n").alias("rows"),
+                                           F.count(F.lit(1)).alias("values"))
+    meta = spark.createDataFrame(
+        [(i, ch.kind, ch.label) for i, ch in enumerate(checks)],
+        "i int, check string, column string")
+    # The catalogue has one row per declared check: a proven size bound.
+    joined = meta.join(F.broadcast(per_check), "i", "left")
+    failing = F.when(F.col("check") == "accepted_values", F.col("values")).otherwise(F.col("rows"))
+    return joined.select(F.lit(model).alias("model"), "check", "column",
+                         F.coalesce(failing, F.lit(0)).alias("failing"))
+
+
+def _unique(df: DataFrame, model: str, ch: Check) -> DataFrame:
+    """Distinct non-NULL keys occurring more than once; the count aggregate
+    partial-aggregates map-side, so a hot key is reduced before its shuffle."""
+    bad = (df.select(_key(ch).alias("__k")).where(F.col("__k").isNotNull())
+             .groupBy("__k").count().where(F.col("count") > 1))
     return bad.agg(F.count(F.lit(1)).alias("failing")).select(
         F.lit(model).alias("model"), F.lit(ch.kind).alias("check"),
         F.lit(ch.label).alias("column"), "failing")
@@ -95,9 +110,9 @@ def _grouped(df: DataFrame, model: str, ch: Check) -> DataFrame:
 
 def run_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """One result row per check: model, check, column, failing, passed."""
-    row_level = [c for c in checks if c.kind in ("not_null", "expression")]
-    parts = [p for p in [_row_level(df, model, row_level)] if p is not None]
-    parts += [_grouped(df, model, c) for c in checks if c.kind in ("unique", "accepted_values")]
+    flat = [c for c in checks if c.kind != "unique"]
+    parts = [_flat_checks(df, model, flat)] if flat else []
+    parts += [_unique(df, model, c) for c in checks if c.kind == "unique"]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.select("model", "check", "column", F.col("failing").cast("bigint").alias("failing"),
                       (F.col("failing") == 0).alias("passed"))

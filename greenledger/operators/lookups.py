@@ -21,14 +21,22 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven small."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      small: bool | None = None) -> DataFrame:
+    """Broadcast hint only for a side whose row count is proven small.
+
+    ``small``: None -> prove it with a bounded count; True -> the caller has
+    proven it (e.g. rows built from a local list of known length); False ->
+    never broadcast (left to the planner and AQE's runtime statistics).
+    """
+    if small is None:
+        small = has_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def wildcard_lookup(df: DataFrame, lookup: DataFrame, name: str, lookup_name: str,
                     scope: str, lookup_scope: str, take: list[str],
-                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """LEFT join on name equality where a NULL lookup scope matches any scope.
 
     A name with both a generic (NULL scope) and a matching specific row yields
@@ -37,14 +45,15 @@ def wildcard_lookup(df: DataFrame, lookup: DataFrame, name: str, lookup_name: st
     """
     lk = lookup.select(qcol(lookup_name).alias("__lk_name"), qcol(lookup_scope).alias("__lk_scope"),
                        *[qcol(c) for c in take])
-    lk = checked_broadcast(lk, max_rows)
+    lk = checked_broadcast(lk, max_rows, small)
     cond = (qcol(name) == F.col("__lk_name")) & (
         F.col("__lk_scope").isNull() | (F.col("__lk_scope") == qcol(scope)))
     return df.join(lk, cond, "left").drop("__lk_name", "__lk_scope")
 
 
 def drop_listed(df: DataFrame, overrides: DataFrame, keys: list[str],
-                flag: str = "should_drop", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                flag: str = "should_drop", max_rows: int = MAX_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
     """Remove rows whose key pair is flagged in the override list.
 
     Written as a left-anti join against the flagged keys, so duplicated list
@@ -52,21 +61,27 @@ def drop_listed(df: DataFrame, overrides: DataFrame, keys: list[str],
     """
     flagged = overrides.where(F.coalesce(qcol(flag), F.lit(False))).select(
         *[qcol(k) for k in keys])
-    flagged = checked_broadcast(flagged, max_rows)
+    flagged = checked_broadcast(flagged, max_rows, small)
     return df.join(flagged, keys, "left_anti")
 
 
 def map_values(df: DataFrame, mapping: DataFrame, key: str, old: str, new: str,
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """LEFT join a single-key mapping; unmatched rows get NULL ``new``.
 
     The mapping key must be unique (see :func:`assert_unique_key`).
     """
     mp = mapping.select(qcol(old).alias("__map_old"), qcol(new))
-    mp = checked_broadcast(mp, max_rows)
+    mp = checked_broadcast(mp, max_rows, small)
     return df.join(mp, qcol(key) == F.col("__map_old"), "left").drop("__map_old")
 
 
+def local_lookup(spark, rows: list, schema, max_rows: int = MAX_BROADCAST_ROWS):
+    """A lookup from driver-side rows; returns (frame, small) where ``small``
+    is proven by the list length, so no job is needed to check it."""
+    return spark.createDataFrame(rows, schema), len(rows) <= max_rows
+
+
 def duplicate_keys(lookup: DataFrame, key: Column) -> DataFrame:
     """Key values that occur more than once (NULL keys ignored)."""
     return (lookup.select(key.alias("key")).where(F.col("key").isNotNull())

@@ -70,15 +70,16 @@ def require_columns(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def _violations(spec: FieldSpec, raw: Column, val: Column) -> list[Column]:
+def _violations(spec: FieldSpec, raw: Column, val: Column) -> list[tuple[Column, str]]:
+    """(condition, message) pairs; every condition is a non-NULL boolean."""
     n = spec.name
     out = []
     if spec.required:
-        out.append(F.when(raw.isNull(), F.lit(f"{n}: field required")))
+        out.append((raw.isNull(), f"{n}: field required"))
     if spec.non_blank:
-        out.append(F.when(raw.isNotNull() & ~_non_blank(raw), F.lit(f"{n}: must be non-blank")))
+        out.append((raw.isNotNull() & ~_non_blank(raw), f"{n}: must be non-blank"))
     if spec.dtype != "string":
-        out.append(F.when(raw.isNotNull() & val.isNull(), F.lit(f"{n}: not a valid {spec.dtype}")))
+        out.append((raw.isNotNull() & val.isNull(), f"{n}: not a valid {spec.dtype}"))
         bounds = []
         if spec.gt is not None:
             bounds.append(f"> {_fmt(spec.gt)}")
@@ -88,13 +89,18 @@ def _violations(spec: FieldSpec, raw: Column, val: Column) -> list[Column]:
             bounds.append(f"<= {_fmt(spec.le)}")
         if bounds:
             msg = f"{n}: must be " + " and ".join(bounds)
-            out.append(F.when(val.isNotNull() & ~in_range(val, spec.gt, spec.ge, spec.le), F.lit(msg)))
+            out.append((val.isNotNull() & ~in_range(val, spec.gt, spec.ge, spec.le), msg))
     return out
 
 
 def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     """Input columns (blank-normalised, parent-filled) + typed ``__t_<col>``
-    values, ``violations`` array and ``_status``."""
+    values, ``violations`` array and ``_status``.
+
+    The status is one boolean expression (codegen'd); the message array is a
+    ``concat`` of one-element arrays (no lambda functions, which would run
+    interpreted) and is only materialised where rejected rows are selected.
+    """
     df = require_columns(df, contract)
     for child, parent in contract.fill_from:
         df = fill_from_parent(df, child, parent)
@@ -106,7 +112,12 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
         val = typed(raw, spec.dtype)
         typed_cols[f"__t_{spec.name}"] = val
         checks.extend(_violations(spec, raw, val))
-    found = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    empty = F.array().cast("array<string>")
+    any_bad = F.lit(False)
+    for cond, _ in checks:
+        any_bad = any_bad | cond
+    parts = [F.when(cond, F.array(F.lit(msg))).otherwise(empty) for cond, msg in checks]
+    found = F.concat(*parts) if parts else empty
 
     if contract.measure:
         m = qcol(contract.measure)
@@ -114,10 +125,10 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     else:
         skipped = F.lit(False)
     status = (F.when(skipped, F.lit(SKIPPED))
-              .when(F.size(F.col(VIOLATIONS)) == 0, F.lit(VALID))
-              .otherwise(F.lit(INVALID)))
+              .when(any_bad, F.lit(INVALID))
+              .otherwise(F.lit(VALID)))
     return (df.withColumns(typed_cols)
-              .withColumn(VIOLATIONS, F.when(skipped, F.array().cast("array<string>")).otherwise(found))
+              .withColumn(VIOLATIONS, F.when(skipped, empty).otherwise(found))
               .withColumn(STATUS, status))
 
 

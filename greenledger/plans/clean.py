@@ -35,13 +35,16 @@ SERIES_CONFORM = {"sub_category": "Electricity", "category": "Energy", "uncertai
 CATALOG_CONFORM = {"uncertainty_pct": None}
 
 
-def clean_products(staged: DataFrame, translations: DataFrame) -> DataFrame:
+def clean_products(staged: DataFrame, translations: DataFrame,
+                   small: bool | None = None) -> DataFrame:
     """Translate names (wildcard lookup), scale kilogram units, strip the unit group.
 
-    ``translations``: factor_name_fr, factor_name_en, federation (NULL = any).
+    ``translations``: factor_name_fr, factor_name_en, federation (NULL = any);
+    ``small``: see ``checked_broadcast``.
     """
     j = wildcard_lookup(staged, translations, name="factor_name", lookup_name="factor_name_fr",
-                        scope="federation", lookup_scope="federation", take=["factor_name_en"])
+                        scope="federation", lookup_scope="federation", take=["factor_name_en"],
+                        small=small)
     std = F.coalesce(F.col("factor_name_en"), F.col("factor_name"))
     return j.select(
         "id",
@@ -63,15 +66,18 @@ class CatalogRules:
     name_rules: list[NameRule] = field(default_factory=list)
     territory: TerritoryRule | None = None
     rewrite_category: str | None = None
+    small_lookups: bool | None = None   # proven small (see checked_broadcast)
 
 
 def map_catalog(staged: DataFrame, rules: CatalogRules) -> DataFrame:
     """Drop-list on the original keys, key rewrite, then both mappings."""
-    kept = drop_listed(staged, rules.overrides, ["category", "sub_category"])
+    small = rules.small_lookups
+    kept = drop_listed(staged, rules.overrides, ["category", "sub_category"], small=small)
     kept = rewrite_sub_category(kept, rules.rewrite_category)
-    mapped = map_values(kept, rules.category_map, "category", "category_old", "category_new")
+    mapped = map_values(kept, rules.category_map, "category", "category_old", "category_new",
+                        small=small)
     return map_values(mapped, rules.sub_category_map, "sub_category",
-                      "sub_category_old", "sub_category_new")
+                      "sub_category_old", "sub_category_new", small=small)
 
 
 def clean_catalog(staged: DataFrame, rules: CatalogRules) -> DataFrame:

@@ -21,11 +21,16 @@ The lookup rows are invented for these stand-ins.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from greenledger.operators.lookups import local_lookup
 from greenledger.operators.rules import NameRule, TerritoryRule
+from greenledger.session import work_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -121,12 +126,35 @@ def shape(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS `{alias}`" for alias, sql in exprs.items()])
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The stand-in's bronze rows, written once per application as parquet in
+    the shared work folder and scanned from there.
+
+    Publisher rows reach validation from a file scan, where every raw column
+    is a plain attribute. Shaping them on the fly instead would let predicate
+    pushdown inline each shaping expression into every check that reads it.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _LANDED.get(key)
+    if path is None:
+        path = work_dir(spark, "standins", uuid.uuid4().hex, name)
+        build().write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape(read_table(spark, sf_dir, "orders"), CATALOG_RAW)
+    return landed(spark, sf_dir, "catalog",
+                  lambda: shape(read_table(spark, sf_dir, "orders"), CATALOG_RAW))
 
 
 def products_raw(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    return shape(read_table(spark, sf_dir, "part"), PRODUCTS_DIRTY if dirty else PRODUCTS_RAW)
+    exprs = PRODUCTS_DIRTY if dirty else PRODUCTS_RAW
+    return landed(spark, sf_dir, "products_dirty" if dirty else "products",
+                  lambda: shape(read_table(spark, sf_dir, "part"), exprs))
 
 
 def series_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,18 +236,25 @@ SUB_MAP_SCHEMA = T.StructType([
 
 
 def translations(spark: SparkSession, fanout: bool = False) -> DataFrame:
-    return spark.createDataFrame(TRANSLATIONS_FANOUT if fanout else TRANSLATIONS, TRANSLATION_SCHEMA)
+    """Translation lookup; its size is known from the list, so callers may
+    pass ``small=True`` to the lookup operators."""
+    df, small = local_lookup(spark, TRANSLATIONS_FANOUT if fanout else TRANSLATIONS,
+                             TRANSLATION_SCHEMA)
+    assert small
+    return df
 
 
 def catalog_rules(spark: SparkSession):
     from greenledger.plans.clean import CatalogRules
+    ov, s1 = local_lookup(spark, OVERRIDES, OVERRIDE_SCHEMA)
+    cm, s2 = local_lookup(spark, CATEGORY_MAP, CATEGORY_MAP_SCHEMA)
+    sm, s3 = local_lookup(spark, SUB_CATEGORY_MAP, SUB_MAP_SCHEMA)
     return CatalogRules(
-        overrides=spark.createDataFrame(OVERRIDES, OVERRIDE_SCHEMA),
-        category_map=spark.createDataFrame(CATEGORY_MAP, CATEGORY_MAP_SCHEMA),
-        sub_category_map=spark.createDataFrame(SUB_CATEGORY_MAP, SUB_MAP_SCHEMA),
+        overrides=ov, category_map=cm, sub_category_map=sm,
         name_rules=NAME_RULES,
         territory=TERRITORY,
         rewrite_category=REWRITE_CATEGORY,
+        small_lookups=s1 and s2 and s3,
     )
 
 

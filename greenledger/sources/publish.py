@@ -94,6 +94,14 @@ def reconcile_counts(src: DataFrame, dst: DataFrame) -> DataFrame:
     return counts.withColumn("matched", F.col("src_rows") == F.col("dst_rows"))
 
 
+def reconcile_written(spark: SparkSession, written: int, dst: DataFrame) -> DataFrame:
+    """Like :func:`reconcile_counts`, with the source count observed while
+    writing (no second evaluation of the source)."""
+    return (dst.agg(F.count(F.lit(1)).alias("dst_rows"))
+               .select(F.lit(written).cast("bigint").alias("src_rows"), "dst_rows")
+               .withColumn("matched", F.col("src_rows") == F.col("dst_rows")))
+
+
 def assert_reconciled(src: DataFrame, dst: DataFrame) -> int:
     row = reconcile_counts(src, dst).collect()[0]
     if not row["matched"]:
