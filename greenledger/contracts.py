@@ -18,6 +18,7 @@ class FieldSpec:
     dtype          Spark SQL type the raw text is coerced to (lax, try_cast).
     required       NULL after blank handling is a violation; a column that is
                    missing from the input counts as NULL on every row.
+    must_exist     the column must be present even when NULL values are fine.
     non_blank      blank / whitespace text is a violation.
     blank_is_null  blank text becomes NULL before any check.
     gt / ge / le   range bounds (NaN always violates a bound).
@@ -26,6 +27,7 @@ class FieldSpec:
     name: str
     dtype: str = "string"
     required: bool = True
+    must_exist: bool = False
     non_blank: bool = False
     blank_is_null: bool = False
     gt: float | None = None
@@ -71,7 +73,7 @@ PRODUCTS = Contract(
                   ge=0.0, le=1.0),
         FieldSpec("CodeFede", non_blank=True),
         FieldSpec("Federation", non_blank=True),
-        FieldSpec("Remarques", required=False, blank_is_null=True),
+        FieldSpec("Remarques", required=False, must_exist=True, blank_is_null=True),
     ),
     measure="Facteur d'émission",
     on_error="fail",

@@ -6,15 +6,13 @@ Failure counts follow the usual data-test conventions:
     accepted_values distinct non-NULL values outside the list
     unique          distinct non-NULL keys that occur more than once
 
-Plan: all not_null, expression and accepted_values checks of a model share
-ONE scan and one partially-aggregated shuffle of their failures; each unique
-check is one grouped count on its key.
+Plan: all checks of a model share ONE scan and one partially-aggregated
+shuffle of (check, value) pairs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +61,14 @@ def _key(check: Check) -> Column:
 
 
 def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    """not_null, expression and accepted_values checks in ONE pass.
+    """All checks of a model in ONE pass over it.
 
     Each row emits a (check, value) pair per failed check (value NULL for
-    row-level checks) through a ``concat`` of one-element arrays; pairs are
-    counted with a partial aggregate, so only distinct failures per task are
-    shuffled. A local catalogue of the checks fills in zero failures.
+    row-level checks; every non-NULL key for unique checks) through a
+    ``concat`` of one-element arrays; pairs are counted with a partial
+    aggregate, so only distinct pairs per task are shuffled (a hot value
+    becomes one pair per task). A local catalogue of the checks fills in
+    zero failures.
     """
     spark = df.sparkSession
     pair = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.StringType())])
@@ -79,6 +79,9 @@ def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
             bad, val = _key(ch).isNull(), F.lit(None).cast("string")
         elif ch.kind == "expression":
             bad, val = ~F.coalesce(F.expr(ch.expr), F.lit(True)), F.lit(None).cast("string")
+        elif ch.kind == "unique":  # every key is emitted; repeats are counted below
+            k = _key(ch)
+            bad, val = k.isNotNull(), k.cast("string")
         else:
             k = _key(ch)
             bad, val = k.isNotNull() & ~k.isin(list(ch.values)), k.cast("string")
@@ -87,33 +90,23 @@ def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     failures = df.select(F.explode(F.concat(*items)).alias("f")).select("f.i", "f.v")
     per_value = failures.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     per_check = per_value.groupBy("i").agg(F.sum("n").alias("rows"),
-                                           F.count(F.lit(1)).alias("values"))
+                                           F.count(F.lit(1)).alias("values"),
+                                           F.count_if(F.col("n") > 1).alias("repeated"))
     meta = spark.createDataFrame(
         [(i, ch.kind, ch.label) for i, ch in enumerate(checks)],
         "i int, check string, column string")
     # The catalogue has one row per declared check: a proven size bound.
     joined = meta.join(F.broadcast(per_check), "i", "left")
-    failing = F.when(F.col("check") == "accepted_values", F.col("values")).otherwise(F.col("rows"))
+    failing = (F.when(F.col("check") == "accepted_values", F.col("values"))
+                .when(F.col("check") == "unique", F.col("repeated"))
+                .otherwise(F.col("rows")))
     return joined.select(F.lit(model).alias("model"), "check", "column",
                          F.coalesce(failing, F.lit(0)).alias("failing"))
 
 
-def _unique(df: DataFrame, model: str, ch: Check) -> DataFrame:
-    """Distinct non-NULL keys occurring more than once; the count aggregate
-    partial-aggregates map-side, so a hot key is reduced before its shuffle."""
-    bad = (df.select(_key(ch).alias("__k")).where(F.col("__k").isNotNull())
-             .groupBy("__k").count().where(F.col("count") > 1))
-    return bad.agg(F.count(F.lit(1)).alias("failing")).select(
-        F.lit(model).alias("model"), F.lit(ch.kind).alias("check"),
-        F.lit(ch.label).alias("column"), "failing")
-
-
 def run_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """One result row per check: model, check, column, failing, passed."""
-    flat = [c for c in checks if c.kind != "unique"]
-    parts = [_flat_checks(df, model, flat)] if flat else []
-    parts += [_unique(df, model, c) for c in checks if c.kind == "unique"]
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    out = _flat_checks(df, model, checks)
     return out.select("model", "check", "column", F.col("failing").cast("bigint").alias("failing"),
                       (F.col("failing") == 0).alias("passed"))
 

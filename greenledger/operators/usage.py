@@ -26,21 +26,22 @@ def usable_on(df: DataFrame, day: _dt.date | str) -> DataFrame:
 def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str],
                          date_col: str, quantity_col: str,
                          take: tuple[str, ...] = ("ef_id", "gCO2e_per_unit"),
-                         out: str = "emissions",
-                         max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                         out: str = "emissions", small: bool | None = None) -> DataFrame:
     """LEFT interval join: each activity row gets the factor whose validity
     interval contains its date, and ``quantity x factor`` (E2).
 
     Factors must not overlap in time for one key (editions of one factor are
     disjoint years); unmatched rows keep NULL factor and emissions.
-    Plan: equi-join on ``keys`` with the date range as a residual. The factor
-    side is broadcast only when its row count is proven small; otherwise a
-    sort-merge join on the keys, whose hot keys AQE splits.
+    Plan: equi-join on ``keys`` with the date range as a residual.
+    ``small=True`` (caller-proven bound) broadcasts the factors; otherwise no
+    hint is given and AQE picks the strategy from the *measured* size of the
+    factor side after its shuffle: a broadcast when it is small, else a
+    sort-merge join whose skewed (hot-key) partitions AQE splits.
     """
     f = factors.select(*[F.col(k).alias(f"__f_{k}") for k in keys],
                        F.col("valid_from").alias("__f_from"), F.col("valid_to").alias("__f_to"),
                        *take)
-    if has_at_most(f, max_broadcast_rows):
+    if small:
         f = F.broadcast(f)
     cond = None
     for k in keys:
@@ -57,18 +58,19 @@ def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str
 def geo_fallback(activity: DataFrame, factors: DataFrame,
                  levels: list[tuple[str, str]], code_col: str = "country_code",
                  value_col: str = "gCO2e_per_unit", out_value: str = "gCO2e_per_unit",
-                 out_level: str = "geo_level") -> DataFrame:
+                 out_level: str = "geo_level", small: bool | None = None) -> DataFrame:
     """Most specific factor wins: try each (activity column, level name) in
     order and keep the first match (E3).
 
     One LEFT equi-join per level against the location factors, then a
     ``coalesce`` in priority order: no candidate pairs are built and no
     per-activity ranking shuffle is needed. Location factors are bounded by
-    the number of places (nations, regions), so they are broadcast when the
-    count check confirms it.
+    the number of places (nations, regions); ``small=None`` proves that with a
+    bounded count, ``True`` takes the caller's bound.
     """
     f = factors.select(F.col(code_col).alias("__code"), F.col(value_col).alias("__val"))
-    small = has_at_most(f, MAX_BROADCAST_ROWS)
+    if small is None:
+        small = has_at_most(f, MAX_BROADCAST_ROWS)
     out = activity
     vals, names = [], []
     for i, (col, level) in enumerate(levels):

@@ -101,6 +101,7 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     ``concat`` of one-element arrays (no lambda functions, which would run
     interpreted) and is only materialised where rejected rows are selected.
     """
+    absent = {f.name for f in contract.fields if f.must_exist and f.name not in df.columns}
     df = require_columns(df, contract)
     for child, parent in contract.fill_from:
         df = fill_from_parent(df, child, parent)
@@ -111,6 +112,8 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
         raw = qcol(spec.name)
         val = typed(raw, spec.dtype)
         typed_cols[f"__t_{spec.name}"] = val
+        if spec.name in absent:
+            checks.append((F.lit(True), f"{spec.name}: field required"))
         checks.extend(_violations(spec, raw, val))
     empty = F.array().cast("array<string>")
     any_bad = F.lit(False)
