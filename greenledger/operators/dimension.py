@@ -57,16 +57,52 @@ def edition_order(tiebreak: tuple[str, ...] = ("id",)) -> list[Column]:
 
 
 def rank_editions(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,
-                  tiebreak: tuple[str, ...] = ("id",), out: str = "rn") -> DataFrame:
-    """row_number over (keys) by newest edition, as bigint."""
-    w = Window.partitionBy(*keys).orderBy(*edition_order(tiebreak))
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+                  tiebreak: tuple[str, ...] = ("id",), out: str = "rn",
+                  method: str = "range", partitions: int | None = None) -> DataFrame:
+    """row_number over (keys) by newest edition, as bigint.
+
+    ``method="window"``: one hash shuffle on the keys; every row of a group
+    meets in one task, so a group holding a third of all rows is one task.
+    ``method="range"`` (default): the same numbers, skew-proof. Rows are
+    range-partitioned on (keys, edition order, tie-break), so a hot group is
+    spread over many sorted partitions; each row's number is its position in
+    its partition plus the count of its group's rows in earlier partitions.
+    Those counts form a table of at most (#groups + #partitions) rows.
+    """
+    if method == "window":
+        w = Window.partitionBy(*keys).orderBy(*edition_order(tiebreak))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return _rank_by_range(df, keys, tiebreak, out, partitions)
+
+
+def _rank_by_range(df: DataFrame, keys, tiebreak, out, partitions) -> DataFrame:
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(k).asc_nulls_first() for k in keys] + edition_order(tiebreak)
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                .withColumn("__pid", F.spark_partition_id())
+                # consecutive within a partition, in its sorted order
+                .withColumn("__pos", F.monotonically_increasing_id()))
+    counts = ranged.groupBy("__pid", *keys).agg(F.min("__pos").alias("__first"),
+                                                 F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    offsets = offsets.select(F.col("__pid").alias("__o_pid"),
+                             *[F.col(k).alias(f"__o_{k}") for k in keys], "__first", "__off")
+    cond = F.col("__pid") == F.col("__o_pid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    joined = ranged.join(offsets, cond)
+    rn = (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("bigint")
+    return joined.withColumn(out, rn).select(*df.columns, out)
 
 
 def current_only(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,
                  tiebreak: tuple[str, ...] = ("id",)) -> DataFrame:
     """Only the latest edition of each group."""
-    return rank_editions(df, keys, tiebreak, "__rn").where(F.col("__rn") == 1).drop("__rn")
+    # A filtered row_number lets Catalyst keep only rank 1 per group on each
+    # map task (partial WindowGroupLimit) before the shuffle.
+    return (rank_editions(df, keys, tiebreak, "__rn", method="window")
+            .where(F.col("__rn") == 1).drop("__rn"))
 
 
 def flag_current(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,

@@ -120,3 +120,17 @@ def test_suite_sizes():
     sizes = [len(s()) for s in (ck.series_suite, ck.products_suite, ck.catalog_suite,
                                 ck.gold_suite, ck.translation_suite)]
     assert sizes == [18, 20, 19, 16, 2] and sum(sizes) == 75
+
+
+def test_range_rank_equals_window_rank_on_a_hot_group(spark):
+    hot = [(f"h{i:04d}", "Hot", "kWh", D(2000 + i % 20, 1, 1), D(2000 + i % 20, 12, 31)) for i in range(900)]
+    cold = [(f"c{i}", f"N{i % 7}", "kWh", D(2010 + i % 3, 1, 1), None) for i in range(60)]
+    nulls = [(f"z{i}", None, "kWh", D(2011, 1, 1), D(2011, 12, 31)) for i in range(5)]
+    df = spark.createDataFrame(hot + cold + nulls,
+                               "id string, factor_name string, unit string, valid_from date, valid_to date")
+    df = df.withColumn("source", F.lit("s"))
+    window = {r["id"]: r["rn"] for r in rank_editions(df, method="window").collect()}
+    for parts in (1, 3, 16):
+        ranged = {r["id"]: r["rn"] for r in rank_editions(df, method="range", partitions=parts).collect()}
+        assert ranged == window
+    assert sorted(v for k, v in window.items() if k.startswith("h")) == list(range(1, 901))
