@@ -409,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN lf f2 ON f2.code = a.region_code
             LEFT JOIN lf f3 ON f3.code = 'GLOBAL'""",
     }
+    sql["incremental_landing"] = sql["bronze_roundtrip"]
     return sql
 
 

@@ -50,7 +50,9 @@ from greenledger.plans.staging import (
     stage_series,
 )
 from greenledger.session import work_dir
+from greenledger.streaming.incremental import land_arrivals, run_until_caught_up
 from greenledger.sources.bronze import (
+    CSV_OPTIONS,
     distinct_years,
     land_bronze,
     rows_per_year,
@@ -309,6 +311,17 @@ def q_bronze_roundtrip(spark, sf):
     return scan_bronze(spark, root, "defra", landed.columns)
 
 
+def q_incremental_landing(spark, sf):
+    """Publisher files arrive in a folder; an availableNow stream validates
+    them and lands the valid rows per year; the landed bronze is read back."""
+    base = work_dir(spark, f"arrivals-{uuid.uuid4().hex}")
+    cols = CATALOG_ROWS.names + list(CATALOG_ROWS.keep)   # files carry the contract's column order
+    si.catalog_raw(spark, sf).select(*[F.col(f"`{c}`") for c in cols]) \
+        .write.options(**CSV_OPTIONS).csv(f"{base}/incoming")
+    run_until_caught_up(land_arrivals(spark, f"{base}/incoming", CATALOG_ROWS, f"{base}/bronze", "defra"))
+    return scan_bronze(spark, f"{base}/bronze", "defra", CATALOG_ROWS.names + list(CATALOG_ROWS.keep))
+
+
 def q_tagged_sheets(spark, sf):
     return union_tagged_sheets(si.event_readings(spark, sf), "sheet", si.SHEET_PATTERNS,
                                {"year": " YEAR ", "co2_per_kWh": "CO2_PER_KWH"})
@@ -392,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "rows_per_year": q_rows_per_year,
     "distinct_years": q_distinct_years,
     "bronze_roundtrip": q_bronze_roundtrip,
+    "incremental_landing": q_incremental_landing,
     "tagged_sheets": q_tagged_sheets,
     "publish_reconcile": q_publish_reconcile,
     "run_report": q_run_report,

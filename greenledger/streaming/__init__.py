@@ -1,0 +1,3 @@
+from greenledger.streaming.incremental import arrivals, land_arrivals, run_until_caught_up
+
+__all__ = ["arrivals", "land_arrivals", "run_until_caught_up"]

@@ -151,3 +151,32 @@ def test_geo_fallback_priority(spark):
     out = geo_fallback(act, f, [("nation", "nation"), ("region", "region"), ("g", "global")])
     assert rows(out, "a", "geo_level", "gCO2e_per_unit") == [
         (1, "nation", 1.0), (2, "region", 2.0), (3, "global", 3.0)]
+
+
+def test_incremental_landing_lenient_and_strict(spark, tmp_dir):
+    from greenledger.contracts import CATALOG
+    from greenledger.streaming import land_arrivals, run_until_caught_up
+    from greenledger.sources.bronze import CSV_OPTIONS
+
+    cols = CATALOG.names
+    good = ("a", "Fuels", "Gas", "Butane", None, None, "2.5", "kWh", "Scope 1", "kg CO2e", "2024")
+    bad = ("b", "Fuels", "Gas", "Butane", None, None, "-1", "kWh", "Scope 1", "kg CO2e", "2024")
+    schema = ", ".join(f"`{c}` string" for c in cols)
+    spark.createDataFrame([good, bad], schema).write.options(**CSV_OPTIONS).csv(f"{tmp_dir}/in/1")
+    run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/in", CATALOG, f"{tmp_dir}/bronze", "defra"))
+    landed = scan_bronze(spark, f"{tmp_dir}/bronze", "defra", cols)
+    assert rows(landed, "ID", "year") == [("a", 2024)]
+    assert rows(spark.read.parquet(f"{tmp_dir}/bronze/_rejected/defra"), "ID") == [("b",)]
+    # A second run sees only new files.
+    spark.createDataFrame([("c",) + good[1:]], schema).write.options(**CSV_OPTIONS).csv(f"{tmp_dir}/in/2")
+    run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/in", CATALOG, f"{tmp_dir}/bronze", "defra"))
+    assert rows(scan_bronze(spark, f"{tmp_dir}/bronze", "defra", cols), "ID") == [("a",), ("c",)]
+
+    # Strict contract: a batch with an invalid row fails and lands nothing.
+    s_cols = SERIES.names
+    spark.createDataFrame([("2024", "-1", "Market-based")], ", ".join(f"{c} string" for c in s_cols)) \
+        .write.options(**CSV_OPTIONS).csv(f"{tmp_dir}/sin/1")
+    with pytest.raises(Exception):
+        run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/sin", SERIES, f"{tmp_dir}/sb", "nve",
+                                          checkpoint=f"{tmp_dir}/ck"))
+    assert not os.path.exists(f"{tmp_dir}/sb/nve")
