@@ -33,6 +33,14 @@ SERIES_CONST = {"unit": "kWh", "ghg_scope": "Scope 2", "country_code": "NO", "so
 SERIES_NAME = ("Electricity (", ")")
 
 
+def default_edition_year(today: _dt.date) -> int:
+    """The catalog edition fetched on ``today``: the previous calendar year.
+
+    Passed explicitly to jobs; no query reads the clock.
+    """
+    return today.year - 1
+
+
 def stage_products(df: DataFrame, edition_year: int = PRODUCTS_EDITION_YEAR) -> DataFrame:
     """Product list: one fixed edition valid from its first day without end."""
     c = PRODUCTS_CONST

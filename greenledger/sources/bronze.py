@@ -59,6 +59,35 @@ def land_bronze(df: DataFrame, root: str, source: str, year_col: str = "year",
     return path
 
 
+def read_publisher_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A publisher's CSV as delivered: header names kept, every column text,
+    a UTF-8 byte-order mark stripped; a file without columns is an error (S2)."""
+    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    if not df.columns:
+        raise ValueError(f"{path}: CSV has no columns")
+    return df
+
+
+def resolve_prefixed_column(df: DataFrame, prefix: str, canonical: str,
+                            on_missing: str = "empty") -> DataFrame:
+    """Rename the first header starting with ``prefix`` to ``canonical``.
+
+    A missing column yields an empty frame (``on_missing="empty"``, the
+    catalog's policy) or an error (``"fail"``), never a wrong column.
+    """
+    found = find_column_prefix(df.columns, prefix)
+    if found is None:
+        if on_missing == "fail":
+            raise ValueError(f"no column starting with {prefix!r} in {df.columns}")
+        return df.limit(0).withColumn(canonical, F.lit(None).cast("string"))
+    return df.withColumnRenamed(found, canonical)
+
+
+def year_slice(df: DataFrame, year: int, year_col: str = "year") -> DataFrame:
+    """Rows of one edition (P11); on the ``year=`` layout only that folder is read."""
+    return df.where(F.col(year_col) == F.lit(year))
+
+
 def normalise_sheet(df: DataFrame) -> DataFrame:
     """Drop wholly empty rows and trim header names (S3)."""
     return df.na.drop(how="all").toDF(*[c.strip() for c in df.columns])

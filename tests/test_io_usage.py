@@ -180,3 +180,31 @@ def test_incremental_landing_lenient_and_strict(spark, tmp_dir):
         run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/sin", SERIES, f"{tmp_dir}/sb", "nve",
                                           checkpoint=f"{tmp_dir}/ck"))
     assert not os.path.exists(f"{tmp_dir}/sb/nve")
+
+
+def test_publisher_csv_and_prefixed_column(spark, tmp_dir):
+    from greenledger.sources.bronze import read_publisher_csv, resolve_prefixed_column, year_slice
+
+    p = f"{tmp_dir}/a.csv"
+    with open(p, "w", encoding="utf-8-sig") as f:
+        f.write("__id,GHG Conversion Factor 2024,Level 1\n1,2.5,Fuels\n")
+    df = read_publisher_csv(spark, p)
+    assert df.columns == ["__id", "GHG Conversion Factor 2024", "Level 1"]
+    r = resolve_prefixed_column(df, "GHG Conversion Factor", "GHG Conversion Factor")
+    assert r.first()["GHG Conversion Factor"] == "2.5"
+    e = resolve_prefixed_column(df.drop("GHG Conversion Factor 2024"), "GHG Conversion Factor",
+                                "GHG Conversion Factor")
+    assert e.count() == 0 and "GHG Conversion Factor" in e.columns
+    with pytest.raises(ValueError):
+        resolve_prefixed_column(df.drop("GHG Conversion Factor 2024"), "GHG", "x", on_missing="fail")
+    empty = f"{tmp_dir}/empty.csv"
+    open(empty, "w").close()
+    with pytest.raises(Exception):
+        read_publisher_csv(spark, empty)
+    ys = spark.createDataFrame([(2023,), (2024,)], "year int")
+    assert rows(year_slice(ys, 2024)) == [(2024,)]
+
+
+def test_default_edition_year():
+    from greenledger.plans.staging import default_edition_year
+    assert default_edition_year(D(2026, 3, 1)) == 2025
