@@ -22,7 +22,7 @@ BASE_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "greenledger") -> SparkSession:
+                app_name: str = "greenledger", driver_memory: str | None = None) -> SparkSession:
     """Return (or create) a session with the library's base settings.
 
     On a cluster the master and sizing come from spark-submit; ``master`` is
@@ -35,6 +35,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the executors live in the driver JVM
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
