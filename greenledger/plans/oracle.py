@@ -299,8 +299,10 @@ def oracle_sql() -> dict[str, str]:
     w = with_ctes
     cat_fill = f"coalesce({_blank_null(q('Level 3'))}, {q('Level 2')})"
     prod_dirty = shaped(si.PRODUCTS_DIRTY, "part")
-    summary = ("SELECT {src} AS source, count(*) AS total, count_if(status = 'valid') AS valid, "
-               "count_if(status = 'invalid') AS invalid, count_if(status = 'skipped') AS skipped FROM {t}")
+    summary = ("SELECT {src} AS source, count(*) AS total, "
+               "CAST(count_if(status = 'valid') AS BIGINT) AS valid, "
+               "CAST(count_if(status = 'invalid') AS BIGINT) AS invalid, "
+               "CAST(count_if(status = 'skipped') AS BIGINT) AS skipped FROM {t}")
     sql = {
         "stage_catalog": w("SELECT * FROM stg_catalog"),
         "stage_products": w("SELECT * FROM stg_products"),
