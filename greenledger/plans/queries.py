@@ -355,7 +355,10 @@ def q_usable_on(spark, sf):
 
 
 def q_activity_factor_join(spark, sf):
-    factors = dimension(spark, sf).where(F.col("source") == "nve")
+    # Editions are ranked within a source, so the series factors of the
+    # dimension are the dimension of the series rows: filtering before the
+    # build lets Catalyst drop the other sources' scans entirely.
+    factors = build_dimension(conformed(spark, sf).where(F.col("source") == "nve"))
     out = activity_factor_join(si.event_activity(spark, sf), factors, ["factor_name", "unit"],
                                "activity_date", "quantity")
     return out.select("event_id", "activity_date", "ef_id", "gCO2e_per_unit", "emissions")
