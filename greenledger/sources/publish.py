@@ -71,6 +71,34 @@ def publish_snapshot(df: DataFrame, target: str, columns: tuple[str, ...] = PUBL
     return rows
 
 
+def swap_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
+    """Move every ``col=value`` folder of ``staged`` into ``target``, replacing
+    the same folders there and leaving the others (dynamic overwrite by rename).
+    Returns the moved folder names; ``staged`` is removed afterwards."""
+    fs, stg = _fs(spark, staged)
+    _, tgt = _fs(spark, target)
+    fs.mkdirs(tgt)
+    moved = []
+    for status in fs.listStatus(stg):
+        name = status.getPath().getName()
+        if not status.isDirectory() or "=" not in name:
+            continue
+        dest = spark._jvm.org.apache.hadoop.fs.Path(tgt, name)
+        if fs.exists(dest):
+            fs.delete(dest, True)
+        if not fs.rename(status.getPath(), dest):
+            raise OSError(f"cannot move {name} into {target}")
+        moved.append(name)
+    fs.delete(stg, True)
+    return moved
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                  columns: tuple[str, ...] = PUBLISH_COLUMNS) -> None:
     """Full refresh of a database table through JDBC: truncate + insert of an

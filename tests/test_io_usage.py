@@ -208,3 +208,27 @@ def test_publisher_csv_and_prefixed_column(spark, tmp_dir):
 def test_default_edition_year():
     from greenledger.plans.staging import default_edition_year
     assert default_edition_year(D(2026, 3, 1)) == 2025
+
+
+def test_strict_ingest_is_all_or_nothing(spark, tmp_dir):
+    from greenledger.operators.validate import ContractError
+    from greenledger.plans.ingest import ingest_source
+
+    schema = "year string, co2_per_kWh string, factor_type string"
+    good = spark.createDataFrame([("2024", "5.0", "Market-based"), ("2023", "4.0", "Market-based")], schema)
+    ingest_source(spark, SourceSpec("nve", lambda s: good, SERIES), tmp_dir)
+    before = rows(scan_bronze(spark, tmp_dir, "nve", SERIES.names))
+    assert before == [(2023, "4.0", "Market-based"), (2024, "5.0", "Market-based")] or \
+        rows(scan_bronze(spark, tmp_dir, "nve", SERIES.names), "year", "co2_per_kWh") == [(2023, "4.0"), (2024, "5.0")]
+    # A later batch for 2024 with one invalid row lands nothing.
+    bad = spark.createDataFrame([("2024", "6.0", "Market-based"), ("2024", "-1", "Market-based")], schema)
+    with pytest.raises(ContractError):
+        ingest_source(spark, SourceSpec("nve", lambda s: bad, SERIES), tmp_dir)
+    assert rows(scan_bronze(spark, tmp_dir, "nve", SERIES.names), "year", "co2_per_kWh") == \
+        [(2023, "4.0"), (2024, "5.0")]
+    assert not [p for p in os.listdir(tmp_dir) if p.startswith("_staging")]
+    # A valid 2024 batch replaces 2024 only.
+    newer = spark.createDataFrame([("2024", "6.0", "Market-based")], schema)
+    ingest_source(spark, SourceSpec("nve", lambda s: newer, SERIES), tmp_dir)
+    assert rows(scan_bronze(spark, tmp_dir, "nve", SERIES.names), "year", "co2_per_kWh") == \
+        [(2023, "4.0"), (2024, "6.0")]
