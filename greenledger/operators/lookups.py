@@ -99,4 +99,4 @@ def assert_unique_key(lookup: DataFrame, key: Column, what: str = "lookup") -> D
 def unmatched_keys(df: DataFrame, mapping: DataFrame, key: str, old: str) -> DataFrame:
     """Distinct data keys with no mapping row (a report for near-miss labels)."""
     keys = df.select(qcol(key).alias("key")).where(F.col("key").isNotNull()).distinct()
-    return keys.join(mapping.select(qcol(old).alias("key")), "key", "left_anti")
+    return keys.join(checked_broadcast(mapping.select(qcol(old).alias("key"))), "key", "left_anti")

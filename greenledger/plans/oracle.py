@@ -332,6 +332,10 @@ def oracle_sql() -> dict[str, str]:
         "map_chain": w("SELECT id, category, sub_category, category_new, sub_category_new FROM cat_mapped"),
         "name_rules": w("SELECT id, named AS factor_name FROM cat_named"),
         "country_rule": w("SELECT id, territory AS country_code FROM cat_named"),
+        "unmatched_lookup_keys": w("""
+            SELECT DISTINCT sub_category AS "key" FROM cat_rewritten c
+            WHERE sub_category IS NOT NULL
+              AND NOT EXISTS (SELECT 1 FROM sub_category_map m WHERE m.sub_category_old = c.sub_category)"""),
         "unit_scale": w("""
             SELECT id, std AS factor_name,
               CASE WHEN regexp_matches(lower(std), '\\(k(?:gco2e|ge?c)/') THEN "gCO2e_per_unit" * 1000

@@ -29,7 +29,7 @@ from greenledger.operators.dimension import (
     prepare,
     rank_editions,
 )
-from greenledger.operators.lookups import drop_listed, map_values, wildcard_lookup
+from greenledger.operators.lookups import drop_listed, map_values, unmatched_keys, wildcard_lookup
 from greenledger.operators.rules import apply_name_rules, assign_country, rewrite_sub_category
 from greenledger.operators.usage import activity_factor_join, geo_fallback, usable_on
 from greenledger.operators.validate import (
@@ -215,6 +215,16 @@ def q_name_rules(spark, sf):
     return apply_name_rules(m, rules.name_rules).select("id", "factor_name")
 
 
+def q_unmatched_lookup_keys(spark, sf):
+    """Sub-categories (after drop-list and key rewrite) with no mapping row:
+    the report that exposes near-miss labels between lookup tables."""
+    rules = si.catalog_rules(spark)
+    kept = drop_listed(stage_catalog(catalog_valid(spark, sf)), rules.overrides,
+                       ["category", "sub_category"], small=rules.small_lookups)
+    kept = rewrite_sub_category(kept, rules.rewrite_category)
+    return unmatched_keys(kept, rules.sub_category_map, "sub_category", "sub_category_old")
+
+
 def q_country_rule(spark, sf):
     rules = si.catalog_rules(spark)
     m = map_catalog(stage_catalog(catalog_valid(spark, sf)), rules)
@@ -391,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "map_chain": q_map_chain,
     "name_rules": q_name_rules,
     "country_rule": q_country_rule,
+    "unmatched_lookup_keys": q_unmatched_lookup_keys,
     "unit_scale": q_unit_scale,
     "strip_unit_suffix": q_strip_unit_suffix,
     "lower_first": q_lower_first,
