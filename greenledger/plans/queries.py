@@ -35,7 +35,6 @@ from greenledger.operators.usage import activity_factor_join, geo_fallback, usab
 from greenledger.operators.validate import (
     VIOLATIONS,
     blank_to_null,
-    enforce,
     error_sample,
     fill_from_parent,
     validate,
