@@ -354,7 +354,8 @@ def source_registry(sf: str) -> dict[str, SourceSpec]:
 
 def q_run_report(spark, sf):
     root = work_dir(spark, f"bronze-{uuid.uuid4().hex}")
-    report = run_sources(spark, source_registry(sf), root, ["defra", "ademe", "nve", "unknown_src"])
+    report = run_sources(spark, source_registry(sf), root, ["defra", "ademe", "nve", "unknown_src"],
+                         max_parallel=3)
     return report.select("source", "status", "reason")
 
 

@@ -112,7 +112,8 @@ def test_run_sources_isolates_failures(spark, tmp_dir):
     bad = spark.createDataFrame([("2024", "-5.0", "Market-based")], good.schema)
     reg = {"ok_src": SourceSpec("ok_src", lambda s: good, SERIES),
            "bad_src": SourceSpec("bad_src", lambda s: bad, SERIES)}
-    rep = run_sources(spark, reg, tmp_dir, ["ok_src", "bad_src", "nope"])
+    rep = run_sources(spark, reg, tmp_dir, ["ok_src", "bad_src", "nope"], max_parallel=3)
+    assert [r["source"] for r in rep.collect()] == ["ok_src", "bad_src", "nope"]
     got = {r["source"]: (r["status"], r["reason"]) for r in rep.collect()}
     assert got["ok_src"] == ("ok", None)
     assert got["bad_src"][0] == "error" and "validation failed" in got["bad_src"][1]
