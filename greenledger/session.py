@@ -21,6 +21,25 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (e.g. 1000 executors, ~100 TB input); apply
+# with spark-submit --conf. Partition counts follow bytes, not rows: AQE
+# starts from many shuffle partitions and coalesces toward the advisory
+# size, and splits skewed partitions in joins and rebalances.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "greenledger", driver_memory: str | None = None) -> SparkSession:
     """Return (or create) a session with the library's base settings.

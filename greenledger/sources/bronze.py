@@ -40,18 +40,25 @@ def scan_bronze(spark: SparkSession, root: str, source: str, columns: list[str],
 
 
 def land_bronze(df: DataFrame, root: str, source: str, year_col: str = "year",
-                files_per_year: int = 16) -> str:
+                files_per_year: int | None = None) -> str:
     """Write one folder per year; a re-run overwrites only its own years.
 
-    Rows are spread over (year, content-hash bucket): a year holding a third
-    of all rows is written by ``files_per_year`` tasks, not one, and the
-    bucket is deterministic, so a task retried after executor loss rewrites
-    exactly the same rows.
+    With AQE on (the library's setting) rows are REBALANCEd by year: AQE
+    splits a year holding a third of all rows into advisory-sized partitions
+    and merges small ones, so file sizes follow the data, not a constant.
+    Without AQE, rows are spread over (year, content-hash bucket), with
+    ``files_per_year`` buckets (default: the shuffle partition count); the
+    bucket is deterministic, so a retried task rewrites the same rows.
     """
     path = bronze_path(root, source)
-    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_year))
-    (df.repartition(F.col(year_col), bucket)
-       .write.mode("overwrite")
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        spread = df.hint("rebalance", year_col)
+    else:
+        n = files_per_year or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
+        spread = df.repartition(F.col(year_col), bucket)
+    (spread.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .options(**CSV_OPTIONS)
        .partitionBy(year_col)

@@ -232,3 +232,18 @@ def test_strict_ingest_is_all_or_nothing(spark, tmp_dir):
     ingest_source(spark, SourceSpec("nve", lambda s: newer, SERIES), tmp_dir)
     assert rows(scan_bronze(spark, tmp_dir, "nve", SERIES.names), "year", "co2_per_kWh") == \
         [(2023, "4.0"), (2024, "6.0")]
+
+
+def test_land_bronze_without_aqe_uses_hash_buckets(spark, tmp_dir):
+    df = spark.createDataFrame([(str(2020 + i % 3), str(i), "t") for i in range(50)],
+                               "year string, co2_per_kWh string, factor_type string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        land_bronze(df, tmp_dir, "nve", files_per_year=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    back = scan_bronze(spark, tmp_dir, "nve", ["year", "co2_per_kWh", "factor_type"])
+    assert back.count() == 50
+    assert sorted(os.listdir(tmp_dir + "/nve")) == ["_SUCCESS", "year=2020", "year=2021", "year=2022"]
+    assert all(len([f for f in os.listdir(f"{tmp_dir}/nve/year={y}") if f.endswith(".csv")]) <= 4
+               for y in (2020, 2021, 2022))
