@@ -55,17 +55,19 @@ def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str
                   .drop(*[f"__f_{k}" for k in keys], "__f_from", "__f_to"))
 
 
-def geo_fallback(activity: DataFrame, factors: DataFrame,
-                 levels: list[tuple[str, str]], code_col: str = "country_code",
-                 value_col: str = "gCO2e_per_unit", out_value: str = "gCO2e_per_unit",
-                 out_level: str = "geo_level", small: bool | None = None) -> DataFrame:
-    """Most specific factor wins: try each (activity column, level name) in
-    order and keep the first match (E3).
+def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],
+                 code_col: str = "country_code", value_col: str = "gCO2e_per_unit",
+                 out_value: str = "gCO2e_per_unit", out_level: str = "geo_level",
+                 small: bool | None = None) -> DataFrame:
+    """Most specific factor wins: try each level in order, keep the first match.
 
-    One LEFT equi-join per level against the location factors, then a
-    ``coalesce`` in priority order: no candidate pairs are built and no
-    per-activity ranking shuffle is needed. Location factors are bounded by
-    the number of places (nations, regions); ``small=None`` proves that with a
+    ``levels``: ``(activity_column, level_name)`` for a per-row location, or
+    ``(None, level_name, code)`` for a level every row shares (the global
+    value). Per-row levels are LEFT equi-joins against the location factors;
+    a shared level is an uncorrelated scalar subquery evaluated once (no
+    cross join). A ``coalesce`` in priority order picks the winner: no
+    candidate pairs and no per-activity ranking shuffle. Location factors are
+    bounded by the number of places; ``small=None`` proves that with a
     bounded count, ``True`` takes the caller's bound.
     """
     f = factors.select(F.col(code_col).alias("__code"), F.col(value_col).alias("__val"))
@@ -73,13 +75,20 @@ def geo_fallback(activity: DataFrame, factors: DataFrame,
         small = has_at_most(f, MAX_BROADCAST_ROWS)
     out = activity
     vals, names = [], []
-    for i, (col, level) in enumerate(levels):
-        fi = f.select(F.col("__code").alias(f"__code{i}"), F.col("__val").alias(f"__val{i}"))
-        if small:
-            fi = F.broadcast(fi)
-        out = out.join(fi, F.col(col) == F.col(f"__code{i}"), "left").drop(f"__code{i}")
-        vals.append(F.col(f"__val{i}"))
-        names.append(F.when(F.col(f"__val{i}").isNotNull(), F.lit(level)))
+    for i, level in enumerate(levels):
+        col, name = level[0], level[1]
+        if col is None:
+            shared = f.where(F.col("__code") == F.lit(level[2])).select(F.max("__val")).scalar()
+            out = out.withColumn(f"__val{i}", shared)   # bound once, referenced below
+            val = F.col(f"__val{i}")
+        else:
+            fi = f.select(F.col("__code").alias(f"__code{i}"), F.col("__val").alias(f"__val{i}"))
+            if small:
+                fi = F.broadcast(fi)
+            out = out.join(fi, F.col(col) == F.col(f"__code{i}"), "left").drop(f"__code{i}")
+            val = F.col(f"__val{i}")
+        vals.append(val)
+        names.append(F.when(val.isNotNull(), F.lit(name)))
     return (out.withColumn(out_value, F.coalesce(*vals))
                .withColumn(out_level, F.coalesce(*names))
                .drop(*[f"__val{i}" for i in range(len(levels))]))

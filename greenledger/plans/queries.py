@@ -375,10 +375,10 @@ def q_activity_factor_join(spark, sf):
 
 
 def q_geo_fallback(spark, sf):
-    act = si.located_activity(spark, sf).withColumn("global_code", F.lit("GLOBAL"))
+    act = si.located_activity(spark, sf)
     # One factor per nation, region or the globe: bounded by the geography.
     out = geo_fallback(act, si.location_factors(spark, sf),
-                       [("nation_code", "nation"), ("region_code", "region"), ("global_code", "global")],
+                       [("nation_code", "nation"), ("region_code", "region"), (None, "global", "GLOBAL")],
                        small=True)
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", "geo_level", "gCO2e_per_unit",
                       (F.col("l_quantity") * F.col("gCO2e_per_unit")).alias("emissions"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from greenledger.operators.lookups import local_lookup
+from greenledger.operators.lookups import checked_broadcast, local_lookup
 from greenledger.operators.rules import NameRule, TerritoryRule
 from greenledger.session import work_dir
 
@@ -273,7 +273,10 @@ def located_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation x region is bounded by the number of countries: safe to broadcast.
     sup_geo = sup.join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey).select(
         "s_suppkey", "nation_code", "region_code")
-    return li.join(sup_geo, li.l_suppkey == sup_geo.s_suppkey).drop("s_suppkey")
+    # Suppliers grow with the data: broadcast only under a proven row bound,
+    # else a sort-merge join (AQE splits a hot supplier). The line items, the
+    # fact table, are never the broadcast side.
+    return li.join(checked_broadcast(sup_geo), li.l_suppkey == sup_geo.s_suppkey).drop("s_suppkey")
 
 
 def location_factors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,8 +148,8 @@ def test_geo_fallback_priority(spark):
     f = spark.createDataFrame([("NORWAY", 1.0), ("EUROPE", 2.0), ("GLOBAL", 3.0)],
                               "country_code string, gCO2e_per_unit double")
     act = spark.createDataFrame([(1, "NORWAY", "EUROPE"), (2, "FRANCE", "EUROPE"), (3, "PERU", "AMERICA")],
-                                "a int, nation string, region string").withColumn("g", F.lit("GLOBAL"))
-    out = geo_fallback(act, f, [("nation", "nation"), ("region", "region"), ("g", "global")])
+                                "a int, nation string, region string")
+    out = geo_fallback(act, f, [("nation", "nation"), ("region", "region"), (None, "global", "GLOBAL")])
     assert rows(out, "a", "geo_level", "gCO2e_per_unit") == [
         (1, "nation", 1.0), (2, "region", 2.0), (3, "global", 3.0)]
 
