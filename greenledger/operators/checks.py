@@ -60,6 +60,31 @@ def _key(check: Check) -> Column:
     return F.expr(check.column)
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _failure_sql(i: int, ch: Check) -> str:
+    """SQL for one check's (check, value) pair array: empty when it passes."""
+    null_v = "CAST(NULL AS STRING)"
+    if ch.kind == "not_null":
+        bad, val = f"({ch.column}) IS NULL", null_v
+    elif ch.kind == "expression":
+        bad, val = f"NOT coalesce(({ch.expr}), TRUE)", null_v
+    elif ch.kind == "unique":  # every key is emitted; repeats are counted later
+        bad, val = f"({ch.column}) IS NOT NULL", f"CAST(({ch.column}) AS STRING)"
+    else:
+        vals = ", ".join(_sql_literal(v) for v in ch.values)
+        bad = f"({ch.column}) IS NOT NULL AND ({ch.column}) NOT IN ({vals})"
+        val = f"CAST(({ch.column}) AS STRING)"
+    return (f"CASE WHEN {bad} THEN array(named_struct('i', {i}, 'v', {val})) "
+            f"ELSE CAST(array() AS ARRAY<STRUCT<i: INT, v: STRING>>) END")
+
+
 def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """All checks of a model in ONE pass over it.
 
@@ -68,26 +93,11 @@ def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     ``concat`` of one-element arrays; pairs are counted with a partial
     aggregate, so only distinct pairs per task are shuffled (a hot value
     becomes one pair per task). A local catalogue of the checks fills in
-    zero failures.
+    zero failures. The pair expression is one SQL text, parsed once.
     """
     spark = df.sparkSession
-    pair = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.StringType())])
-    empty = F.array().cast(T.ArrayType(pair))
-    items = []
-    for i, ch in enumerate(checks):
-        if ch.kind == "not_null":
-            bad, val = _key(ch).isNull(), F.lit(None).cast("string")
-        elif ch.kind == "expression":
-            bad, val = ~F.coalesce(F.expr(ch.expr), F.lit(True)), F.lit(None).cast("string")
-        elif ch.kind == "unique":  # every key is emitted; repeats are counted below
-            k = _key(ch)
-            bad, val = k.isNotNull(), k.cast("string")
-        else:
-            k = _key(ch)
-            bad, val = k.isNotNull() & ~k.isin(list(ch.values)), k.cast("string")
-        items.append(F.when(bad, F.array(F.struct(F.lit(i).alias("i"), val.alias("v"))))
-                     .otherwise(empty))
-    failures = df.select(F.explode(F.concat(*items)).alias("f")).select("f.i", "f.v")
+    pairs = "concat(" + ", ".join(_failure_sql(i, ch) for i, ch in enumerate(checks)) + ")"
+    failures = df.selectExpr(f"explode({pairs}) AS f").selectExpr("f.i AS i", "f.v AS v")
     per_value = failures.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     per_check = per_value.groupBy("i").agg(F.sum("n").alias("rows"),
                                            F.count(F.lit(1)).alias("values"),

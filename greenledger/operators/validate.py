@@ -93,19 +93,31 @@ def _violations(spec: FieldSpec, raw: Column, val: Column) -> list[tuple[Column,
     return out
 
 
-def annotate(df: DataFrame, contract: Contract) -> DataFrame:
-    """Input columns (blank-normalised, parent-filled) + typed ``__t_<col>``
-    values, ``violations`` array and ``_status``.
+@dataclass(frozen=True)
+class _ContractExprs:
+    normalise: dict      # parent fill + blank-to-NULL, over the input columns
+    typed: dict          # __t_<col> typed values
+    violations: Column
+    status: Column
 
-    The status is one boolean expression (codegen'd); the message array is a
-    ``concat`` of one-element arrays (no lambda functions, which would run
-    interpreted) and is only materialised where rejected rows are selected.
+
+_EXPRS: dict = {}
+
+
+def _contract_exprs(spark, contract: Contract, absent: frozenset) -> _ContractExprs:
+    """Column expressions of a contract, built once per application.
+
+    Columns are unresolved, immutable expressions, so the same objects serve
+    every DataFrame validated under the contract; building them costs
+    hundreds of driver-to-JVM calls that need not be repeated.
     """
-    absent = {f.name for f in contract.fields if f.must_exist and f.name not in df.columns}
-    df = require_columns(df, contract)
+    key = (spark.sparkContext.applicationId, contract, absent)
+    hit = _EXPRS.get(key)
+    if hit is not None:
+        return hit
+    normalise = {f.name: _blank_to_null(qcol(f.name)) for f in contract.fields if f.blank_is_null}
     for child, parent in contract.fill_from:
-        df = fill_from_parent(df, child, parent)
-    df = blank_to_null(df, [f.name for f in contract.fields if f.blank_is_null])
+        normalise[child] = F.coalesce(_blank_to_null(qcol(child)), qcol(parent))
 
     typed_cols, checks = {}, []
     for spec in contract.fields:
@@ -130,9 +142,25 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     status = (F.when(skipped, F.lit(SKIPPED))
               .when(any_bad, F.lit(INVALID))
               .otherwise(F.lit(VALID)))
-    return (df.withColumns(typed_cols)
-              .withColumn(VIOLATIONS, F.when(skipped, empty).otherwise(found))
-              .withColumn(STATUS, status))
+    out = _ContractExprs(normalise, typed_cols, F.when(skipped, empty).otherwise(found), status)
+    _EXPRS[key] = out
+    return out
+
+
+def annotate(df: DataFrame, contract: Contract) -> DataFrame:
+    """Input columns (blank-normalised, parent-filled) + typed ``__t_<col>``
+    values, ``violations`` array and ``_status``.
+
+    The status is one boolean expression (codegen'd); the message array is a
+    ``concat`` of one-element arrays (no lambda functions, which would run
+    interpreted) and is only materialised where rejected rows are selected.
+    """
+    absent = frozenset(f.name for f in contract.fields if f.must_exist and f.name not in df.columns)
+    df = require_columns(df, contract)
+    e = _contract_exprs(df.sparkSession, contract, absent)
+    if e.normalise:
+        df = df.withColumns(e.normalise)
+    return df.withColumns(e.typed).withColumns({VIOLATIONS: e.violations, STATUS: e.status})
 
 
 @dataclass

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs JVM round trips on every
+    # DataFrame/Column call while plans are being built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
