@@ -116,6 +116,8 @@ CONTRACTS = {c.source: c for c in (PRODUCTS, CATALOG, SERIES)}
 CATALOG_FACTOR_PREFIX = "GHG Conversion Factor"
 SERIES_YEAR_HEADER = "År"
 SERIES_VALUE_HEADER = "CO2"
+# Sheet-name fragments of the series workbook and the factor type each sets.
+SERIES_SHEET_PATTERNS = (("varedeklarasjon", "Market-based"), ("klimadeklarasjon", "Location-based"))
 
 
 def text_schema(names: list[str]) -> T.StructType:
