@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.operators.lookups import MAX_BROADCAST_ROWS, has_at_most
+from greenledger.session import work_dir
 
 
 def usable_on(df: DataFrame, day: _dt.date | str) -> DataFrame:
@@ -73,6 +74,11 @@ def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],
     f = factors.select(F.col(code_col).alias("__code"), F.col(value_col).alias("__val"))
     if small is None:
         small = has_at_most(f, MAX_BROADCAST_ROWS)
+    if small and any(level[0] is None for level in levels):
+        # Read by the joins and by the shared-level subquery: compute the
+        # (small) factor table once, into the shared checkpoint folder.
+        work_dir(f.sparkSession)
+        f = f.checkpoint(eager=True)
     out = activity
     vals, names = [], []
     for i, level in enumerate(levels):
