@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenledger.contracts import CONFORMED_SCHEMA
+from greenledger.session import work_dir
 
 CONFORMED_COLUMNS = [f.name for f in CONFORMED_SCHEMA.fields]
 EDITION_KEYS = ("source", "factor_name", "unit")
@@ -82,6 +83,14 @@ def _rank_by_range(df: DataFrame, keys, tiebreak, out, partitions) -> DataFrame:
                 .withColumn("__pid", F.spark_partition_id())
                 # consecutive within a partition, in its sorted order
                 .withColumn("__pos", F.monotonically_increasing_id()))
+    # Both uses below must see the SAME range partitioning. Spark reuses the
+    # one range exchange for both (ReusedExchange); when exchange reuse is
+    # switched off, each use would sample its own bounds, so the partitioned
+    # rows are checkpointed once into the shared folder instead.
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        work_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("__pid", *keys).agg(F.min("__pos").alias("__first"),
                                                  F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -134,3 +134,16 @@ def test_range_rank_equals_window_rank_on_a_hot_group(spark):
         ranged = {r["id"]: r["rn"] for r in rank_editions(df, method="range", partitions=parts).collect()}
         assert ranged == window
     assert sorted(v for k, v in window.items() if k.startswith("h")) == list(range(1, 901))
+
+
+def test_range_rank_without_exchange_reuse(spark):
+    hot = [(f"h{i:04d}", "Hot", "kWh", D(2000 + i % 20, 1, 1), D(2000 + i % 20, 12, 31)) for i in range(400)]
+    df = spark.createDataFrame(hot, "id string, factor_name string, unit string, valid_from date, valid_to date") \
+        .withColumn("source", F.lit("s"))
+    window = {r["id"]: r["rn"] for r in rank_editions(df, method="window").collect()}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ranged = {r["id"]: r["rn"] for r in rank_editions(df, method="range", partitions=6).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert ranged == window
