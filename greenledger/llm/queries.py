@@ -2,24 +2,87 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from greenledger.llm.bpe import encode_decode
 from greenledger.llm.exact_dedup import exact_classes
+from greenledger.llm.packing import pack
+from greenledger.llm.quality_rules import judge
+from greenledger.llm.sharding import assign_shards
+from greenledger.llm.token_counts import count_tokens
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *more)
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir, "source"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Each run starts from an empty cache: results and figures never rest on an earlier run.
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_classes(documents(spark, sf_dir).select("doc_id", "text"))
+    return exact_classes(documents(spark, sf_dir))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(documents(spark, sf_dir))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_sharding": op4_sharding,
+    "op6_bpe": op6_bpe,
+    "op7_packing": op7_packing,
 }
 
 ORACLE_SQL = {
+    "op1_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+             w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+             u AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+             tri AS (SELECT r, i, w, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM u
+                     WINDOW p AS (PARTITION BY r ORDER BY i)),
+             twice AS (SELECT r, i FROM tri WHERE w3 IS NOT NULL
+                       QUALIFY count(*) OVER (PARTITION BY r, w, w2, w3) >= 2),
+             rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY r),
+             line AS (SELECT r, count(*) - count(DISTINCT l) AS n
+                      FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
+                      WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+             m AS (SELECT doc_id, source, len(ws)::BIGINT AS n_words,
+                          length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                          coalesce(line.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+                   FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN line USING (r)),
+             b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+             h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM b GROUP BY source),
+             p AS (SELECT avg(k / n) AS m, var_pop(k / n) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS v FROM h),
+             s AS (SELECT source, CASE WHEN v > 0 THEN
+                          (k + greatest(m * (1 - m) / v - 1, 0) * m) / (n + greatest(m * (1 - m) / v - 1, 0))
+                          ELSE m END > 0.5 AS host_failed FROM h, p)
+        SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed,
+               NOT base_failed AND NOT host_failed AS kept
+        FROM b JOIN s ON b.source IS NOT DISTINCT FROM s.source""",
     "op3_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
                    FROM documents),
