@@ -1,0 +1,149 @@
+"""Token counts, BPE and packing against the libraries themselves."""
+
+import collections
+import hashlib
+import os
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from greenledger.llm import queries as Q
+from greenledger.llm.bpe import PrefixEncoder, encode_decode
+from greenledger.llm.packing import WINDOW, pack, plan
+from greenledger.llm.token_counts import count_tokens, read_cache, tokenizer_version
+
+SF = "/root/testdata/sf0.001"
+MODEL = P.path("piece_bpe_32k.model")
+HARD = [
+    None, "", " ", "\n\t ", "a", "Hello World's I'll don't", "<|endoftext|>", "x <|startoftext|>y<|endoftext|> z<|",
+    "Ünïcödé ÉÉ é ΑΣ ΟΔΟΣ. İstanbul", "日本語のテキスト 12345 ½ ²", "🙂👩‍👩‍👧 a‍b", "\x00\x1c\x1d b\x1ec\x85d\xa0e　f",
+    "a" * 5000, " " * 3000 + "b", "1" * 999, "!?" * 700, "<s> </s> <unk> ▁ x", "</w> a</w>b", "tab\tnew\r\nline\x0b\x0c",
+    "Handat ndti to thwhtionst " * 400, "ab" * 300 + "é" * 300,
+]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    rows = [(i, t, "x", i) for i, t in enumerate(HARD)] + [(3, "again", "x", 1), (3, "again", "x", 1), (None, "no id", None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, _row long")
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+
+
+def bag(rows):
+    return collections.Counter(map(tuple, rows))
+
+
+def test_counts(spark, hard, tmp_dir):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    want = bag((i, len(t.encode()), n := len(model.encode(t)), n > 4096) for i, t in texts(hard))
+    cache = os.path.join(tmp_dir, "cache")
+    assert bag(count_tokens(hard, MODEL, cache).collect()) == want
+    first = read_cache(spark, cache, tokenizer_version(MODEL)).count()
+    # A second run finds everything, and appends nothing.
+    assert bag(count_tokens(hard, MODEL, cache).collect()) == want
+    files = sum(f.endswith(".parquet") for _, _, names in os.walk(cache) for f in names)
+    assert read_cache(spark, cache, tokenizer_version(MODEL)).count() == first == len({t for _, t in texts(hard)})
+    assert files >= 1
+    # Stored counts are used: a planted wrong count comes back.
+    spark.createDataFrame([(bytearray(hashlib.sha256(b"planted").digest()), 77, tokenizer_version(MODEL))],
+                          "digest binary, n_tokens long, tokenizer string").write.mode("append").partitionBy(
+        "tokenizer").parquet(cache)
+    planted = spark.createDataFrame([(1, "planted")], "doc_id long, text string")
+    assert count_tokens(planted, MODEL, cache).first()["n_tokens"] == 77
+
+
+def test_bpe(hard):
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    lib.no_truncation()
+    lib.no_padding()
+    want = bag((i, tuple(ids := lib.encode(t, add_special_tokens=False).ids), lib.decode(ids, skip_special_tokens=False))
+               for i, t in texts(hard))
+    got = bag((r[0], tuple(r[1]), r[2]) for r in encode_decode(hard, P.path("word_bpe_49k.json")).collect())
+    assert got == want
+
+
+def test_bpe_query(spark):
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    docs = texts(spark.read.parquet(f"{SF}/documents.parquet"))
+    want = set()
+    for i, t in docs:
+        ids = lib.encode(t, add_special_tokens=False).ids
+        want.add((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                  hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert {tuple(r) for r in Q.op6_bpe(spark, SF).collect()} == want
+
+
+def test_prefix_encoder_on_random_words():
+    import random
+    rng = random.Random(5)
+    coder = PrefixEncoder(P.path("word_bpe_49k.json"))
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    for _ in range(3000):
+        word = "".join(rng.choice("aeiounrstthelmn") for _ in range(rng.randint(1, 25)))
+        assert coder.piece_ids(word) == lib.encode(word, add_special_tokens=False).ids
+
+
+def check_packing(docs, out):
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    lib.no_truncation()
+    want = collections.Counter()
+    ids = collections.defaultdict(list)
+    for i, t in docs:
+        x = lib.encode(t, add_special_tokens=False).ids + [0]
+        ids[i].append(x)
+        want[i, len(x)] += 1
+    got, by_doc = collections.defaultdict(list), collections.defaultdict(list)
+    for r in out:
+        got[r["sequence_id"]].append((r["offset"], r["length"], r["window"], r["step"]))
+        by_doc[r["doc_id"], r["doc_tokens"]].append((r["start"], r["length"], r["ids_crc32"]))
+    for (i, n), parts in by_doc.items():
+        same = [x for x in ids[i] if len(x) == n]
+        assert sum(p[1] for p in parts) == n * want[i, n]
+        sums = collections.Counter((s, zlib.crc32(np.array(x[s:s + k], "<u4").tobytes()))
+                                   for x in same for s, k, _ in {p[:2] + (0,) for p in parts})
+        assert all(sums[s, c] for s, _, c in parts)
+    assert set(by_doc) == set(want)
+    padding = 0
+    for parts in got.values():
+        at = 0
+        for offset, length, window, _ in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= WINDOW and len({p[2:] for p in parts}) == 1
+        assert parts[0][2] == (at if at & (at - 1) == 0 else WINDOW)
+        padding += parts[0][2] - at
+    assert sorted(got) == list(range(len(got)))
+    return padding, sum(sum(p[1] for p in parts) for parts in got.values())
+
+
+def test_packing(spark, hard):
+    files = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    check_packing(texts(hard), pack(hard, *files).collect())
+    padding, tokens = check_packing(texts(spark.read.parquet(f"{SF}/documents.parquet")), Q.op7_packing(spark, SF).collect())
+    assert padding < 0.02 * tokens
+    assert pack(hard.limit(0), *files).count() == 0
+
+
+def test_plan_uses_every_piece():
+    import random
+    rng = random.Random(3)
+    counts = {n: rng.randint(0, 50) for n in range(1, 1025)}
+    used = collections.Counter()
+    for pattern, times in plan(counts):
+        assert sum(pattern) <= WINDOW
+        for n in pattern:
+            used[n] += times
+    assert used == collections.Counter({n: c for n, c in counts.items() if c})
+
+
+def test_empty(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert count_tokens(none, MODEL).count() == 0
+    assert encode_decode(none, P.path("word_bpe_49k.json")).count() == 0
