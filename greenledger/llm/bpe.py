@@ -25,10 +25,11 @@ REMEMBERED = 400_000
 
 # Fixed values of the tokenizer's format.
 WORD_END = "</w>"
-WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"  # as in a character class
+WHITE_SPACE = "".join(map(chr, [
+    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + WHITE_SPACE + r"\p{L}\p{N}]+"
 
-END = ""  # stands for WORD_END inside pieces; bytes never map to it
+END = chr(0xE000)  # stands for WORD_END inside pieces; bytes never map to it
 
 
 def byte_letters() -> list[str]:

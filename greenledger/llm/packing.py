@@ -35,7 +35,7 @@ STEP_SEQUENCES = 64
 
 #: Texts with other letters go to the reference library itself, whose tables of
 #: letters may be of another Unicode version than the fast encoder's.
-PLAIN = r"[^\x00-ԯ -⁯€]|<\|endoftext\|>"
+PLAIN = f"[^\\x00-{chr(0x52F)}{chr(0x2000)}-{chr(0x206F)}{chr(0x20AC)}]|<\\|endoftext\\|>"
 
 
 def encoder(tokenizer_path: str, ranks_path: str, pattern: str):

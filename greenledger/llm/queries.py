@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from greenledger.llm.bpe import encode_decode
 from greenledger.llm.exact_dedup import exact_classes
+from greenledger.llm.langid import held_out, identify, labelled_sample
+from greenledger.llm.ngram_join import similar_classes
 from greenledger.llm.packing import pack
 from greenledger.llm.quality_rules import judge
 from greenledger.llm.sharding import assign_shards
@@ -47,6 +49,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang")
+    found = identify(docs.select("doc_id", "text"), labelled_sample(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_classes(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -54,6 +66,8 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op9_langid": op9_langid,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL = {

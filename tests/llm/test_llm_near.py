@@ -1,0 +1,116 @@
+"""N-gram Jaccard join against brute force."""
+
+import collections
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from greenledger.llm import ngram_join as J
+from greenledger.llm import queries as Q
+from greenledger.llm.components import components
+
+SF = "/root/testdata/sf0.001"
+
+
+def sets(text):
+    w = (text or "").encode().split()
+    if not w:
+        return None
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+
+
+def brute(docs):
+    """{row index: (class id, class size, links)}"""
+    s = [sets(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [0] * len(docs)
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        if s[a] and s[b] and 10 * len(s[a] & s[b]) >= 8 * len(s[a] | s[b]):
+            links[a] += 1
+            links[b] += 1
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    groups = collections.defaultdict(list)
+    for i in range(len(docs)):
+        groups[find(i)].append(i)
+    out = []
+    for g in groups.values():
+        first = min((docs[i][0] is None, docs[i][0] or 0) for i in g)
+        out += [(docs[i][0], None if first[0] else first[1], len(g), links[i]) for i in g]
+    return collections.Counter(out)
+
+
+def bag(df):
+    rows = df.collect()
+    per_class = collections.Counter()
+    for r in rows:
+        per_class[r["class_id"], r["class_size"]] += r["kept"]
+    return collections.Counter((r[0], r["class_id"], r["class_size"], r["n_links"]) for r in rows), per_class
+
+
+def varied(rng, n=60):
+    base = [[f"w{rng.randint(0, 400)}" for _ in range(rng.choice([3, 5, 8, 40, 120, 300]))] for _ in range(12)]
+    docs = []
+    for i in range(n):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 6])):
+            w[rng.randrange(len(w))] = f"x{rng.randint(0, 3)}"
+        docs.append((i, rng.choice([" ", "\n", "  \t"]).join(w)))
+    return docs
+
+
+@pytest.mark.parametrize("block", [1500, 4 << 20])
+def test_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK_BYTES", block)  # small blocks: components span many
+    docs = varied(random.Random(block)) + [
+        (None, None), (500, ""), (500, ""), (501, " \n"), (502, "one two"), (503, "one  two"), (502, "one two"),
+        (None, "one two three"), (None, "one two three"), (7, "é " * 50), (8, "é " * 49)]
+    df = spark.createDataFrame([(i, t, 1, "z") for i, t in docs], "doc_id long, text string, row int, root string")
+    got, _ = bag(J.similar_classes(df))
+    assert got == brute(docs)
+
+
+def test_query(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got, kept = bag(Q.op10_ngram_join(spark, SF))
+    assert got == brute(docs)
+    assert sum(n for (_, _, _, links), n in got.items() if links) > 0
+
+
+def test_drop_keeps_one_of_each_class_with_all_columns(spark):
+    docs = spark.createDataFrame([(2, "a b c d e f", 1), (1, "a b c  d e f", 2), (1, "a b c  d e f", 2), (3, None, 3)],
+                                 "doc_id long, text string, _row int")
+    got = sorted(tuple(r) for r in J.drop_near_copies(docs).collect())
+    assert got == [(1, "a b c  d e f", 2), (3, None, 3)]
+    assert J.drop_near_copies(docs.limit(0)).collect() == []
+
+
+def test_minhash_estimates_similarity():
+    rng = np.random.default_rng(1)
+    for share in (0.3, 0.6, 0.8, 0.9):
+        errors = []
+        for _ in range(60):
+            x = rng.integers(0, 1 << 63, 900).astype(np.uint64)
+            k = int(900 * share)
+            a, b = x[:k + (900 - k) // 2], np.concatenate([x[:k], x[k + (900 - k) // 2:]])
+            errors.append((J.minhash(a, J.LSH) == J.minhash(b, J.LSH)).mean() - share)
+        assert abs(np.mean(errors)) < 0.02
+
+
+def test_pruning_bounds():
+    need = J.least_matches()
+    assert need == sorted(need) and need[-1] < 0.8 * J.STEP * J.STEPS and need[0] > 0
+
+
+def test_components_on_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (301, 300)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 41)}, **{k: 100 for k in range(101, 160)}, 301: 300}
