@@ -13,6 +13,7 @@ from greenledger.llm.ngram_join import similar_classes
 from greenledger.llm.packing import pack
 from greenledger.llm.quality_rules import judge
 from greenledger.llm.sharding import assign_shards
+from greenledger.llm.suffix_dedup import remove_repeats
 from greenledger.llm.token_counts import count_tokens
 
 
@@ -37,6 +38,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -64,6 +70,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op9_langid": op9_langid,
