@@ -11,6 +11,7 @@ from greenledger.llm.exact_dedup import exact_classes
 from greenledger.llm.langid import held_out, identify, labelled_sample
 from greenledger.llm.ngram_join import similar_classes
 from greenledger.llm.packing import pack
+from greenledger.llm.pii import replace_pii
 from greenledger.llm.quality_rules import judge
 from greenledger.llm.sharding import assign_shards
 from greenledger.llm.suffix_dedup import remove_repeats
@@ -55,6 +56,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+#: Key of the surrogates; a production run passes its own secret.
+PII_KEY = "change-me"
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(documents(spark, sf_dir), PII_KEY, count_col="n_entities")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "lang")
     found = identify(docs.select("doc_id", "text"), labelled_sample(docs))
@@ -73,6 +82,7 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_ngram_join": op10_ngram_join,
 }
