@@ -15,3 +15,11 @@ Conventions shared by all operators
   not use.
 * An empty table gives an empty result with the same schema.
 """
+
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+# Functions sent to executors carry their code along: the library need not be
+# installed there.
+register_pickle_by_value(sys.modules[__name__])

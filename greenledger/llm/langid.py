@@ -33,8 +33,6 @@ MAX_LANGUAGES = 500
 STEP_LETTERS = 1 << 24
 UNKNOWN = "und"
 
-_MODELS: dict = {}
-
 
 def held_out(id_col: str = "doc_id") -> F.Column:
     """True for the fold that is never learned from (a null id is not in it)."""
@@ -136,6 +134,12 @@ class Parser:
         if len(self.table) < 1 << 30:
             self.table = self.table.astype(np.int32)
 
+    @classmethod
+    def restored(cls, state: dict) -> Parser:
+        parser = cls.__new__(cls)
+        parser.__dict__.update(state)
+        return parser
+
     def letters(self, text: str | None) -> np.ndarray:
         """Codes of the normalised text, without spaces at the ends."""
         c = self.codes[np.frombuffer((text or "").lower().encode("utf-32-le"), "<u4")]
@@ -188,14 +192,11 @@ class Parser:
         return langs, [float(s) if len(x) else 0.0 for s, x in zip(score, letters)]
 
 
-def _labeller(sample: dict[str, list[str]], text_col: str, columns: list[str]):
+def _labeller(model, text_col: str, columns: list[str]):
     def run(batches):
-        key = hash(tuple((k, *v) for k, v in sample.items()))
-        if key not in _MODELS:  # a worker builds its automata once
-            _MODELS.clear()
-            _MODELS[key] = Parser(sample)
+        parser = Parser.restored(model.value)
         for batch in batches:
-            langs, scores = _MODELS[key].predict(batch.column(text_col).to_pylist())
+            langs, scores = parser.predict(batch.column(text_col).to_pylist())
             kept = batch.select(columns)
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -215,4 +216,6 @@ def identify(docs: DataFrame, sample: dict[str, list[str]], text_col: str = "tex
     columns = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    return docs.select(*columns).mapInArrow(_labeller(sample, text_col, columns), schema)
+    # Bounded by the sample: some 50 bytes x alphabet per sampled letter.
+    model = docs.sparkSession.sparkContext.broadcast(vars(Parser(sample)))
+    return docs.select(*columns).mapInArrow(_labeller(model, text_col, columns), schema)
