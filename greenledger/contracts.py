@@ -21,6 +21,8 @@ class FieldSpec:
     must_exist     the column must be present even when NULL values are fine.
     non_blank      blank / whitespace text is a violation.
     blank_is_null  blank text becomes NULL before any check.
+    null_is_empty  NULL becomes empty text before any check: CSV can't tell an
+                   empty cell from a missing one, and here empty is a value.
     gt / ge / le   range bounds (NaN always violates a bound).
     """
 
@@ -30,6 +32,7 @@ class FieldSpec:
     must_exist: bool = False
     non_blank: bool = False
     blank_is_null: bool = False
+    null_is_empty: bool = False
     gt: float | None = None
     ge: float | None = None
     le: float | None = None
@@ -39,9 +42,11 @@ class FieldSpec:
 class Contract:
     """Row contract of one source.
 
-    measure        rows whose measure is NULL or blank are *skipped* before
-                   validation (counted apart from invalid rows).
-    fill_from      (child, parent) pairs: a blank child takes the parent's value.
+    measure        rows whose measure is NULL or empty are *skipped* before
+                   validation (counted apart from invalid rows); with
+                   ``skip_blank`` rows with a measure of white space too.
+    fill_from      (child, parent) pairs: a NULL or empty child takes the
+                   parent's value; white space is a value.
     on_error       "drop" keeps valid rows and quarantines the rest;
                    "fail" fails the whole batch on any invalid row.
     row_key        column ordering the error sample (a source line number).
@@ -50,6 +55,7 @@ class Contract:
     source: str
     fields: tuple[FieldSpec, ...]
     measure: str | None = None
+    skip_blank: bool = False
     fill_from: tuple[tuple[str, str], ...] = ()
     on_error: str = "drop"
     row_key: str | None = None
@@ -67,7 +73,7 @@ PRODUCTS = Contract(
     source="ademe",
     fields=(
         FieldSpec("__id", non_blank=True),
-        FieldSpec("Produit à l'unité"),
+        FieldSpec("Produit à l'unité", null_is_empty=True),
         FieldSpec("Facteur d'émission", "double", gt=0.0),
         FieldSpec("Incertitude en %", "double", required=False, blank_is_null=True,
                   ge=0.0, le=1.0),
@@ -76,6 +82,7 @@ PRODUCTS = Contract(
         FieldSpec("Remarques", required=False, must_exist=True, blank_is_null=True),
     ),
     measure="Facteur d'émission",
+    skip_blank=True,
     on_error="fail",
 )
 

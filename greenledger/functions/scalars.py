@@ -97,13 +97,28 @@ def open_end() -> Column:
     return F.lit(OPEN_END)
 
 
+def _chars(*codes: int) -> str:
+    return "".join(map(chr, codes))
+
+
+# Every character that counts as white space in a blank value.
+WHITE_SPACE = _chars(*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+NON_BLANK_PATTERN = f"[^{WHITE_SPACE}]"
+
+
 def blank_to_null(c: str | Column) -> Column:
     """Blank or all-whitespace text becomes NULL; other values unchanged."""
     c = as_col(c)
-    return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
+    return F.when(c.rlike(NON_BLANK_PATTERN), c)
+
+
+def empty_to_null(c: str | Column) -> Column:
+    """Empty text becomes NULL; white space is a value."""
+    c = as_col(c)
+    return F.when(c != "", c)
 
 
 def non_blank(c: str | Column) -> Column:
     """True when the text is present and not only whitespace (NULL-safe)."""
-    c = as_col(c)
-    return F.coalesce(F.trim(c) != "", F.lit(False))
+    return F.coalesce(as_col(c).rlike(NON_BLANK_PATTERN), F.lit(False))

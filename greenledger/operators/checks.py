@@ -138,8 +138,11 @@ def check_expr(df: DataFrame, col: str, predicate: str, model: str = "model") ->
 
 
 def assert_checks(results: DataFrame) -> None:
-    """Raise when any check failed (used to gate publishing)."""
-    failed = results.where(~F.col("passed")).limit(20).collect()
+    """Raise when any check failed, naming every one (used to gate publishing).
+
+    ``results`` has one row per declared check, so the collected rows are bounded.
+    """
+    failed = results.where(~F.col("passed")).orderBy("model", "check", "column").collect()
     if failed:
         detail = ", ".join(f"{r['model']}.{r['check']}({r['column']})={r['failing']}" for r in failed)
         raise AssertionError(f"data checks failed: {detail}")

@@ -3,9 +3,9 @@
 Plan shape at scale: the union is narrow; flagging the latest edition is the
 only wide step. ``current_only`` keeps rank 1 per group, which Catalyst plans
 as a *partial* WindowGroupLimit before the shuffle, so a group holding a third
-of all rows still sends at most one row per map task. ``flag_current`` joins
-those winners back on the row id (a near-unique key: no hot partition)
-instead of running a full window over each group.
+of all rows still sends at most one row per map task. ``flag_current`` writes
+the rows once and joins the winners back by row number (a unique key: no hot
+partition) instead of running a full window over each group.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenledger.contracts import CONFORMED_SCHEMA
-from greenledger.session import work_dir
+from greenledger.tables import free_name, numbered, with_positions, written
 
 CONFORMED_COLUMNS = [f.name for f in CONFORMED_SCHEMA.fields]
 EDITION_KEYS = ("source", "factor_name", "unit")
@@ -64,74 +64,55 @@ def rank_editions(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,
 
     ``method="window"``: one hash shuffle on the keys; every row of a group
     meets in one task, so a group holding a third of all rows is one task.
-    ``method="range"`` (default): the same numbers, skew-proof. Rows are
-    range-partitioned on (keys, edition order, tie-break), so a hot group is
-    spread over many sorted partitions; each row's number is its position in
-    its partition plus the count of its group's rows in earlier partitions.
-    Those counts form a table of at most (#groups + #partitions) rows.
+    ``method="range"`` (default): the same numbers, skew-proof. The rows are
+    written once with a row number. A projection of keys, edition order and row
+    number is dealt by range of that order, so a hot group is spread over many
+    sorted partitions, and gets global positions (see ``with_positions``). A
+    row's number is its position less its group's first one; it is joined back
+    by row number, a unique key. Rows that tie on everything else are ordered
+    by row number.
     """
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*edition_order(tiebreak))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    return _rank_by_range(df, keys, tiebreak, out, partitions)
-
-
-def _rank_by_range(df: DataFrame, keys, tiebreak, out, partitions) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(k).asc_nulls_first() for k in keys] + edition_order(tiebreak)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                .withColumn("__pid", F.spark_partition_id())
-                # consecutive within a partition, in its sorted order
-                .withColumn("__pos", F.monotonically_increasing_id()))
-    # Both uses below must see the SAME range partitioning. Spark reuses the
-    # one range exchange for both (ReusedExchange); when exchange reuse is
-    # switched off, each use would sample its own bounds, so the partitioned
-    # rows are checkpointed once into the shared folder instead.
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        work_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("__pid", *keys).agg(F.min("__pos").alias("__first"),
-                                                 F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    offsets = offsets.select(F.col("__pid").alias("__o_pid"),
-                             *[F.col(k).alias(f"__o_{k}") for k in keys], "__first", "__off")
-    cond = F.col("__pid") == F.col("__o_pid")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    joined = ranged.join(offsets, cond)
-    rn = (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("bigint")
-    return joined.withColumn(out, rn).select(*df.columns, out)
+    row = free_name(df.columns, "row")
+    base = written(numbered(df, row), "editions")
+    used = dict.fromkeys([*keys, "valid_from", "valid_to", *tiebreak])
+    order = [F.col(k).asc_nulls_first() for k in keys] + edition_order(tiebreak) + [F.col(row)]
+    placed = written(with_positions(base.select(*used, row), order, "dealt", partitions=partitions)
+                     .select(*keys, row, "pos"), "placed")
+    firsts = placed.groupBy(*keys).agg(F.min("pos").alias("_first"))
+    firsts = written(firsts.select(*[F.col(k).alias(f"_f_{k}") for k in keys], "_first"), "firsts")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys])
+    ranks = placed.join(firsts, same).select(
+        row, (F.col("pos") - F.col("_first") + 1).cast("bigint").alias("_rank"))
+    return base.join(ranks, row).select(*df.columns, F.col("_rank").alias(out))
 
 
 def current_only(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,
                  tiebreak: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Only the latest edition of each group."""
+    """Only the latest edition of each group (W3): one row, whatever ties."""
     # A filtered row_number lets Catalyst keep only rank 1 per group on each
     # map task (partial WindowGroupLimit) before the shuffle.
-    return (rank_editions(df, keys, tiebreak, "__rn", method="window")
-            .where(F.col("__rn") == 1).drop("__rn"))
+    rn = free_name(df.columns, "rn")
+    return rank_editions(df, keys, tiebreak, rn, method="window").where(F.col(rn) == 1).drop(rn)
 
 
 def flag_current(df: DataFrame, keys: tuple[str, ...] = EDITION_KEYS,
-                 tiebreak: tuple[str, ...] = ("id",), out: str = "is_current",
-                 id_col: str = "id") -> DataFrame:
+                 tiebreak: tuple[str, ...] = ("id",), out: str = "is_current") -> DataFrame:
     """All rows kept; ``is_current`` is true on each group's latest edition.
 
-    Winners are joined back on (id, keys) with NULL-safe key equality.
+    The rows are written once with a row number (their lineage is evaluated
+    once), winners are found on the written keys and joined back by row number:
+    exactly one row per group, even when ids repeat.
     """
-    winners = current_only(df.select(id_col, *keys, "valid_from", "valid_to",
-                                     *[t for t in tiebreak if t != id_col and t not in keys]),
-                           keys, tiebreak)
-    winners = winners.select(F.col(id_col).alias("__w_id"),
-                             *[F.col(k).alias(f"__w_{k}") for k in keys])
-    cond = F.col(id_col) == F.col("__w_id")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__w_{k}"))
-    joined = df.join(winners, cond, "left")
-    return (joined.withColumn(out, F.col("__w_id").isNotNull())
-                  .drop("__w_id", *[f"__w_{k}" for k in keys]))
+    row = free_name(df.columns, "row")
+    base = written(numbered(df, row), "editions")
+    used = dict.fromkeys([*keys, "valid_from", "valid_to", *tiebreak, row])
+    winners = current_only(base.select(*used), keys, (*tiebreak, row)).select(
+        row, F.lit(True).alias("_current"))
+    return base.join(winners, row, "left").select(
+        *df.columns, F.coalesce("_current", F.lit(False)).alias(out))
 
 
 def gold_columns(df: DataFrame) -> DataFrame:

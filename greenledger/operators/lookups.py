@@ -1,8 +1,9 @@
 """Lookup joins: wildcard translation, drop-list, value mapping.
 
-Lookup tables are user-supplied and usually small; they are broadcast only
-after their size is proven (a bounded ``limit(n+1).count()``), otherwise the
-join is left to the planner (sort-merge, AQE skew splitting).
+Lookup tables are user-supplied and usually small, but nothing here relies on
+that: no join carries a hint. The planner broadcasts a lookup whose known or
+measured size in bytes is below its threshold, and else sorts and merges, with
+skewed partitions split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -12,31 +13,8 @@ from pyspark.sql import functions as F
 
 from greenledger.operators.validate import qcol
 
-# Largest lookup (rows) that is broadcast to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      small: bool | None = None) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven small.
-
-    ``small``: None -> prove it with a bounded count; True -> the caller has
-    proven it (e.g. rows built from a local list of known length); False ->
-    never broadcast (left to the planner and AQE's runtime statistics).
-    """
-    if small is None:
-        small = has_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
-
-
 def wildcard_lookup(df: DataFrame, lookup: DataFrame, name: str, lookup_name: str,
-                    scope: str, lookup_scope: str, take: list[str],
-                    max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+                    scope: str, lookup_scope: str, take: list[str]) -> DataFrame:
     """LEFT join on name equality where a NULL lookup scope matches any scope.
 
     A name with both a generic (NULL scope) and a matching specific row yields
@@ -45,15 +23,13 @@ def wildcard_lookup(df: DataFrame, lookup: DataFrame, name: str, lookup_name: st
     """
     lk = lookup.select(qcol(lookup_name).alias("__lk_name"), qcol(lookup_scope).alias("__lk_scope"),
                        *[qcol(c) for c in take])
-    lk = checked_broadcast(lk, max_rows, small)
     cond = (qcol(name) == F.col("__lk_name")) & (
         F.col("__lk_scope").isNull() | (F.col("__lk_scope") == qcol(scope)))
     return df.join(lk, cond, "left").drop("__lk_name", "__lk_scope")
 
 
 def drop_listed(df: DataFrame, overrides: DataFrame, keys: list[str],
-                flag: str = "should_drop", max_rows: int = MAX_BROADCAST_ROWS,
-                small: bool | None = None) -> DataFrame:
+                flag: str = "should_drop") -> DataFrame:
     """Remove rows whose key pair is flagged in the override list.
 
     Written as a left-anti join against the flagged keys, so duplicated list
@@ -61,27 +37,18 @@ def drop_listed(df: DataFrame, overrides: DataFrame, keys: list[str],
     """
     flagged = overrides.where(F.coalesce(qcol(flag), F.lit(False))).select(
         *[qcol(k) for k in keys])
-    flagged = checked_broadcast(flagged, max_rows, small)
     return df.join(flagged, keys, "left_anti")
 
 
-def map_values(df: DataFrame, mapping: DataFrame, key: str, old: str, new: str,
-               max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+def map_values(df: DataFrame, mapping: DataFrame, key: str, old: str, new: str) -> DataFrame:
     """LEFT join a single-key mapping; unmatched rows get NULL ``new``.
 
     The mapping key must be unique (see :func:`assert_unique_key`).
     """
     mp = mapping.select(qcol(old).alias("__map_old"), qcol(new))
-    mp = checked_broadcast(mp, max_rows, small)
     return df.join(mp, qcol(key) == F.col("__map_old"), "left").drop("__map_old")
 
 
-def local_lookup(spark, rows: list, schema, max_rows: int = MAX_BROADCAST_ROWS):
-    """A lookup from driver-side rows; returns (frame, small) where ``small``
-    is proven by the list length, so no job is needed to check it."""
-    return spark.createDataFrame(rows, schema), len(rows) <= max_rows
-
-
 def duplicate_keys(lookup: DataFrame, key: Column) -> DataFrame:
     """Key values that occur more than once (NULL keys ignored)."""
     return (lookup.select(key.alias("key")).where(F.col("key").isNotNull())
@@ -90,13 +57,15 @@ def duplicate_keys(lookup: DataFrame, key: Column) -> DataFrame:
 
 def assert_unique_key(lookup: DataFrame, key: Column, what: str = "lookup") -> DataFrame:
     """Fail when a lookup key repeats, which would fan rows out."""
-    dup = duplicate_keys(lookup, key).limit(5).collect()
-    if dup:
-        raise ValueError(f"{what}: duplicate keys {[r['key'] for r in dup]}")
+    dup = duplicate_keys(lookup, key)
+    shown = [r["key"] for r in dup.orderBy("key").limit(5).collect()]
+    if shown:
+        more = dup.count() - len(shown)
+        raise ValueError(f"{what}: duplicate keys {shown}" + (f" and {more} more" if more else ""))
     return lookup
 
 
 def unmatched_keys(df: DataFrame, mapping: DataFrame, key: str, old: str) -> DataFrame:
     """Distinct data keys with no mapping row (a report for near-miss labels)."""
     keys = df.select(qcol(key).alias("key")).where(F.col("key").isNotNull()).distinct()
-    return keys.join(checked_broadcast(mapping.select(qcol(old).alias("key"))), "key", "left_anti")
+    return keys.join(mapping.select(qcol(old).alias("key")), "key", "left_anti")

@@ -13,8 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.operators.lookups import MAX_BROADCAST_ROWS, has_at_most
-from greenledger.session import work_dir
+from greenledger.operators.lookups import assert_unique_key
 
 
 def usable_on(df: DataFrame, day: _dt.date | str) -> DataFrame:
@@ -27,23 +26,20 @@ def usable_on(df: DataFrame, day: _dt.date | str) -> DataFrame:
 def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str],
                          date_col: str, quantity_col: str,
                          take: tuple[str, ...] = ("ef_id", "gCO2e_per_unit"),
-                         out: str = "emissions", small: bool | None = None) -> DataFrame:
+                         out: str = "emissions") -> DataFrame:
     """LEFT interval join: each activity row gets the factor whose validity
     interval contains its date, and ``quantity x factor`` (E2).
 
     Factors must not overlap in time for one key (editions of one factor are
     disjoint years); unmatched rows keep NULL factor and emissions.
     Plan: equi-join on ``keys`` with the date range as a residual.
-    ``small=True`` (caller-proven bound) broadcasts the factors; otherwise no
-    hint is given and AQE picks the strategy from the *measured* size of the
-    factor side after its shuffle: a broadcast when it is small, else a
-    sort-merge join whose skewed (hot-key) partitions AQE splits.
+    No hint is given: AQE picks the strategy from the *measured* size of the
+    factor side after its shuffle, a broadcast when it is small, else a
+    sort-merge join whose skewed (hot-key) partitions it splits.
     """
     f = factors.select(*[F.col(k).alias(f"__f_{k}") for k in keys],
                        F.col("valid_from").alias("__f_from"), F.col("valid_to").alias("__f_to"),
                        *take)
-    if small:
-        f = F.broadcast(f)
     cond = None
     for k in keys:
         c = F.col(k) == F.col(f"__f_{k}")
@@ -58,8 +54,7 @@ def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str
 
 def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],
                  code_col: str = "country_code", value_col: str = "gCO2e_per_unit",
-                 out_value: str = "gCO2e_per_unit", out_level: str = "geo_level",
-                 small: bool | None = None) -> DataFrame:
+                 out_value: str = "gCO2e_per_unit", out_level: str = "geo_level") -> DataFrame:
     """Most specific factor wins: try each level in order, keep the first match.
 
     ``levels``: ``(activity_column, level_name)`` for a per-row location, or
@@ -67,18 +62,14 @@ def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],
     value). Per-row levels are LEFT equi-joins against the location factors;
     a shared level is an uncorrelated scalar subquery evaluated once (no
     cross join). A ``coalesce`` in priority order picks the winner: no
-    candidate pairs and no per-activity ranking shuffle. Location factors are
-    bounded by the number of places; ``small=None`` proves that with a
-    bounded count, ``True`` takes the caller's bound.
+    candidate pairs and no per-activity ranking shuffle.
+
+    A location code must occur once; a repeated one is an error, found before
+    anything is joined. ``factors`` is read once per level and once for that
+    check, so pass a written table if it is expensive to compute.
     """
     f = factors.select(F.col(code_col).alias("__code"), F.col(value_col).alias("__val"))
-    if small is None:
-        small = has_at_most(f, MAX_BROADCAST_ROWS)
-    if small and any(level[0] is None for level in levels):
-        # Read by the joins and by the shared-level subquery: compute the
-        # (small) factor table once, into the shared checkpoint folder.
-        work_dir(f.sparkSession)
-        f = f.checkpoint(eager=True)
+    assert_unique_key(f, F.col("__code"), "location factors")
     out = activity
     vals, names = [], []
     for i, level in enumerate(levels):
@@ -86,15 +77,11 @@ def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],
         if col is None:
             shared = f.where(F.col("__code") == F.lit(level[2])).select(F.max("__val")).scalar()
             out = out.withColumn(f"__val{i}", shared)   # bound once, referenced below
-            val = F.col(f"__val{i}")
         else:
             fi = f.select(F.col("__code").alias(f"__code{i}"), F.col("__val").alias(f"__val{i}"))
-            if small:
-                fi = F.broadcast(fi)
             out = out.join(fi, F.col(col) == F.col(f"__code{i}"), "left").drop(f"__code{i}")
-            val = F.col(f"__val{i}")
-        vals.append(val)
-        names.append(F.when(val.isNotNull(), F.lit(name)))
+        vals.append(F.col(f"__val{i}"))
+        names.append(F.when(F.col(f"__val{i}").isNotNull(), F.lit(name)))
     return (out.withColumn(out_value, F.coalesce(*vals))
                .withColumn(out_level, F.coalesce(*names))
                .drop(*[f"__val{i}" for i in range(len(levels))]))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from greenledger.contracts import Contract, FieldSpec
 from greenledger.functions.scalars import blank_to_null as _blank_to_null
+from greenledger.functions.scalars import empty_to_null as _empty_to_null
 from greenledger.functions.scalars import non_blank as _non_blank
 
 STATUS = "_status"
@@ -50,8 +51,9 @@ def _fmt(x: float) -> str:
 
 
 def fill_from_parent(df: DataFrame, child: str, parent: str) -> DataFrame:
-    """A NULL or blank ``child`` takes the ``parent`` value (V9)."""
-    return df.withColumn(child, F.coalesce(_blank_to_null(qcol(child)), qcol(parent)))
+    """A NULL or empty ``child`` takes the ``parent`` value (V9); white space stays,
+    and a non-blank rule then rejects it."""
+    return df.withColumn(child, F.coalesce(_empty_to_null(qcol(child)), qcol(parent)))
 
 
 def blank_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -116,8 +118,9 @@ def _contract_exprs(spark, contract: Contract, absent: frozenset) -> _ContractEx
     if hit is not None:
         return hit
     normalise = {f.name: _blank_to_null(qcol(f.name)) for f in contract.fields if f.blank_is_null}
+    normalise |= {f.name: F.coalesce(qcol(f.name), F.lit("")) for f in contract.fields if f.null_is_empty}
     for child, parent in contract.fill_from:
-        normalise[child] = F.coalesce(_blank_to_null(qcol(child)), qcol(parent))
+        normalise[child] = F.coalesce(_empty_to_null(qcol(child)), qcol(parent))
 
     typed_cols, checks = {}, []
     for spec in contract.fields:
@@ -136,7 +139,7 @@ def _contract_exprs(spark, contract: Contract, absent: frozenset) -> _ContractEx
 
     if contract.measure:
         m = qcol(contract.measure)
-        skipped = m.isNull() | ~_non_blank(m)
+        skipped = m.isNull() | (~_non_blank(m) if contract.skip_blank else m == "")
     else:
         skipped = F.lit(False)
     status = (F.when(skipped, F.lit(SKIPPED))
@@ -155,7 +158,8 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     ``concat`` of one-element arrays (no lambda functions, which would run
     interpreted) and is only materialised where rejected rows are selected.
     """
-    absent = frozenset(f.name for f in contract.fields if f.must_exist and f.name not in df.columns)
+    absent = frozenset(f.name for f in contract.fields
+                       if (f.must_exist or f.null_is_empty) and f.name not in df.columns)
     df = require_columns(df, contract)
     e = _contract_exprs(df.sparkSession, contract, absent)
     if e.normalise:

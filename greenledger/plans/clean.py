@@ -15,7 +15,7 @@ from greenledger.functions.scalars import (
     strip_trailing_group,
 )
 from greenledger.operators.dimension import conform, union_sources
-from greenledger.operators.lookups import drop_listed, map_values, wildcard_lookup
+from greenledger.operators.lookups import assert_unique_key, drop_listed, map_values, wildcard_lookup
 from greenledger.operators.rules import (
     NameRule,
     TerritoryRule,
@@ -35,16 +35,15 @@ SERIES_CONFORM = {"sub_category": "Electricity", "category": "Energy", "uncertai
 CATALOG_CONFORM = {"uncertainty_pct": None}
 
 
-def clean_products(staged: DataFrame, translations: DataFrame,
-                   small: bool | None = None) -> DataFrame:
+def clean_products(staged: DataFrame, translations: DataFrame) -> DataFrame:
     """Translate names (wildcard lookup), scale kilogram units, strip the unit group.
 
     ``translations``: factor_name_fr, factor_name_en, federation (NULL = any);
-    ``small``: see ``checked_broadcast``.
+    a name and federation that occur twice are an error.
     """
+    assert_unique_key(translations, F.struct("factor_name_fr", "federation"), "translations")
     j = wildcard_lookup(staged, translations, name="factor_name", lookup_name="factor_name_fr",
-                        scope="federation", lookup_scope="federation", take=["factor_name_en"],
-                        small=small)
+                        scope="federation", lookup_scope="federation", take=["factor_name_en"])
     std = F.coalesce(F.col("factor_name_en"), F.col("factor_name"))
     return j.select(
         "id",
@@ -66,18 +65,20 @@ class CatalogRules:
     name_rules: list[NameRule] = field(default_factory=list)
     territory: TerritoryRule | None = None
     rewrite_category: str | None = None
-    small_lookups: bool | None = None   # proven small (see checked_broadcast)
+
+    def __post_init__(self) -> None:
+        """Both mappings must have unique keys: a repeated one would multiply rows."""
+        assert_unique_key(self.category_map, F.col("category_old"), "category mapping")
+        assert_unique_key(self.sub_category_map, F.col("sub_category_old"), "sub-category mapping")
 
 
 def map_catalog(staged: DataFrame, rules: CatalogRules) -> DataFrame:
     """Drop-list on the original keys, key rewrite, then both mappings."""
-    small = rules.small_lookups
-    kept = drop_listed(staged, rules.overrides, ["category", "sub_category"], small=small)
+    kept = drop_listed(staged, rules.overrides, ["category", "sub_category"])
     kept = rewrite_sub_category(kept, rules.rewrite_category)
-    mapped = map_values(kept, rules.category_map, "category", "category_old", "category_new",
-                        small=small)
+    mapped = map_values(kept, rules.category_map, "category", "category_old", "category_new")
     return map_values(mapped, rules.sub_category_map, "sub_category",
-                      "sub_category_old", "sub_category_new", small=small)
+                      "sub_category_old", "sub_category_new")
 
 
 def clean_catalog(staged: DataFrame, rules: CatalogRules) -> DataFrame:

@@ -96,7 +96,8 @@ def _run_one(spark: SparkSession, registry: dict[str, SourceSpec], bronze_root:
         ingest_source(spark, spec, bronze_root)
         return (name, "ok", None, round(time.perf_counter() - start, 2))
     except Exception as exc:  # one source's failure must not stop the others
-        return (name, "error", str(exc).splitlines()[0][:500], round(time.perf_counter() - start, 2))
+        reason = str(exc) or type(exc).__name__
+        return (name, "error", reason, round(time.perf_counter() - start, 2))
 
 
 def run_sources(spark: SparkSession, registry: dict[str, SourceSpec], bronze_root: str,

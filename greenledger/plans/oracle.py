@@ -39,8 +39,17 @@ def values(rows, cols) -> str:
     return f"SELECT * FROM (VALUES {body}) AS v({', '.join(cols)})"
 
 
+# White space as the contracts see it: ASCII separators, no-break and typographic spaces.
+_SPACES = "".join(chr(c) for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203),
+                                   8232, 8233, 8239, 8287, 12288])
+
+
+def _blank(c: str) -> str:
+    return f"regexp_full_match({c}, '[{_SPACES}]*')"
+
+
 def _blank_null(c: str) -> str:
-    return f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END"
+    return f"CASE WHEN {_blank(c)} THEN NULL ELSE {c} END"
 
 
 def validation(contract: Contract, raw_cols: list[str], src: str) -> str:
@@ -51,7 +60,9 @@ def validation(contract: Contract, raw_cols: list[str], src: str) -> str:
     norm = []
     for c in raw_cols:
         if c in fill:
-            norm.append(f"coalesce({_blank_null(q(c))}, {q(fill[c])}) AS {q(c)}")
+            norm.append(f"coalesce(nullif({q(c)}, ''), {q(fill[c])}) AS {q(c)}")
+        elif c in specs and specs[c].null_is_empty:
+            norm.append(f"coalesce({q(c)}, '') AS {q(c)}")
         elif c in specs and specs[c].blank_is_null:
             norm.append(f"{_blank_null(q(c))} AS {q(c)}")
         else:
@@ -64,7 +75,7 @@ def validation(contract: Contract, raw_cols: list[str], src: str) -> str:
         if f.required:
             checks.append(f"CASE WHEN {c} IS NULL THEN {lit(f.name + ': field required')} END")
         if f.non_blank:
-            checks.append(f"CASE WHEN {c} IS NOT NULL AND trim({c}) = '' "
+            checks.append(f"CASE WHEN {c} IS NOT NULL AND {_blank(c)} "
                           f"THEN {lit(f.name + ': must be non-blank')} END")
         if f.dtype != "string":
             checks.append(f"CASE WHEN {c} IS NOT NULL AND {t} IS NULL "
@@ -80,7 +91,7 @@ def validation(contract: Contract, raw_cols: list[str], src: str) -> str:
                               f"THEN {lit(f.name + ': must be ' + ' and '.join(words))} END")
     if contract.measure:
         m = q(contract.measure)
-        skipped = f"({m} IS NULL OR trim({m}) = '')"
+        skipped = f"({m} IS NULL OR {_blank(m)})" if contract.skip_blank else f"({m} IS NULL OR {m} = '')"
     else:
         skipped = "FALSE"
     return f"""
@@ -286,19 +297,25 @@ _LOC_ACT = """
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 _LOC_FACTORS = """
   SELECT n_name AS code, max(s_acctbal) / 1000.0 AS v
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 5000 GROUP BY n_name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name HAVING count(*) % 2 = 0
   UNION ALL
   SELECT r_name, max(c_acctbal) / 1000.0
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE c_acctbal > 9000 AND c_mktsegment = 'AUTOMOBILE' GROUP BY r_name
+  GROUP BY r_name HAVING count(*) % 2 = 1
   UNION ALL
   SELECT 'GLOBAL', max(c_acctbal) / 1000.0 FROM customer"""
 
 
 def oracle_sql() -> dict[str, str]:
     w = with_ctes
-    cat_fill = f"coalesce({_blank_null(q('Level 3'))}, {q('Level 2')})"
+    cat_fill = f"coalesce(nullif({q('Level 3')}, ''), {q('Level 2')})"
     prod_dirty = shaped(si.PRODUCTS_DIRTY, "part")
+    check_rows = " UNION ALL ".join([
+        checks_sql("stg_series", "stg_series", ck.series_suite()),
+        checks_sql("stg_products", "stg_products", ck.products_suite()),
+        checks_sql("stg_catalog", "stg_catalog", ck.catalog_suite()),
+        checks_sql("dim_factors", "dim", ck.gold_suite()),
+    ])
     summary = ("SELECT {src} AS source, count(*) AS total, "
                "CAST(count_if(status = 'valid') AS BIGINT) AS valid, "
                "CAST(count_if(status = 'invalid') AS BIGINT) AS invalid, "
@@ -352,18 +369,13 @@ def oracle_sql() -> dict[str, str]:
         "clean_catalog": w("SELECT * FROM clean_catalog"),
         "clean_series": w("SELECT * FROM clean_series"),
         "conform_union": w("SELECT * FROM conformed"),
-        "rank_editions": w("SELECT id, source, factor_name, unit, valid_from, valid_to, rn FROM ranked"),
+        "rank_editions": w("SELECT * FROM ranked"),
         "flag_current": w("SELECT * FROM dim"),
         "current_only": w('SELECT id, source, factor_name, unit, source_year, "gCO2e_per_unit" '
                           'FROM ranked WHERE rn = 1'),
         "dim_factors": w("SELECT * FROM dim ORDER BY source, country_code, factor_name, source_year, "
                          "valid_from, ef_id"),
-        "check_suite": w(" UNION ALL ".join([
-            checks_sql("stg_series", "stg_series", ck.series_suite()),
-            checks_sql("stg_products", "stg_products", ck.products_suite()),
-            checks_sql("stg_catalog", "stg_catalog", ck.catalog_suite()),
-            checks_sql("dim_factors", "dim", ck.gold_suite()),
-        ])),
+        "check_suite": w(check_rows),
         "check_unique_lookup": checks_sql(
             "translations", f"({shaped(si.PART_TRANSLATIONS, 'part')})", ck.translation_suite()),
         "rows_per_year": w('SELECT year, count(*) AS "rows" FROM cat_valid GROUP BY year ORDER BY year'),
@@ -400,7 +412,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT a.event_id, a.activity_date, f.ef_id, f."gCO2e_per_unit",
                    a.quantity * f."gCO2e_per_unit" AS emissions
             FROM ({shaped(si.EVENT_ACTIVITY, 'events')}) a
-            LEFT JOIN (SELECT * FROM dim WHERE source = 'nve') f
+            LEFT JOIN dim f
               ON a.factor_name = f.factor_name AND a.unit = f.unit
              AND a.activity_date >= f.valid_from AND a.activity_date <= f.valid_to"""),
         "geo_fallback": f"""
@@ -415,8 +427,47 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN lf f2 ON f2.code = a.region_code
             LEFT JOIN lf f3 ON f3.code = 'GLOBAL'""",
     }
+    prod_rows = f"({validation(PRODUCTS, [*PROD_COLS, 'row_no'], '(' + prod_dirty + ')')})"
+    sql |= {
+        "gated_publish": w(f"""
+            SELECT 'declared' AS gate, CASE WHEN ok THEN 'published' ELSE 'refused' END AS outcome,
+                   CASE WHEN ok THEN (SELECT count(*) FROM dim) END AS "rows"
+            FROM (SELECT coalesce(bool_and(passed), TRUE) AS ok FROM ({check_rows}))
+            UNION ALL SELECT 'failing', 'refused', NULL"""),
+        "all_sources_ok": w("""
+            SELECT (SELECT count(*) FROM cat_chk) > 0 AND (SELECT count(*) FROM prod_chk) > 0
+               AND (SELECT count(*) FROM prod_chk WHERE status = 'invalid') = 0
+               AND (SELECT count(*) FROM series_chk) > 0
+               AND (SELECT count(*) FROM series_chk WHERE status = 'invalid') = 0 AS ok, 'registered' AS run
+            UNION ALL SELECT FALSE, 'with an unknown source'"""),
+        "strict_failure": f"""
+            WITH chk AS {prod_rows},
+                 bad AS (SELECT row_no, array_to_string(violations, '; ') AS v,
+                                row_number() OVER (ORDER BY row_no) AS k FROM chk WHERE status = 'invalid'),
+                 n AS (SELECT count(*) AS bad, (SELECT count(*) FROM chk) AS total FROM bad)
+            SELECT 'ademe' AS source, CASE WHEN bad = 0 THEN 'ok' ELSE 'error' END AS status,
+              CASE WHEN bad > 0 THEN 'ademe: validation failed: ' || bad || ' / ' || total || ' rows invalid.' || chr(10)
+                || (SELECT string_agg('row ' || row_no || ': ' || v, chr(10) ORDER BY k) FROM bad WHERE k <= 20)
+                || CASE WHEN bad > 20 THEN chr(10) || '... and ' || (bad - 20) || ' more row(s) with errors' ELSE '' END
+              END AS reason
+            FROM n""",
+        "publisher_landing": w("SELECT * FROM series_valid"),
+        "catalog_exports": w("SELECT * EXCLUDE (row_no) FROM cat_valid"),
+        "series_sheets": f"""
+            SELECT CAST(year AS INTEGER) AS year, co2_per_kWh, factor_type FROM ({sql["tagged_sheets"]})
+            WHERE co2_per_kWh >= 0 AND NOT isnan(co2_per_kWh)""",
+        "edition_slice": w(f'SELECT "ID", "Scope", "UOM", CAST(year AS INTEGER) AS year FROM cat_valid '
+                           f"WHERE CAST(year AS INTEGER) = {SLICE_YEAR}"),
+        "lookup_csv": shaped({c: e if c != "federation" else f"nullif({e}, '')"
+                              for c, e in si.PART_TRANSLATIONS.items()}, "part"),
+        "missing_column": w("""
+            SELECT 'defra' AS source, count(*) AS total, 0::BIGINT AS valid,
+                   CAST(count_if(status <> 'skipped') AS BIGINT) AS invalid,
+                   CAST(count_if(status = 'skipped') AS BIGINT) AS skipped FROM cat_chk"""),
+    }
     sql["incremental_landing"] = sql["bronze_roundtrip"]
     return sql
 
 
 USABLE_DAY = "2019-06-30"
+SLICE_YEAR = 2015

@@ -6,14 +6,13 @@ tables through the stand-ins (see ``standins``). Each function takes
 from __future__ import annotations
 
 import dataclasses
-import os
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenledger.contracts import CATALOG, PRODUCTS, SERIES
+from greenledger.contracts import CATALOG, PRODUCTS, SERIES, Contract
 from greenledger.functions.scalars import (
     concat_nulls,
     concat_skip_nulls,
@@ -40,8 +39,9 @@ from greenledger.operators.validate import (
     validate,
 )
 from greenledger.plans import standins as si
+from greenledger.plans.build import check_models, publish_checked
 from greenledger.plans.clean import clean_catalog, clean_products, clean_series, conform_all, map_catalog
-from greenledger.plans.ingest import SourceSpec, ingest_source, run_sources
+from greenledger.plans.ingest import SourceSpec, all_ok, ingest_source, run_sources
 from greenledger.plans.staging import (
     PRODUCTS_EDITION_YEAR,
     stage_catalog,
@@ -57,14 +57,20 @@ from greenledger.sources.bronze import (
     rows_per_year,
     scan_bronze,
     union_tagged_sheets,
+    year_slice,
 )
-from greenledger.sources.publish import publish_snapshot, reconcile_written
+from greenledger.sources.lookups import load_lookup
+from greenledger.sources.publish import check_schema, materialise, publish_snapshot, read_snapshot, reconcile_written
+from greenledger.sources.publishers import read_catalog_export, read_series_sheets
+from greenledger.tables import fresh_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The catalog stand-in carries its source line number for error samples.
 CATALOG_ROWS = dataclasses.replace(CATALOG, keep=("row_no",), row_key="row_no")
+PRODUCTS_ROWS = dataclasses.replace(PRODUCTS, keep=("row_no",), row_key="row_no")
 USABLE_DAY = "2019-06-30"
+SLICE_YEAR = 2015
 
 
 # ---------------------------------------------------------------- building blocks
@@ -72,21 +78,25 @@ def catalog_checked(spark, sf):
     return validate(si.catalog_raw(spark, sf), CATALOG_ROWS)
 
 
-_INGESTED: dict[tuple[str, str, str], str] = {}
+_INGESTED: dict[tuple, str] = {}
 
 
 def ingested(spark, sf, source: str) -> DataFrame:
     """Bronze rows of one source as the transformation layer sees them:
-    validated under the source's contract and landed as per-year CSV by the
-    ingestion runner (once per application), then scanned as text."""
+    validated under the source's contract and landed as per-year CSV, the
+    exchange format, by the ingestion runner (once per application and state of
+    the input). Staging scans a Parquet copy of it: quoted line breaks make a
+    CSV file one task, and a columnar copy is pruned by column and row group."""
     spec = source_registry(sf)[source]
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), source)
-    root = _INGESTED.get(key)
-    if root is None:
+    key = (*si.table_state(spark, sf), source)
+    path = _INGESTED.get(key)
+    if path is None:
         root = work_dir(spark, f"bronze-{uuid.uuid4().hex}")
         ingest_source(spark, spec, root)
-        _INGESTED[key] = root
-    return scan_bronze(spark, root, source, spec.contract.names + list(spec.contract.keep))
+        path = materialise(scan_bronze(spark, root, source, spec.contract.names + list(spec.contract.keep)),
+                           fresh_path(spark, f"bronze-copy-{source}"))
+        _INGESTED[key] = path
+    return spark.read.parquet(path)
 
 
 def catalog_valid(spark, sf):
@@ -109,15 +119,14 @@ def staged(spark, sf):
 def products_std(spark, sf):
     """Staged products with the translated-else-original name as ``std``."""
     j = wildcard_lookup(stage_products(products_valid(spark, sf)), si.translations(spark),
-                        "factor_name", "factor_name_fr", "federation", "federation", ["factor_name_en"],
-                        small=True)
+                        "factor_name", "factor_name_fr", "federation", "federation", ["factor_name_en"])
     return j.withColumn("std", F.coalesce("factor_name_en", "factor_name"))
 
 
 def conformed(spark, sf):
     cat, prod, ser = staged(spark, sf)
     return conform_all(clean_catalog(cat, si.catalog_rules(spark)), clean_series(ser),
-                       clean_products(prod, si.translations(spark), small=True))
+                       clean_products(prod, si.translations(spark)))
 
 
 def dimension(spark, sf):
@@ -154,10 +163,10 @@ def q_validation_summary(spark, sf):
 
 def q_error_sample(spark, sf):
     rejected = catalog_checked(spark, sf).rejected
-    remaining = max(rejected.count() - 20, 0)
+    remaining = rejected.select(F.greatest(F.count(F.lit(1)) - 20, F.lit(0)).cast("bigint")).scalar()
     return (error_sample(rejected, "row_no", 20)
             .select("row_no", "ID", F.array_join(VIOLATIONS, "; ").alias(VIOLATIONS),
-                    F.lit(remaining).cast("bigint").alias("remaining")))
+                    remaining.alias("remaining")))
 
 
 def q_parent_fill(spark, sf):
@@ -174,7 +183,7 @@ def q_blank_to_null(spark, sf):
 def _wildcard(spark, sf, fanout):
     return wildcard_lookup(stage_products(products_valid(spark, sf)), si.translations(spark, fanout),
                            "factor_name", "factor_name_fr", "federation", "federation",
-                           ["factor_name_en"], small=True).select(
+                           ["factor_name_en"]).select(
                                "id", "factor_name", "federation", "factor_name_en")
 
 
@@ -189,17 +198,16 @@ def q_wildcard_fanout(spark, sf):
 def q_drop_listed(spark, sf):
     rules = si.catalog_rules(spark)
     return drop_listed(stage_catalog(catalog_valid(spark, sf)), rules.overrides,
-                       ["category", "sub_category"], small=rules.small_lookups).select(
+                       ["category", "sub_category"]).select(
                            "id", "category", "sub_category")
 
 
 def q_map_category(spark, sf):
     rules = si.catalog_rules(spark)
     kept = drop_listed(stage_catalog(catalog_valid(spark, sf)), rules.overrides,
-                       ["category", "sub_category"], small=rules.small_lookups)
+                       ["category", "sub_category"])
     kept = rewrite_sub_category(kept, rules.rewrite_category)
-    return map_values(kept, rules.category_map, "category", "category_old", "category_new",
-                      small=rules.small_lookups).select(
+    return map_values(kept, rules.category_map, "category", "category_old", "category_new").select(
         "id", "category", "sub_category", "category_new")
 
 
@@ -219,7 +227,7 @@ def q_unmatched_lookup_keys(spark, sf):
     the report that exposes near-miss labels between lookup tables."""
     rules = si.catalog_rules(spark)
     kept = drop_listed(stage_catalog(catalog_valid(spark, sf)), rules.overrides,
-                       ["category", "sub_category"], small=rules.small_lookups)
+                       ["category", "sub_category"])
     kept = rewrite_sub_category(kept, rules.rewrite_category)
     return unmatched_keys(kept, rules.sub_category_map, "sub_category", "sub_category_old")
 
@@ -254,7 +262,7 @@ def q_null_concat(spark, sf):
 
 # ---------------------------------------------------------------- cleaning, union, dimension
 def q_clean_products(spark, sf):
-    return clean_products(stage_products(products_valid(spark, sf)), si.translations(spark), small=True)
+    return clean_products(stage_products(products_valid(spark, sf)), si.translations(spark))
 
 
 def q_clean_catalog(spark, sf):
@@ -270,8 +278,7 @@ def q_conform_union(spark, sf):
 
 
 def q_rank_editions(spark, sf):
-    return rank_editions(prepare(conformed(spark, sf))).select(
-        "id", "source", "factor_name", "unit", "valid_from", "valid_to", "rn")
+    return rank_editions(prepare(conformed(spark, sf)))
 
 
 def q_flag_current(spark, sf):
@@ -289,13 +296,15 @@ def q_dim_factors(spark, sf):
 
 # ---------------------------------------------------------------- checks
 def q_check_suite(spark, sf):
-    cat, prod, ser = staged(spark, sf)
-    return (ck.run_checks(ser, "stg_series", ck.series_suite())
-            .unionByName(ck.run_checks(prod, "stg_products", ck.products_suite()))
-            .unionByName(ck.run_checks(cat, "stg_catalog", ck.catalog_suite()))
-            .unionByName(ck.run_checks(build_dimension(conform_all(
-                clean_catalog(cat, si.catalog_rules(spark)), clean_series(ser),
-                clean_products(prod, si.translations(spark), small=True))), "dim_factors", ck.gold_suite())))
+    return check_models(checked_models(spark, sf))
+
+
+def checked_models(spark, sf) -> dict[str, DataFrame]:
+    """Each staged relation and the dimension, written once; checks read those tables."""
+    cat, prod, ser = (written(df, "staged") for df in staged(spark, sf))
+    dim = build_dimension(conform_all(clean_catalog(cat, si.catalog_rules(spark)), clean_series(ser),
+                                      clean_products(prod, si.translations(spark))))
+    return {"stg_series": ser, "stg_products": prod, "stg_catalog": cat, "dim_factors": written(dim, "dim")}
 
 
 def q_check_unique_lookup(spark, sf):
@@ -339,8 +348,26 @@ def q_tagged_sheets(spark, sf):
 def q_publish_reconcile(spark, sf):
     dim = dimension(spark, sf)
     target = work_dir(spark, f"gold-{uuid.uuid4().hex}", "dim_factors")
-    written = publish_snapshot(dim, target)
-    return reconcile_written(spark, written, spark.read.parquet(target))
+    rows = publish_snapshot(dim, target)
+    return reconcile_written(spark, rows, read_snapshot(spark, target))
+
+
+def q_gated_publish(spark, sf):
+    """The dimension published behind its checks. Every declared check gates;
+    one check is added that always fails, in a second run that must be refused."""
+    models = checked_models(spark, sf)
+    results = written(check_models(models), "checks")
+    target = work_dir(spark, f"gold-{uuid.uuid4().hex}", "dim_factors")
+    check_schema(models["dim_factors"])
+    outcome = []
+    bad = spark.createDataFrame([("dim_factors", "expression", "always fails", 1, False)], results.schema)
+    for name, gate in (("declared", results), ("failing", results.unionByName(bad))):
+        try:
+            row = publish_checked(models["dim_factors"], gate, target).first()
+            outcome.append((name, "published", row["dst_rows"]))
+        except AssertionError:
+            outcome.append((name, "refused", None))
+    return spark.createDataFrame(outcome, "gate string, outcome string, rows long")
 
 
 def source_registry(sf: str) -> dict[str, SourceSpec]:
@@ -359,27 +386,91 @@ def q_run_report(spark, sf):
     return report.select("source", "status", "reason")
 
 
+def q_all_sources_ok(spark, sf):
+    root = work_dir(spark, f"bronze-{uuid.uuid4().hex}")
+    good = run_sources(spark, source_registry(sf), root, max_parallel=3)
+    mixed = run_sources(spark, source_registry(sf), root, ["nve", "unknown_src"])
+    return (all_ok(good).withColumn("run", F.lit("registered"))
+            .unionByName(all_ok(mixed).withColumn("run", F.lit("with an unknown source"))))
+
+
+def q_strict_failure(spark, sf):
+    """A strict source with invalid rows: the whole batch fails, and the report
+    carries the whole reason (first 20 rows and how many more)."""
+    spec = SourceSpec("ademe", lambda s: si.products_raw(s, sf, dirty=True), PRODUCTS_ROWS,
+                      fixed_year=PRODUCTS_EDITION_YEAR)
+    root = work_dir(spark, f"bronze-{uuid.uuid4().hex}")
+    return run_sources(spark, {"ademe": spec}, root).select("source", "status", "reason")
+
+
+# ---------------------------------------------------------------- publishers' own files
+def q_publisher_landing(spark, sf):
+    """``{year}/factors.csv`` files with the year inside and their columns in
+    changing order, read back by header name and typed by the contract."""
+    root = fresh_path(spark, "publisher")
+    cols = ["year", "co2_per_kWh", "factor_type"]
+    si.write_publisher_files(spark, si.series_raw(spark, sf), root, "nve", [cols[::-1], cols, [cols[1], cols[0], cols[2]]])
+    return _typed(spark, SourceSpec("nve", lambda s: scan_bronze(s, root, "nve", cols, layout="publisher"), SERIES))
+
+
+def _typed(spark, spec: SourceSpec, contract: Contract | None = None) -> DataFrame:
+    return validate(spec.read(spark), contract or spec.contract).valid
+
+
+def q_catalog_exports(spark, sf):
+    """All editions of the catalog read from the publisher's exports."""
+    root = fresh_path(spark, "exports")
+    years = si.write_catalog_exports(spark, sf, root)
+
+    def read(s):
+        out = None
+        for y in years:
+            one = read_catalog_export(s, f"{root}/{y}", y)
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    return _typed(spark, SourceSpec("defra", read, CATALOG))
+
+
+def q_series_sheets(spark, sf):
+    """The workbook's usable sheets, tagged by name, under the series contract."""
+    sheets = si.write_series_sheets(spark, sf, fresh_path(spark, "sheets"))
+    return _typed(spark, SourceSpec("nve", lambda s: read_series_sheets(s, sheets, si.SHEET_PATTERNS), SERIES))
+
+
+def q_edition_slice(spark, sf):
+    """One edition of the landed catalog."""
+    return year_slice(catalog_valid(spark, sf), SLICE_YEAR).select("ID", "Scope", "UOM", "year")
+
+
+def q_lookup_csv(spark, sf):
+    """A lookup written and loaded as CSV with its declared schema."""
+    path = fresh_path(spark, "lookup")
+    si.shape(si.read_table(spark, sf, "part"), si.PART_TRANSLATIONS).write.options(**CSV_OPTIONS).csv(path)
+    return load_lookup(spark, path, si.TRANSLATION_SCHEMA)
+
+
+def q_missing_column(spark, sf):
+    """A required column that the input lacks fails every row that is not skipped (V7)."""
+    return validate(si.catalog_raw(spark, sf).drop("Scope"), CATALOG).summary()
+
+
 # ---------------------------------------------------------------- consumer side
 def q_usable_on(spark, sf):
     return usable_on(dimension(spark, sf), USABLE_DAY)
 
 
 def q_activity_factor_join(spark, sf):
-    # Editions are ranked within a source, so the series factors of the
-    # dimension are the dimension of the series rows: filtering before the
-    # build lets Catalyst drop the other sources' scans entirely.
-    factors = build_dimension(conformed(spark, sf).where(F.col("source") == "nve"))
-    out = activity_factor_join(si.event_activity(spark, sf), factors, ["factor_name", "unit"],
+    out = activity_factor_join(si.event_activity(spark, sf), dimension(spark, sf), ["factor_name", "unit"],
                                "activity_date", "quantity")
     return out.select("event_id", "activity_date", "ef_id", "gCO2e_per_unit", "emissions")
 
 
 def q_geo_fallback(spark, sf):
     act = si.located_activity(spark, sf)
-    # One factor per nation, region or the globe: bounded by the geography.
-    out = geo_fallback(act, si.location_factors(spark, sf),
-                       [("nation_code", "nation"), ("region_code", "region"), (None, "global", "GLOBAL")],
-                       small=True)
+    # Written once: the key check and every level read it.
+    out = geo_fallback(act, written(si.location_factors(spark, sf), "location-factors"),
+                       [("nation_code", "nation"), ("region_code", "region"), (None, "global", "GLOBAL")])
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", "geo_level", "gCO2e_per_unit",
                       (F.col("l_quantity") * F.col("gCO2e_per_unit")).alias("emissions"))
 
@@ -422,7 +513,16 @@ QUERIES: dict[str, Query] = {
     "incremental_landing": q_incremental_landing,
     "tagged_sheets": q_tagged_sheets,
     "publish_reconcile": q_publish_reconcile,
+    "gated_publish": q_gated_publish,
     "run_report": q_run_report,
+    "all_sources_ok": q_all_sources_ok,
+    "strict_failure": q_strict_failure,
+    "publisher_landing": q_publisher_landing,
+    "catalog_exports": q_catalog_exports,
+    "series_sheets": q_series_sheets,
+    "edition_slice": q_edition_slice,
+    "lookup_csv": q_lookup_csv,
+    "missing_column": q_missing_column,
     "usable_on": q_usable_on,
     "activity_factor_join": q_activity_factor_join,
     "geo_fallback": q_geo_fallback,

@@ -21,16 +21,15 @@ The lookup rows are invented for these stand-ins.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from greenledger.operators.lookups import checked_broadcast, local_lookup
 from greenledger.operators.rules import NameRule, TerritoryRule
 from greenledger.session import work_dir
+from greenledger.sources.bronze import CSV_OPTIONS
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -47,16 +46,18 @@ _KG = (f"CAST(CAST(floor({_CENTS} / 100000) AS BIGINT) AS STRING) || '.' || "
        f"lpad(CAST({_CENTS} % 100000 AS STRING), 5, '0')")
 
 CATALOG_RAW = {
-    "ID": "CASE WHEN o_orderkey % 107 = 5 THEN ' ' ELSE CAST(o_orderkey AS STRING) END",
+    "ID": ("CASE o_orderkey % 107 WHEN 5 THEN ' ' WHEN 6 THEN chr(9) WHEN 7 THEN chr(160) "
+           "ELSE CAST(o_orderkey AS STRING) END"),
     "Scope": ("CASE o_orderkey % 4 WHEN 0 THEN 'Scope 1' WHEN 1 THEN 'Scope 2' "
               "WHEN 2 THEN 'Scope 3' ELSE 'Outside of Scopes' END"),
     "Level 1": "o_orderstatus",
     "Level 2": "o_orderpriority",
-    "Level 3": "CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'Customer ' || CAST(o_custkey AS STRING) END",
+    "Level 3": ("CASE WHEN o_custkey % 11 = 0 THEN '' WHEN o_custkey % 37 = 5 THEN ' ' "
+                "ELSE 'Customer ' || CAST(o_custkey AS STRING) END"),
     "Level 4": ("CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL "
                 "ELSE 'Tier ' || CAST(o_orderkey % 5 AS STRING) END"),
-    "Column Text": "CASE WHEN o_orderkey % 7 = 3 THEN ' ' ELSE 'Batch ' || CAST(o_orderkey % 7 AS STRING) END",
-    "GHG Conversion Factor": (f"CASE WHEN o_orderkey % 97 = 1 THEN '' "
+    "Column Text": "CASE WHEN o_orderkey % 7 = 3 THEN chr(9) ELSE 'Batch ' || CAST(o_orderkey % 7 AS STRING) END",
+    "GHG Conversion Factor": (f"CASE WHEN o_orderkey % 97 = 1 THEN '' WHEN o_orderkey % 97 = 3 THEN ' ' "
                               f"WHEN o_orderkey % 89 = 2 THEN '-' || {_KG} "
                               f"WHEN o_orderkey % 83 = 3 THEN 'n/a' ELSE {_KG} END"),
     "UOM": "CASE o_orderstatus WHEN 'F' THEN 'tonne.km' WHEN 'O' THEN 'kWh' ELSE 'litres' END",
@@ -75,22 +76,24 @@ _UNCERT = "'0.' || lpad(CAST(p_size AS STRING), 2, '0')"
 PRODUCTS_RAW = {
     "__id": "CAST(p_partkey AS STRING)",
     "Produit à l'unité": _PRODUCT_NAME,
-    "Facteur d'émission": f"CASE WHEN p_partkey % 50 = 7 THEN '' ELSE {_PRICE} END",
-    "Incertitude en %": f"CASE WHEN p_size % 4 = 0 THEN '' ELSE {_UNCERT} END",
+    "Facteur d'émission": f"CASE p_partkey % 50 WHEN 7 THEN '' WHEN 8 THEN chr(9) ELSE {_PRICE} END",
+    "Incertitude en %": f"CASE WHEN p_size % 8 = 0 THEN '' WHEN p_size % 8 = 4 THEN chr(160) ELSE {_UNCERT} END",
     "CodeFede": "substr(p_brand, 7)",
     "Federation": "p_brand",
-    "Remarques": "CASE WHEN p_size % 3 = 0 THEN 'ok' ELSE '' END",
+    "Remarques": "CASE p_size % 3 WHEN 0 THEN 'ok' WHEN 1 THEN chr(9) || ' ' ELSE '' END",
 }
 
 # The same product list with rows that break the contract.
 PRODUCTS_DIRTY = dict(PRODUCTS_RAW)
 PRODUCTS_DIRTY.update({
-    "__id": "CASE WHEN p_partkey % 71 = 23 THEN ' ' ELSE CAST(p_partkey AS STRING) END",
+    "__id": "CASE p_partkey % 71 WHEN 23 THEN ' ' WHEN 24 THEN chr(160) ELSE CAST(p_partkey AS STRING) END",
+    "Produit à l'unité": f"CASE WHEN p_partkey % 73 = 3 THEN '' ELSE {_PRODUCT_NAME} END",
     "Facteur d'émission": (f"CASE WHEN p_partkey % 50 = 7 THEN '' WHEN p_partkey % 53 = 11 THEN 'abc' "
                            f"WHEN p_partkey % 59 = 13 THEN '0' ELSE {_PRICE} END"),
     "Incertitude en %": (f"CASE WHEN p_partkey % 61 = 17 THEN '1.5' WHEN p_size % 4 = 0 THEN '' "
                          f"ELSE {_UNCERT} END"),
-    "Federation": "CASE WHEN p_partkey % 67 = 19 THEN ' ' ELSE p_brand END",
+    "Federation": "CASE WHEN p_partkey % 67 = 19 THEN chr(9) ELSE p_brand END",
+    "row_no": "p_partkey",
 })
 
 # Series rows: every event is a reading of its type in a derived year.
@@ -126,7 +129,15 @@ def shape(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS `{alias}`" for alias, sql in exprs.items()])
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+def table_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path and last change of the input tables: a key for what is derived from them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (spark.sparkContext.applicationId, fs.resolvePath(folder).toString(),
+            *sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in fs.listStatus(folder)))
+
+
+_LANDED: dict[tuple, str] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -137,7 +148,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     is a plain attribute. Shaping them on the fly instead would let predicate
     pushdown inline each shaping expression into every check that reads it.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (*table_state(spark, sf_dir), name)
     path = _LANDED.get(key)
     if path is None:
         path = work_dir(spark, "standins", uuid.uuid4().hex, name)
@@ -236,26 +247,26 @@ SUB_MAP_SCHEMA = T.StructType([
 
 
 def translations(spark: SparkSession, fanout: bool = False) -> DataFrame:
-    """Translation lookup; its size is known from the list, so callers may
-    pass ``small=True`` to the lookup operators."""
-    df, small = local_lookup(spark, TRANSLATIONS_FANOUT if fanout else TRANSLATIONS,
-                             TRANSLATION_SCHEMA)
-    assert small
-    return df
+    return spark.createDataFrame(TRANSLATIONS_FANOUT if fanout else TRANSLATIONS, TRANSLATION_SCHEMA)
+
+
+_RULES: dict = {}
 
 
 def catalog_rules(spark: SparkSession):
+    """The stand-in's rules, built (and their keys checked) once per application."""
     from greenledger.plans.clean import CatalogRules
-    ov, s1 = local_lookup(spark, OVERRIDES, OVERRIDE_SCHEMA)
-    cm, s2 = local_lookup(spark, CATEGORY_MAP, CATEGORY_MAP_SCHEMA)
-    sm, s3 = local_lookup(spark, SUB_CATEGORY_MAP, SUB_MAP_SCHEMA)
-    return CatalogRules(
-        overrides=ov, category_map=cm, sub_category_map=sm,
-        name_rules=NAME_RULES,
-        territory=TERRITORY,
-        rewrite_category=REWRITE_CATEGORY,
-        small_lookups=s1 and s2 and s3,
-    )
+    app = spark.sparkContext.applicationId
+    if app not in _RULES:
+        _RULES[app] = CatalogRules(
+            overrides=spark.createDataFrame(OVERRIDES, OVERRIDE_SCHEMA),
+            category_map=spark.createDataFrame(CATEGORY_MAP, CATEGORY_MAP_SCHEMA),
+            sub_category_map=spark.createDataFrame(SUB_CATEGORY_MAP, SUB_MAP_SCHEMA),
+            name_rules=NAME_RULES,
+            territory=TERRITORY,
+            rewrite_category=REWRITE_CATEGORY,
+        )
+    return _RULES[app]
 
 
 # --------------------------------------------------------------------------
@@ -273,28 +284,72 @@ def located_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation x region is bounded by the number of countries: safe to broadcast.
     sup_geo = sup.join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey).select(
         "s_suppkey", "nation_code", "region_code")
-    # Suppliers grow with the data: broadcast only under a proven row bound,
-    # else a sort-merge join (AQE splits a hot supplier). The line items, the
-    # fact table, are never the broadcast side.
-    return li.join(checked_broadcast(sup_geo), li.l_suppkey == sup_geo.s_suppkey).drop("s_suppkey")
+    # Suppliers grow with the data: no hint. AQE broadcasts them if they are
+    # measured small, else sorts and merges and splits a hot supplier.
+    return li.join(sup_geo, li.l_suppkey == sup_geo.s_suppkey).drop("s_suppkey")
 
 
 def location_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Factors at three levels: nations (from well-funded suppliers), regions
-    (from wealthy customers) and one global value; unevenly covered on purpose."""
+    """Factors at three levels: nations (largest supplier balance), regions (largest
+    customer balance) and one global value. Places with an odd number of
+    suppliers, or an even number of customers, have none: uneven on purpose."""
     sup = read_table(spark, sf_dir, "supplier")
     cus = read_table(spark, sf_dir, "customer")
     nat = read_table(spark, sf_dir, "nation")
     reg = read_table(spark, sf_dir, "region")
-    national = (sup.where(F.col("s_acctbal") > 5000)
-                   .join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
+    national = (sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
                    .groupBy(F.col("n_name").alias("country_code"))
-                   .agg((F.max("s_acctbal") / 1000.0).alias("gCO2e_per_unit")))
-    regional = (cus.where((F.col("c_acctbal") > 9000) & (F.col("c_mktsegment") == "AUTOMOBILE"))
-                   .join(F.broadcast(nat), cus.c_nationkey == nat.n_nationkey)
+                   .agg((F.max("s_acctbal") / 1000.0).alias("gCO2e_per_unit"), F.count(F.lit(1)).alias("n"))
+                   .where("n % 2 = 0").drop("n"))
+    regional = (cus.join(F.broadcast(nat), cus.c_nationkey == nat.n_nationkey)
                    .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
                    .groupBy(F.col("r_name").alias("country_code"))
-                   .agg((F.max("c_acctbal") / 1000.0).alias("gCO2e_per_unit")))
+                   .agg((F.max("c_acctbal") / 1000.0).alias("gCO2e_per_unit"), F.count(F.lit(1)).alias("n"))
+                   .where("n % 2 = 1").drop("n"))
     world = cus.agg((F.max("c_acctbal") / 1000.0).alias("gCO2e_per_unit")).select(
         F.lit("GLOBAL").alias("country_code"), "gCO2e_per_unit")
     return national.unionByName(regional).unionByName(world)
+
+
+# --------------------------------------------------------------------------
+# Publisher files written from the stand-ins, to be read back by the readers
+# --------------------------------------------------------------------------
+def write_publisher_files(spark: SparkSession, df: DataFrame, root: str, source: str,
+                          orders: list[list[str]]) -> None:
+    """``{root}/{source}/{YYYY}/factors.csv`` with the year inside; the column
+    order changes from edition to edition, as ``orders`` says."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for k, year in enumerate(sorted(r[0] for r in df.select("year").distinct().collect())):
+        part = f"{root}/{source}/_part-{year}"
+        df.where(F.col("year") == year).select(*orders[k % len(orders)]).coalesce(1).write.options(**CSV_OPTIONS).csv(part)
+        fs = fs_path(part).getFileSystem(spark._jsc.hadoopConfiguration())
+        file = next(s.getPath() for s in fs.listStatus(fs_path(part)) if s.getPath().getName().startswith("part-"))
+        fs.mkdirs(fs_path(f"{root}/{source}/{year}"))
+        fs.rename(file, fs_path(f"{root}/{source}/{year}/factors.csv"))
+
+
+def write_catalog_exports(spark: SparkSession, sf_dir: str, root: str) -> list[int]:
+    """One export folder per edition, with padded headers, the factor column
+    under its prefixed name, columns in another order, and an empty row."""
+    rows = catalog_raw(spark, sf_dir)
+    blank = spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in CATALOG_RAW if c != "row_no"])
+    years = sorted(int(r[0]) for r in rows.select("year").distinct().collect())
+    for year in years:
+        mine = rows.where(F.col("year") == str(year)).drop("row_no").unionByName(blank).drop("year")
+        names = {c: f" {c} " for c in mine.columns} | {"GHG Conversion Factor": f"GHG Conversion Factor {year}"}
+        (mine.select(*[F.col(f"`{c}`").alias(names[c]) for c in sorted(mine.columns, reverse=True)])
+         .write.options(**CSV_OPTIONS).csv(f"{root}/{year}"))
+    return years
+
+
+def write_series_sheets(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """{sheet name: path}: one CSV per event type, and one without the value column."""
+    r = event_readings(spark, sf_dir)
+    paths = {}
+    for (sheet,) in r.select("sheet").distinct().orderBy("sheet").collect():
+        paths[sheet] = f"{root}/{sheet.replace(' ', '_')}"
+        (r.where(F.col("sheet") == sheet).select(F.col("event_id").alias("note"), F.col("co2_per_kWh").alias("co2 "),
+                                                F.col("year").alias(" år")).write.options(**CSV_OPTIONS).csv(paths[sheet]))
+    paths["Sheet VIEW notes"] = f"{root}/notes"
+    r.select("event_id").write.options(**CSV_OPTIONS).csv(paths["Sheet VIEW notes"])
+    return paths

@@ -68,14 +68,15 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only when
-    that is unset (local runs, tests) is a private folder created and
-    registered, so ``DataFrame.checkpoint()`` and written tables always land
-    in the same shared place.
+    that is unset and the master is local (tests, one machine) is a private
+    folder created and registered; on a cluster that is an error, because
+    executors would write to disks that the others can't read.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Local runs and tests only: nothing shared is configured.
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="greenledger-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

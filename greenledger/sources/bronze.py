@@ -3,40 +3,79 @@
 Layout: ``{root}/{source}/year=YYYY/part-*.csv`` (one folder per edition
 year, written with dynamic partition overwrite so a re-run replaces only the
 years it brings). The publisher layout ``{root}/{source}/{YYYY}/factors.csv``
-is read too; its year comes from the file path.
+is read too; each file's columns are bound by its own header names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.contracts import text_schema
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "encoding": "UTF-8"}
+# White space is data: the writer would strip it by default.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "encoding": "UTF-8",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def bronze_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/{source}"
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Header names of a CSV file, or of the first file of a folder."""
+    return [c for c in spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns]
+
+
+def scan_by_name(spark: SparkSession, path: str, columns: list[str], paths: dict | None = None) -> DataFrame:
+    """Text ``columns`` of CSV files, bound by header name whatever their order.
+
+    The header of the first file gives the order; files with another header
+    fail the read (``enforceSchema`` off) instead of being misread. A missing
+    column is an error. Partition columns of the path come along.
+    """
+    header = csv_header(spark, path)
+    names = {c.strip(): c for c in header}
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {missing} in header {header}")
+    df = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(text_schema(
+        [c for c in header if c not in (paths or {})])).csv(path)
+    return df.withColumnsRenamed({names[c]: c for c in columns if names[c] != c})
+
+
+def publisher_files(spark: SparkSession, root: str, source: str) -> dict[str, str]:
+    """{year folder: path} of ``{root}/{source}/{YYYY}/factors.csv``: one per edition."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{bronze_path(root, source)}/*/factors.csv")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return {s.getPath().getParent().getName(): s.getPath().toString() for s in found or ()}
+
+
 def scan_bronze(spark: SparkSession, root: str, source: str, columns: list[str],
                 layout: str = "partitioned") -> DataFrame:
     """All editions of one source as text columns plus an int ``year``.
 
     ``partitioned``: ``year=`` folders, partition pruning applies to ``year``.
-    ``publisher``: ``{year}/factors.csv`` files; the year is parsed from the path.
-    Never infers a schema: every data column is read as text.
+    ``publisher``: one ``{year}/factors.csv`` per edition, each with its own
+    header; a ``year`` column inside the file wins, else the folder names it.
+    Never infers a schema: every data column is read as text, by header name.
     """
     data_cols = [c for c in columns if c != "year"]
-    reader = spark.read.schema(text_schema(data_cols)).options(**CSV_OPTIONS)
     base = bronze_path(root, source)
     if layout == "partitioned":
-        df = reader.csv(base)
-        return df.withColumn("year", F.col("year").cast("int"))
-    df = reader.csv(f"{base}/*/factors.csv")
-    year = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/factors\.csv$", 1)
-    return df.withColumn("year", year.try_cast("int"))
+        df = scan_by_name(spark, base, data_cols, {"year": 1, "batch": 1})
+        return df.select(*[F.col(f"`{c}`") for c in data_cols], F.col("year").cast("int").alias("year"))
+    editions = []
+    for folder, path in sorted(publisher_files(spark, root, source).items()):
+        own = any(c.strip() == "year" for c in csv_header(spark, path))
+        df = scan_by_name(spark, path, data_cols + ["year"] * own)
+        year = F.col("year") if own else F.lit(folder)
+        editions.append(df.select(*[F.col(f"`{c}`") for c in data_cols], year.try_cast("int").alias("year")))
+    if not editions:
+        raise ValueError(f"{base}: no {{year}}/factors.csv")
+    return reduce(lambda x, y: x.unionByName(y), editions)
 
 
 def land_bronze(df: DataFrame, root: str, source: str, year_col: str = "year",

@@ -1,10 +1,10 @@
 """Materialise, publish and reconcile the dimension.
 
-Publishing is a full refresh with the same end state on every re-run. The new
-snapshot is written next to the target and swapped in by two renames, so a
-failure while writing never leaves readers an empty or half-written table;
-the row count is observed during that single write and compared with what
-the target then holds.
+Publishing is a full refresh with the same end state on every re-run. Each run
+writes a version folder of its own and then moves a small pointer file, the one
+step that readers see: they read the version that the pointer names, so a run
+that fails while writing changes nothing for them, and no folder is ever
+renamed (a rename of many files is not atomic on object stores).
 """
 
 from __future__ import annotations
@@ -45,32 +45,55 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+POINTER = "CURRENT"
+
+
 def publish_snapshot(df: DataFrame, target: str, columns: tuple[str, ...] = PUBLISH_COLUMNS) -> int:
     """Full-refresh ``target`` with ``df`` using an explicit column list.
 
-    Returns the number of rows written (observed during the write).
+    Returns the number of rows written (observed during the write). The version
+    published before stays until the next run, for readers that still use it;
+    older ones are removed.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex
-    staged, old = f"{target}.__staging-{run}", f"{target}.__old-{run}"
+    before = current_version(spark, target)
     obs = Observation(f"publish_{run}")
-    df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{target}/version-{run}")
     rows = int(obs.get["rows"])
-    fs, tgt = _fs(spark, target)
-    _, stg = _fs(spark, staged)
-    _, bak = _fs(spark, old)
-    had_target = fs.exists(tgt)
-    if had_target and not fs.rename(tgt, bak):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(stg, tgt):
-        if had_target:
-            fs.rename(bak, tgt)
-        raise OSError(f"cannot swap {staged} into {target}")
-    if had_target:
-        fs.delete(bak, True)
+    _point(spark, target, f"version-{run}")
+    fs, folder = _fs(spark, target)
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in (f"version-{run}", before):
+            fs.delete(status.getPath(), True)
     return rows
 
 
+def _point(spark: SparkSession, target: str, version: str) -> None:
+    """Make the pointer name ``version``: one create call that replaces the file."""
+    fs, path = _fs(spark, f"{target}/{POINTER}")
+    out = fs.create(path, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+
+
+def current_version(spark: SparkSession, target: str) -> str | None:
+    """Name of the published version folder; None if nothing is published."""
+    fs, path = _fs(spark, f"{target}/{POINTER}")
+    if not fs.exists(path):
+        return None
+    return spark.read.text(f"{target}/{POINTER}").first()[0]
+
+
+def read_snapshot(spark: SparkSession, target: str) -> DataFrame:
+    """The published rows, from the version that the pointer names."""
+    version = current_version(spark, target)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published under {target}")
+    return spark.read.parquet(f"{target}/{version}")
+
+
 def swap_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
     """Move every ``col=value`` folder of ``staged`` into ``target``, replacing
     the same folders there and leaving the others (dynamic overwrite by rename).
@@ -84,9 +107,14 @@ def swap_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
         if not status.isDirectory() or "=" not in name:
             continue
         dest = spark._jvm.org.apache.hadoop.fs.Path(tgt, name)
-        if fs.exists(dest):
-            fs.delete(dest, True)
+        # The old folder is moved aside, and removed only when the new one is in place.
+        aside = spark._jvm.org.apache.hadoop.fs.Path(stg, f"_old-{name}")
+        had = fs.exists(dest)
+        if had and not fs.rename(dest, aside):
+            raise OSError(f"cannot move {name} of {target} aside")
         if not fs.rename(status.getPath(), dest):
+            if had:
+                fs.rename(aside, dest)
             raise OSError(f"cannot move {name} into {target}")
         moved.append(name)
     fs.delete(stg, True)
@@ -102,8 +130,12 @@ def discard(spark: SparkSession, path: str) -> None:
 def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                  columns: tuple[str, ...] = PUBLISH_COLUMNS) -> None:
     """Full refresh of a database table through JDBC: truncate + insert of an
-    explicit column list, text lengths as declared. ``9999-12-31`` stands for
-    an open end; a target with ``infinity`` dates maps it there."""
+    explicit column list, text lengths as declared.
+
+    Not verified against a database. An open end is written as the date
+    9999-12-31, not as the database's ``infinity``, and truncate and insert are
+    two transactions: readers may see an empty table in between.
+    """
     types = ", ".join(f"{c} VARCHAR({n})" for c, n in PUBLISH_MAX_LENGTHS.items())
     props = {"truncate": "true", "createTableColumnTypes": types, **properties}
     df.select(*columns).write.jdbc(url, table, mode="overwrite", properties=props)

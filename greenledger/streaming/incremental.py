@@ -6,83 +6,93 @@ stream with ``trigger(availableNow=True)``: each run processes only files
 not yet seen (tracked in the checkpoint), survives executor loss through the
 checkpoint and the sinks' commit logs, and stops when caught up.
 
-Lenient contracts are a pure streaming plan: the validation projection
-feeds two exactly-once file sinks, valid rows to bronze (partitioned by
-year) and rejected rows to a quarantine folder. Strict contracts need an
-all-or-nothing decision per batch, so they run through ``foreachBatch``:
-a batch with any invalid row fails the stream before anything is written,
-and the same files are retried on the next run.
+Every file batch is read and validated once. Its rows are written by batch
+number, so a batch that is retried after a failure overwrites what it wrote
+before: valid rows under ``year=/batch=``, rejected ones under ``batch=`` in a
+quarantine folder, both from one checkpoint. Strict contracts decide per batch:
+one with any invalid row fails the stream before anything is written, and the
+same files are retried on the next run.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from greenledger.contracts import Contract, text_schema
 from greenledger.operators.validate import VIOLATIONS, enforce, validate
-from greenledger.sources.bronze import CSV_OPTIONS, bronze_path, land_bronze
+from greenledger.sources.bronze import CSV_OPTIONS, bronze_path
 
 
 def arrivals(spark: SparkSession, incoming: str, columns: list[str],
              max_files_per_trigger: int | None = None) -> DataFrame:
     """Text rows of every CSV file arriving under ``incoming`` (any depth).
 
-    Files carry a header; with the declared schema, columns are taken by
-    position, in ``columns`` order (a stream never infers a schema).
+    Columns are bound by header name: the first file present gives the order
+    (``columns`` itself if none is there yet). A file with another header fails
+    the stream instead of being misread, and so does a missing column.
     """
-    reader = (spark.readStream.schema(text_schema(columns)).options(**CSV_OPTIONS)
-              .option("recursiveFileLookup", "true"))
+    nested = {"recursiveFileLookup": "true"}
+    try:
+        header = spark.read.options(**CSV_OPTIONS, **nested).csv(incoming).columns
+    except AnalysisException:  # no file yet
+        header = []
+    header = header or columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{incoming}: no column {missing} in header {header}")
+    reader = (spark.readStream.schema(text_schema(header)).options(**CSV_OPTIONS, **nested)
+              .option("enforceSchema", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(incoming)
+    return reader.csv(incoming).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def land_arrivals(spark: SparkSession, incoming: str, contract: Contract, bronze_root: str,
                   source: str, checkpoint: str | None = None,
                   fixed_year: int | None = None) -> list[StreamingQuery]:
-    """Start the landing stream(s) for one source; returns the running queries."""
+    """Start the landing stream for one source; returns the running queries."""
     cols = contract.names + list(contract.keep)
     if "year" not in cols and fixed_year is None:
         raise ValueError("a source without a year column needs fixed_year")
     # A checkpoint belongs to its sink: by default it lives next to the bronze.
     checkpoint = checkpoint or f"{bronze_root.rstrip('/')}/_checkpoints/{source}"
-    rows = arrivals(spark, incoming, [c for c in cols])
-    checked = validate(rows, contract)
-
-    def with_year(df: DataFrame) -> DataFrame:
-        return df if "year" in df.columns else df.withColumn("year", F.lit(fixed_year).cast("int"))
-
-    if contract.on_error != "fail":
-        valid = with_year(checked.valid_raw)
-        rejected = checked.rejected.withColumn(VIOLATIONS, F.array_join(VIOLATIONS, "; "))
-        q1 = (valid.writeStream.format("csv").options(**CSV_OPTIONS).partitionBy("year")
-              .option("checkpointLocation", f"{checkpoint}/valid")
-              .trigger(availableNow=True).start(bronze_path(bronze_root, source)))
-        q2 = (rejected.writeStream.format("parquet")
-              .option("checkpointLocation", f"{checkpoint}/rejected")
-              .trigger(availableNow=True).start(bronze_path(bronze_root, f"_rejected/{source}")))
-        return [q1, q2]
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
             one = validate(df, contract)
-            enforce(one)  # raises: the batch is not committed and is retried
-            land_bronze(with_year(one.valid_raw), bronze_root, source)
+            enforce(one)  # strict contracts raise: the batch is not committed and is retried
+            valid, rejected = one.valid_raw, one.rejected.withColumn(VIOLATIONS, F.array_join(VIOLATIONS, "; "))
+            if "year" not in valid.columns:
+                valid = valid.withColumn("year", F.lit(fixed_year).cast("int"))
+            number = F.lit(batch_id).cast("long")
+            for rows, fmt, path, by in ((valid, "csv", bronze_path(bronze_root, source), ["year", "batch"]),
+                                        (rejected, "parquet", bronze_path(bronze_root, f"_rejected/{source}"), ["batch"])):
+                (rows.withColumn("batch", number).write.format(fmt).options(**CSV_OPTIONS if fmt == "csv" else {})
+                 .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path))
         finally:
             df.unpersist()
 
-    q = (rows.writeStream.foreachBatch(batch)
-         .option("checkpointLocation", f"{checkpoint}/strict")
-         .trigger(availableNow=True).start())
-    return [q]
+    rows = arrivals(spark, incoming, cols)
+    return [rows.writeStream.foreachBatch(batch)
+            .option("checkpointLocation", f"{checkpoint}/landing")
+            .trigger(availableNow=True).start()]
 
 
-def run_until_caught_up(queries: list[StreamingQuery], timeout_s: float = 600) -> None:
-    """Wait for availableNow queries to finish; re-raise a stream failure."""
+def run_until_caught_up(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait for availableNow queries to finish; re-raise a stream failure.
+
+    With ``timeout_s`` a query that still runs then is stopped and reported as
+    an error: a part of the input is never taken for the whole.
+    """
     for q in queries:
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"stream {q.id} was not done after {timeout_s} s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from greenledger.operators import checks as ck
@@ -46,6 +47,41 @@ def test_rank_and_flag_agree(spark):
     assert flagged == {k: v == 1 for k, v in ranked.items()}
 
 
+def wide(spark, n=30000):
+    """A frame larger than the range sample, with one hot group and repeated ids."""
+    return spark.range(n).selectExpr(
+        f"concat('i', id % {n // 3}) AS id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('n', id % 500) END AS factor_name",
+        "repeat('x', int(id % 50)) AS description", "id * 1.5D AS gCO2e_per_unit", "'kWh' AS unit", "'S' AS ghg_scope",
+        "'NO' AS country_code", "CASE WHEN id % 7 = 0 THEN NULL ELSE 'nve' END AS source", "int(2000 + id % 20) AS source_year",
+        "make_date(int(2000 + id % 20), 1, 1) AS valid_from", "make_date(int(2000 + id % 20), 12, 31) AS valid_to",
+        "cast(NULL AS string) AS sub_category", "'c' AS category", "cast(NULL AS double) AS uncertainty_pct", "id AS line")
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("partitions", [3, 17])
+def test_range_ranks_equal_the_window_with_all_columns(spark, reuse, partitions):
+    df = wide(spark)
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = rank_editions(df, tiebreak=("id", "line"), partitions=partitions)
+        assert got.columns == [*df.columns, "rn"]
+        want = rank_editions(df, tiebreak=("id", "line"), method="window")
+        assert got.count() == df.count()
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+
+
+def test_one_current_row_when_ids_repeat(spark):
+    df = wide(spark, 3000).drop("line").withColumn("id", F.lit("same"))
+    df = df.unionByName(df)  # wholly repeated rows too
+    flagged = flag_current(df)
+    assert flagged.count() == df.count() and flagged.columns == [*df.columns, "is_current"]
+    groups = flagged.groupBy("source", "factor_name", "unit").agg(F.count_if("is_current").alias("n"))
+    assert [r["n"] for r in groups.select("n").distinct().collect()] == [1]
+
+
 def test_exactly_one_current_per_group(spark):
     dim = build_dimension(conformed(spark))
     per_group = dim.groupBy("source", "factor_name", "unit").agg(

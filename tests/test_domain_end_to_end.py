@@ -28,7 +28,8 @@ from greenledger.plans.reference_rules import (
 )
 from greenledger.plans.staging import stage_catalog, stage_products, stage_series
 from greenledger.sources.bronze import scan_bronze
-from greenledger.sources.publish import publish_snapshot, reconcile_counts
+from greenledger.plans.build import publish_checked
+from greenledger.sources.publish import current_version, publish_snapshot, read_snapshot, reconcile_counts
 
 D = dt.date
 
@@ -166,7 +167,14 @@ def test_checks_and_publish(spark, flow):
     assert failed == {("dim", "unique", "ef_id"): 1}
     target = flow["root"] + "/gold"
     assert publish_snapshot(flow["dim"], target) == flow["dim"].count()
-    assert reconcile_counts(flow["dim"], spark.read.parquet(target)).first()["matched"]
+    assert reconcile_counts(flow["dim"], read_snapshot(spark, target)).first()["matched"]
+    # Behind the gate that failing check publishes nothing, and is named.
+    gated = flow["root"] + "/gated"
+    with pytest.raises(AssertionError, match=r"dim.unique\(ef_id\)=1"):
+        publish_checked(flow["dim"], ck.run_checks(flow["dim"], "dim", ck.gold_suite()), gated)
+    assert current_version(spark, gated) is None
+    passing = [c for c in ck.gold_suite() if c.kind != "unique"]
+    assert publish_checked(flow["dim"], ck.run_checks(flow["dim"], "dim", passing), gated).first()["matched"]
 
 
 def test_strict_source_failure_is_reported(spark):

@@ -20,6 +20,7 @@ from greenledger.sources.lookups import load_lookup
 from greenledger.sources.publish import (
     check_schema,
     publish_snapshot,
+    read_snapshot,
     reconcile_counts,
 )
 from tests.conftest import rows
@@ -90,13 +91,19 @@ def test_publish_is_idempotent_and_reconciles(spark, tmp_dir):
     g = gold(spark)
     target = f"{tmp_dir}/gold"
     assert publish_snapshot(g, target) == 1
-    first = rows(spark.read.parquet(target))
+    held = read_snapshot(spark, target)
+    first = rows(held)
     assert publish_snapshot(g, target) == 1
-    assert rows(spark.read.parquet(target)) == first
-    r = reconcile_counts(g, spark.read.parquet(target)).first()
+    assert rows(read_snapshot(spark, target)) == first == rows(held)  # a reader of the old version goes on
+    r = reconcile_counts(g, read_snapshot(spark, target)).first()
     assert (r["src_rows"], r["dst_rows"], r["matched"]) == (1, 1, True)
     assert reconcile_counts(g, g.limit(0)).first()["matched"] is False
-    assert not [p for p in os.listdir(tmp_dir) if "__" in p]  # no staging/backup left
+    publish_snapshot(g, target)
+    assert len([p for p in os.listdir(target) if p.startswith("version-")]) == 2  # this one and the one before
+    # A run that fails while writing leaves the published version as it was.
+    with pytest.raises(Exception):
+        publish_snapshot(g.withColumn("unit", F.raise_error(F.lit("boom")).cast("string")), target)
+    assert rows(read_snapshot(spark, target)) == first
 
 
 def test_check_schema(spark):
@@ -129,8 +136,7 @@ def test_usable_on_bounds(spark):
     assert usable_on(df, "2025-01-01").count() == 0
 
 
-@pytest.mark.parametrize("small", [None, True, False])
-def test_activity_factor_join(spark, small):
+def test_activity_factor_join(spark):
     factors = spark.createDataFrame(
         [("f23", "Gas", "kWh", D(2023, 1, 1), D(2023, 12, 31), 2.0),
          ("f24", "Gas", "kWh", D(2024, 1, 1), D(2024, 12, 31), 3.0)],
@@ -139,7 +145,7 @@ def test_activity_factor_join(spark, small):
         [(1, "Gas", "kWh", D(2023, 6, 1), 10.0), (2, "Gas", "kWh", D(2024, 12, 31), 10.0),
          (3, "Gas", "kWh", D(2022, 6, 1), 10.0), (4, "Gas", "litres", D(2024, 6, 1), 10.0)],
         "a int, factor_name string, unit string, d date, qty double")
-    out = activity_factor_join(act, factors, ["factor_name", "unit"], "d", "qty", small=small)
+    out = activity_factor_join(act, factors, ["factor_name", "unit"], "d", "qty")
     assert rows(out, "a", "ef_id", "emissions") == [
         (1, "f23", 20.0), (2, "f24", 30.0), (3, None, None), (4, None, None)]
 
@@ -154,6 +160,78 @@ def test_geo_fallback_priority(spark):
         (1, "nation", 1.0), (2, "region", 2.0), (3, "global", 3.0)]
 
 
+def test_geo_fallback_rejects_a_repeated_code(spark):
+    f = spark.createDataFrame([("NORWAY", 1.0), ("NORWAY", 2.0), ("GLOBAL", 3.0)], "country_code string, gCO2e_per_unit double")
+    act = spark.createDataFrame([(1, "NORWAY")], "a int, nation string")
+    with pytest.raises(ValueError, match="duplicate keys.*NORWAY"):
+        geo_fallback(act, f, [("nation", "nation"), (None, "global", "GLOBAL")])
+
+
+def test_publisher_files_are_bound_by_header_name(spark, tmp_dir):
+    for year, text in (("2022", "year,co2_per_kWh,factor_type\n2022,19.0,Market-based\n"),
+                       ("2023", "factor_type,year,co2_per_kWh\nLocation-based,2023,20.0\n"),
+                       ("2024", "factor_type,co2_per_kWh\nMarket-based,21.0\n")):  # no year inside: the folder's
+        os.makedirs(f"{tmp_dir}/nve/{year}")
+        with open(f"{tmp_dir}/nve/{year}/factors.csv", "w") as f:
+            f.write(text)
+    back = scan_bronze(spark, tmp_dir, "nve", SERIES.names, layout="publisher")
+    assert rows(back, "year", "co2_per_kWh", "factor_type") == [
+        (2022, "19.0", "Market-based"), (2023, "20.0", "Location-based"), (2024, "21.0", "Market-based")]
+    with open(f"{tmp_dir}/nve/2024/factors.csv", "w") as f:
+        f.write("factor_type,year\nMarket-based,2024\n")
+    with pytest.raises(ValueError, match="no column.*co2_per_kWh"):
+        scan_bronze(spark, tmp_dir, "nve", SERIES.names, layout="publisher")
+
+
+def test_arrivals_are_bound_by_header_name(spark, tmp_dir):
+    from greenledger.streaming import land_arrivals, run_until_caught_up
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.csv", "w") as f:
+        f.write("factor_type,co2_per_kWh,year\nMarket-based,5.0,2024\n")
+    run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/in", SERIES, f"{tmp_dir}/b", "nve"))
+    back = scan_bronze(spark, f"{tmp_dir}/b", "nve", SERIES.names)
+    assert rows(back, "year", "co2_per_kWh", "factor_type") == [(2024, "5.0", "Market-based")]
+    with open(f"{tmp_dir}/in/b.csv", "w") as f:  # another order: fails, is not misread
+        f.write("year,co2_per_kWh,factor_type\n2025,6.0,Market-based\n")
+    with pytest.raises(Exception):
+        run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/in", SERIES, f"{tmp_dir}/b", "nve"))
+    assert scan_bronze(spark, f"{tmp_dir}/b", "nve", SERIES.names).count() == 1
+
+
+def test_a_stream_that_is_not_done_raises(spark, tmp_dir):
+    from greenledger.streaming import run_until_caught_up
+
+    endless = spark.readStream.format("rate").load().writeStream.format("noop").option(
+        "checkpointLocation", f"{tmp_dir}/ck").start()
+    with pytest.raises(TimeoutError):
+        run_until_caught_up([endless], timeout_s=2)
+    assert not endless.isActive
+
+
+def test_an_empty_message_does_not_stop_the_other_sources(spark, tmp_dir):
+    good = spark.createDataFrame([("2024", "5.0", "m")], "year string, co2_per_kWh string, factor_type string")
+
+    def silent(s):
+        raise KeyError
+
+    def long(s):
+        raise ValueError("first\n" + "x" * 2000 + "\nlast")
+
+    reg = {n: SourceSpec(n, f, SERIES) for n, f in (("a", silent), ("b", long), ("c", lambda s: good))}
+    rep = {r["source"]: r for r in run_sources(spark, reg, tmp_dir).collect()}
+    assert (rep["a"]["status"], rep["a"]["reason"]) == ("error", "KeyError")
+    assert rep["b"]["reason"].endswith("\nlast") and len(rep["b"]["reason"]) > 2000
+    assert rep["c"]["status"] == "ok"
+
+
+def test_white_space_survives_csv(spark, tmp_dir):
+    df = spark.createDataFrame([(" a\t", "k", "2024"), ("", "k", "2024"), (None, "k", "2024")], "v string, w string, year string")
+    land_bronze(df, tmp_dir, "s")
+    got = [r["v"] for r in scan_bronze(spark, tmp_dir, "s", ["v", "w", "year"]).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [" a\t", None, None]))  # CSV has no empty text beside NULL
+
+
 def test_incremental_landing_lenient_and_strict(spark, tmp_dir):
     from greenledger.contracts import CATALOG
     from greenledger.streaming import land_arrivals, run_until_caught_up

@@ -37,13 +37,14 @@ def test_wildcard_lookup_cases(spark):
     ]
 
 
-def test_wildcard_lookup_same_with_proven_small_flag(spark):
-    data = spark.createDataFrame([("1", "Corde", "F")], "id string, name string, fed string")
-    lk = spark.createDataFrame([("Corde", "Rope", None)], TR_SCHEMA)
-    for small in (None, True, False):
-        out = wildcard_lookup(data, lk, "name", "factor_name_fr", "fed", "federation",
-                              ["factor_name_en"], small=small)
-        assert rows(out, "factor_name_en") == [("Rope",)]
+def test_repeated_mapping_keys_are_refused(spark):
+    from greenledger.plans.clean import CatalogRules
+
+    ov = spark.createDataFrame([], "category string, sub_category string, should_drop boolean")
+    one = spark.createDataFrame([("a", "x")], "category_old string, category_new string")
+    many = spark.createDataFrame([(k, v) for k in "abcdefgh" for v in "xy"], "sub_category_old string, sub_category_new string")
+    with pytest.raises(ValueError, match=r"sub-category mapping: duplicate keys \['a', 'b', 'c', 'd', 'e'\] and 3 more"):
+        CatalogRules(ov, one, many)
 
 
 def test_drop_listed_duplicates_and_nulls(spark):

@@ -152,3 +152,30 @@ def test_error_sample_orders_by_key(spark):
     v = validate(products(spark), PRODUCTS)
     keys = [r["__id"] for r in error_sample(v.rejected, "__id", 3).collect()]
     assert keys == [" ", "10", "11"]
+
+
+def test_blank_skip_and_fill_policies(spark):
+    """Blank means white space of any kind; a catalog row is skipped, and its
+    level filled, only when the cell is empty."""
+    ok = {"ID": "1", "Level 1": "a", "Level 2": "b", "Level 3": "c", "Level 4": None, "Column Text": None,
+          "GHG Conversion Factor": "1", "UOM": "kWh", "Scope": "s", "GHG/Unit": "kg", "year": "2024"}
+    rows = [ok | {"ID": v} for v in (" ", "\t", "\u00a0", "\u3000\n")]
+    rows += [ok | {"ID": "skip", "GHG Conversion Factor": v} for v in (None, "")]
+    rows += [ok | {"ID": "bad", "GHG Conversion Factor": v} for v in (" ", "\t")]
+    rows += [ok | {"ID": "filled", "Level 3": v} for v in (None, "")] + [ok | {"ID": "unfilled", "Level 3": " "}]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"`{c}` string" for c in ok))
+    from greenledger.contracts import CATALOG, PRODUCTS
+    from greenledger.operators.validate import validate
+    v = validate(df, CATALOG)
+    assert sorted((r["ID"], r["Level 3"]) for r in v.valid.collect()) == [("filled", "b"), ("filled", "b")]
+    assert v.summary().first()["skipped"] == 2 and v.rejected.count() == 7
+    # Product list: white space skips too, and an empty product name is a value.
+    p = {"__id": "1", "Produit à l'unité": None, "Facteur d'émission": "2", "Incertitude en %": "\u00a0", "CodeFede": "1",
+         "Federation": "F", "Remarques": "\t"}
+    rows = [p, p | {"Facteur d'émission": "\u00a0"}, p | {"CodeFede": "\t"}]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"`{c}` string" for c in p))
+    v = validate(df, PRODUCTS)
+    got = v.valid.collect()
+    assert len(got) == 1 and got[0]["Produit à l'unité"] == "" and got[0]["Incertitude en %"] is None and got[0]["Remarques"] is None
+    assert tuple(v.summary().first())[1:] == (3, 1, 1, 1)
+    assert validate(df.drop("Produit à l'unité"), PRODUCTS).summary().first()["valid"] == 0
