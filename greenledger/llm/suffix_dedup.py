@@ -145,18 +145,22 @@ def repeated_windows(base: DataFrame, row: str, length: int = LENGTH) -> DataFra
         ranked = written(data.join(cells, "row").mapInArrow(
             _cell_rows(size, length), "row long, at long, first long, last long, cell long, c1 long, c2 long, f1 long, f2 long"),
             "ranked")
-        full = written(ranked.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("f1", "f2"), "full")
-        ranked = written(ranked.withColumn("_least", F.col("cell") * size).withColumn("_most", F.col("_least") + size - 1)
-                         .join(full.withColumn("settled", F.lit(True)), ["f1", "f2"], "left")
-                         .select("row", "at", "first", "last", "_least", "_most", "c1", "c2",
-                                 F.col("settled").isNotNull().alias("settled")), "judged")
+        ranked = ranked.withColumn("_least", F.col("cell") * size).withColumn(
+            "_most", F.col("_least") + size - 1).withColumn("me", F.xxhash64("row", "at"))
+        full = written(ranked.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("witness"))
+                       .filter("n > 1").select("f1", "f2", "witness"), "full")
+        ranked = written(ranked.join(full, ["f1", "f2"], "left").select(
+            "row", "at", "first", "last", "_least", "_most", "c1", "c2", F.col("witness").isNotNull().alias("settled"),
+            (F.col("witness") == F.col("me")).alias("witness")), "judged")
         runs = ranked.filter("settled").select(
             "row", F.greatest("first", F.col("at") - F.col("_most")).alias("first"),
             F.least("last", F.col("at") - F.col("_least")).alias("last"))
         done = runs if done is None else done.union(runs)
         if size == CELLS[-1]:
             return done
-        # Settled cells go on while a cell with the same common bytes is open: they may be its match.
+        # Of settled cells with equal bytes one goes on, as a witness for open cells
+        # with the same common bytes: a part of it may be their match.
+        ranked = ranked.filter("NOT settled OR witness")
         core = written(ranked.groupBy("c1", "c2").agg(
             F.count(F.lit(1)).alias("n"), F.min("settled").alias("all_settled"))
             .filter("n > 1 AND NOT all_settled").select("c1", "c2"), "core")
