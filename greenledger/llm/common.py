@@ -1,44 +1,19 @@
-"""Helpers of the training-data operators: written tables, row numbers, global order."""
+"""Helpers of the training-data operators, beside those of ``greenledger.tables``."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from greenledger.session import work_dir
+from greenledger.tables import fresh_path, free_name, numbered, shuffle_partitions, with_positions, written
+
+__all__ = ["SPACES", "bucketed", "free_name", "fresh_path", "numbered", "shuffle_partitions", "with_positions", "written"]
 
 #: Words of the query contracts: runs of anything but these six ASCII spaces.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's shared folder (``spark.checkpoint.dir``)."""
-    return work_dir(spark, f"{label}-{uuid.uuid4().hex}")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives
-    lost executors, and fixes values that a second evaluation might change."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def free_name(columns: list[str], wanted: str) -> str:
-    """``wanted`` with underscores in front until no column has that name."""
-    taken = {c.lower() for c in columns}
-    name = f"_{wanted}"
-    while name in taken:
-        name = f"_{name}"
-    return name
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def bucketed(df: DataFrame, row: str, label: str) -> DataFrame:
     """``df`` as a written table bucketed by ``row``, so that later joins of
     narrow rows on ``row`` move the narrow side only, never the texts."""
@@ -48,46 +23,3 @@ def bucketed(df: DataFrame, row: str, label: str) -> DataFrame:
     (df.repartition(n, row).write.option("compression", "zstd")
      .option("path", fresh_path(spark, label)).bucketBy(n, row).saveAsTable(table))
     return spark.table(table)
-
-
-def numbered(docs: DataFrame, row: str) -> DataFrame:
-    """``docs`` with a row number; fixed only once the result is written."""
-    return docs.withColumn(row, F.monotonically_increasing_id())
-
-
-def id_order(id_col: str) -> list[Column]:
-    """Sort keys of a ``doc_id``: ascending, nulls last."""
-    return [F.col(id_col).isNull(), F.col(id_col)]
-
-
-def with_positions(df: DataFrame, order: list[str], label: str,
-                   sums: dict[str, str] | None = None) -> DataFrame:
-    """``df`` with ``pos`` (0-based place in the global order) and, for each
-    ``{name: column}`` of ``sums``, the running total of ``column`` up to and
-    including the row.
-
-    Rows are dealt by range of ``order`` into many partitions (a hot key is
-    split when ``order`` ends in a unique column), written with their partition
-    number, counted per partition, and numbered inside each. Only one row per
-    partition meets in one place, so nothing grows with the data there.
-    """
-    sums = sums or {}
-    spark = df.sparkSession
-    n = shuffle_partitions(spark)
-    dealt = written(
-        df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), label)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = dealt.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{k}") for k, c in sums.items()])
-    # One row per partition: at most n rows, hence the broadcast is bounded.
-    offsets = parts.select(
-        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-        *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_s0_{k}") for k in sums])
-    inside = Window.partitionBy("_pid").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = dealt.select(
-        *dealt.columns, (F.row_number().over(inside) - 1).cast("long").alias("_k"),
-        *[F.sum(c).over(upto).alias(f"_c_{k}") for k, c in sums.items()])
-    return out.join(F.broadcast(offsets), "_pid").select(
-        *df.columns, (F.col("_k") + F.col("_n0")).alias("pos"),
-        *[(F.col(f"_c_{k}") + F.col(f"_s0_{k}")).alias(k) for k in sums])
