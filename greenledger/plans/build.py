@@ -7,20 +7,38 @@ published rows must match the dimension's count.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
+from greenledger.contracts import CATALOG, PRODUCTS, SERIES
 from greenledger.operators import checks as ck
 from greenledger.operators.dimension import build_dimension
 from greenledger.plans.clean import CatalogRules, clean_catalog, clean_products, clean_series, conform_all
 from greenledger.plans.ingest import SourceSpec, all_ok, run_sources
-from greenledger.plans.staging import stage_catalog, stage_products, stage_series
-from greenledger.sources.bronze import scan_bronze
+from greenledger.plans.staging import PRODUCTS_EDITION_YEAR, stage_catalog, stage_products, stage_series
+from greenledger.sources.bronze import read_publisher_csv, scan_bronze
 from greenledger.sources.publish import publish_snapshot, read_snapshot, reconcile_written
+from greenledger.sources.publishers import read_catalog_export, read_series_sheets
 from greenledger.tables import written
 
 MODELS = ("stg_series", "stg_products", "stg_catalog", "dim_factors")
 
 
+def publisher_registry(products: str, catalog: dict[int, str], sheets: dict[str, str]) -> dict[str, SourceSpec]:
+    """The three sources as their publishers deliver them: the product list's CSV,
+    the catalog's export of each edition year, the series workbook's sheets by name."""
+    def read_catalog(spark: SparkSession) -> DataFrame:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                      [read_catalog_export(spark, path, year) for year, path in sorted(catalog.items())])
+
+    return {
+        "ademe": SourceSpec("ademe", lambda s: read_publisher_csv(s, products), PRODUCTS, fixed_year=PRODUCTS_EDITION_YEAR),
+        "defra": SourceSpec("defra", read_catalog, CATALOG),
+        "nve": SourceSpec("nve", lambda s: read_series_sheets(s, sheets), SERIES),
+    }
+
+
 def suites() -> dict[str, list]:
     """The declared checks of each model."""
     return dict(zip(MODELS, (ck.series_suite(), ck.products_suite(), ck.catalog_suite(), ck.gold_suite())))
