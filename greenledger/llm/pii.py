@@ -1,7 +1,7 @@
 """PII surrogates: keyed, type-consistent replacements of detected entities.
 
-Detected are e-mail addresses, phone numbers, IPv4 addresses, payment cards
-(with a valid check digit), social security numbers, credentials, and names
+Detected are e-mail addresses, phone numbers, IPv4 addresses, payment cards and
+IBANs (with valid check digits), social security numbers, credentials, and names
 behind a title. All spellings of an entity share a canonical form (letters in
 lower case, digits without separators; a name word by word), and all mentions
 of it get the same surrogate: coreference is kept, across documents too.
@@ -46,6 +46,7 @@ PATTERNS = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++@(?:[\p{{L}}\p{{N}}-]++\.)+\p{{L}}{{2,}}",
     "credential": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
                   r"|(?i:(?<=password=)[0-9a-z]{8,}+|(?<=(?:token|secret) = \")[0-9a-z]{16,}+(?=\"))",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<!\d)\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
@@ -67,6 +68,10 @@ def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
 
+def _packed(s: Column) -> Column:
+    return F.regexp_replace(s, "[^0-9A-Za-z]", "")
+
+
 def luhn_sum(digits: Column) -> Column:
     """Luhn sum of a string of digits (the last one is not doubled)."""
     return F.aggregate(
@@ -76,6 +81,13 @@ def luhn_sum(digits: Column) -> Column:
         F.lit(0), lambda a, b: a + b)
 
 
+def mod97(iban: Column) -> Column:
+    """Remainder by 97 of an IBAN (lower case, no blanks): 1 if its check digits are right."""
+    moved = F.concat(F.substring(iban, 5, 64), F.substring(iban, 1, 4))
+    return F.aggregate(F.split(moved, ""), F.lit(0), lambda acc, c: F.when(
+        c.rlike("[0-9]"), (acc * 10 + F.coalesce(c.try_cast("int"), F.lit(0))) % 97).otherwise((acc * 100 + F.ascii(c) - 87) % 97))
+
+
 def _kind(mention: Column) -> Column:
     first = reduce(lambda rest, kind: F.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), kind).otherwise(rest),
                    reversed([k for k in PATTERNS if k != "credential"]), F.lit("credential"))
@@ -98,7 +110,8 @@ def _parts(mention: Column, kind: Column) -> Column:
         return one(F.when(i == 0, F.concat(words[0], F.lit(" "))).otherwise(F.lit(" ")), w,
                    F.concat_ws(":", F.lit("name"), role, script), F.lower(w))
 
-    whole = F.array(one(F.lit(""), mention, kind, F.when(kind.isin(DIGITS), _digits(mention)).otherwise(F.lower(mention))))
+    canon = F.when(kind.isin(DIGITS), _digits(mention)).when(kind == "iban", F.lower(_packed(mention))).otherwise(F.lower(mention))
+    whole = F.array(one(F.lit(""), mention, kind, canon))
     return F.when(kind == "name", F.transform(F.slice(words, 2, 9), name_word)).otherwise(whole)
 
 
@@ -138,6 +151,9 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     card = _let(body, lambda b: F.concat(b, F.pmod(-luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
     code = F.greatest(F.char_length(canon) - 10, F.lit(0))  # the country code stays
     phone = F.concat(F.substring(canon, F.lit(1), code), F.lit("5"), chars(F.substring(canon, code + 2, F.lit(32))))
+    account = chars(F.substring(canon, 5, 64))
+    iban = _let(F.concat(F.substring(canon, 1, 2), F.lit("00"), account), lambda x: F.concat(
+        F.substring(x, 1, 2), F.lpad((98 - mod97(x)).cast("string"), 2, "0"), F.substring(x, 5, 64)))
     ssn = F.concat(F.lit("8"), chars(F.substring(canon, 2, 32)))
     credential = F.when(canon.startswith("akia"), F.concat(F.lit("akia"), chars(F.substring(canon, 5, 64)))).otherwise(chars(canon))
     names = F.lit(None).cast("string")
@@ -148,7 +164,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
             F.concat(_pick(consonants, key, at(F.lit(0))), F.lit(male)))
         names = F.when(kind.endswith(script), F.concat(syllables, ending)).otherwise(names)
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
-            .when(kind == "ssn", ssn).when(kind == "credential", credential).otherwise(names))
+            .when(kind == "iban", iban).when(kind == "ssn", ssn).when(kind == "credential", credential).otherwise(names))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -173,12 +189,12 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def _worded(raw: Column, kind: Column, sub: Column) -> Column:
     """A canonical surrogate in the spelling of a mention."""
-    by_digit = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(
-        c.rlike("[0-9]"), F.substring(sub, F.char_length(_digits(F.substring(raw, F.lit(1), i))) + 1, F.lit(1))).otherwise(c)), "")
+    by_sign = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(
+        c.rlike("[0-9A-Za-z]"), F.substring(sub, F.char_length(_packed(F.substring(raw, F.lit(1), i))) + 1, F.lit(1))).otherwise(c)), "")
     by_case = F.array_join(F.transform(F.split(sub, ""), lambda c, i: F.when(
         F.substring(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
     name = F.when((F.char_length(raw) > 1) & (raw == F.upper(raw)), F.upper(sub)).otherwise(F.initcap(sub))
-    return (F.when(kind.isin(DIGITS), by_digit).when(kind.startswith("name"), name).when(kind == "ip", sub)
+    return (F.when(kind.isin(DIGITS), by_sign).when(kind == "iban", F.upper(by_sign)).when(kind.startswith("name"), name).when(kind == "ip", sub)
             .when((F.char_length(raw) > 1) & (raw == F.upper(raw)) & raw.rlike(r"\p{L}"), F.upper(sub))
             .when((kind == "email") & (F.char_length(raw) != F.char_length(sub)), sub).otherwise(by_case))
 
@@ -194,7 +210,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
 
     ``count_col`` adds the number of replaced mentions (it replaces a column of
     that name). Null texts stay null; texts without an entity stay as they are.
-    A run of digits with a wrong check digit is no card. Repeated rows get equal
+    A run of digits with wrong check digits is no card or IBAN. Repeated rows get equal
     texts. The same key gives the same surrogates as long as nothing collides.
     """
     columns = [c for c in docs.columns if not count_col or c.lower() != count_col.lower()]
@@ -205,7 +221,9 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
         F.monotonically_increasing_id().alias("row")), "pii")
     hits = base.filter("found IS NOT NULL").select("row", F.posexplode("found").alias("i", "mention"))
     hits = hits.withColumn("kind", _kind(F.col("mention")))
-    hits = hits.filter((F.col("kind") != "card") | (luhn_sum(_digits(F.col("mention"))) % 10 == 0))
+    packed = F.lower(_packed(F.col("mention")))
+    hits = hits.filter(F.when(F.col("kind") == "card", luhn_sum(packed) % 10 == 0)
+                       .when(F.col("kind") == "iban", mod97(packed) == 1).otherwise(True))
     parts = written(hits.select("row", "i", F.posexplode(_parts(F.col("mention"), F.col("kind"))).alias("j", "part"))
                     .select("row", "i", "j", "part.*"), "parts")
     subs = surrogates(parts.select("kind", "canon").distinct(), key)
