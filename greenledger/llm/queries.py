@@ -121,4 +121,30 @@ ORACLE_SQL = {
                           count(*) OVER (PARTITION BY t) AS group_size,
                           row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept FROM n)
         SELECT doc_id, keep_id, group_size, kept, sha256(t) AS text_sha256 FROM k""",
+    "op5_suffix_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+             w AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, 800)) AS k
+                   FROM (SELECT r, h, unnest(range(greatest(len(h) // 2 - 399, 0))) AS i FROM d)),
+             twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+             hit AS (SELECT r, i FROM w SEMI JOIN twice USING (k)),
+             run AS (SELECT r, i, i > coalesce(max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1000) + 400 AS fresh
+                     FROM hit),
+             num AS (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM run),
+             span AS (SELECT r, min(i) AS s, max(i) + 400 AS e FROM num GROUP BY r, g),
+             cut AS (SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es FROM span GROUP BY r)
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(CASE WHEN ss IS NULL THEN h ELSE array_to_string(list_transform(range(len(ss) + 1),
+                   lambda k: substr(h, 2 * coalesce(es[k], 0) + 1, 2 * (coalesce(ss[k + 1], len(h) // 2) - coalesce(es[k], 0)))), '') END)) AS kept_sha256
+        FROM d LEFT JOIN cut USING (r)""",
+    "op10_ngram_join": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+             n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+             pair AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+             link AS MATERIALIZED (SELECT a, b FROM pair JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+             reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+             class AS (SELECT a AS r, min(b) AS root, count(*) AS class_size FROM reach GROUP BY a),
+             deg AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY a)
+        SELECT d.doc_id, first.doc_id AS class_id, class_size, coalesce(n_links, 0) AS n_links, class.root = d.r AS kept
+        FROM d JOIN class USING (r) JOIN d first ON first.r = class.root LEFT JOIN deg ON deg.r = d.r""",
 }
