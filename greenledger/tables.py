@@ -10,9 +10,27 @@ from pyspark.sql import functions as F
 from greenledger.session import work_dir
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared folder (``spark.checkpoint.dir``)."""
-    return work_dir(spark, f"{label}-{uuid.uuid4().hex}")
+    path = work_dir(spark, f"{label}-{uuid.uuid4().hex}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written; how many.
+
+    For the end of a job, once its results are written: frames that still read
+    an intermediate table stop working.
+    """
+    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -326,3 +326,16 @@ def test_land_bronze_without_aqe_uses_hash_buckets(spark, tmp_dir):
         ["year=2020", "year=2021", "year=2022"]
     assert all(len([f for f in os.listdir(f"{tmp_dir}/nve/year={y}") if f.endswith(".csv")]) <= 4
                for y in (2020, 2021, 2022))
+
+
+def test_intermediate_tables_can_be_cleaned_up(spark):
+    from greenledger import tables
+
+    before = tables._MADE.pop(spark.sparkContext.applicationId, [])  # those of other tests stay
+    try:
+        kept = tables.written(spark.range(5), "cleaned")
+        (path,) = tables._MADE[spark.sparkContext.applicationId]
+        assert kept.count() == 5 and os.path.isdir(path)
+        assert tables.clean_up(spark) == 1 and not os.path.exists(path) and tables.clean_up(spark) == 0
+    finally:
+        tables._MADE[spark.sparkContext.applicationId] = before
