@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Odd multipliers; two of them give 128-bit keys.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: An odd multiplier.
+BASE = 0x9E3779B97F4A7C15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -18,27 +18,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of a base and of its inverse modulo 2**64, as far as asked for."""
+    """Powers of ``BASE`` and of its inverse modulo 2**64, as far as asked for."""
 
-    def __init__(self, base: int):
-        self.base, self.inverse, self.n = base, pow(base, -1, 1 << 64), 0
+    n = 0
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.n:
             self.n = max(n, 2 * self.n, 1 << 16)
             self.up, self.down = (np.cumprod(np.concatenate(
-                [[np.uint64(1)], np.full(self.n, b, np.uint64)]).astype(np.uint64)) for b in (self.base, self.inverse))
+                [[np.uint64(1)], np.full(self.n, b, np.uint64)]).astype(np.uint64)) for b in (BASE, pow(BASE, -1, 1 << 64)))
         return self.up, self.down
 
 
-POWERS = [Powers(b) for b in BASES]
+POWERS = Powers()
 
 
 class Ranges:
     """Hashes of ranges of one byte string."""
 
-    def __init__(self, data: np.ndarray, which: int = 0):
-        up, self.down = POWERS[which].upto(len(data) + 1)
+    def __init__(self, data: np.ndarray):
+        up, self.down = POWERS.upto(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.sums[1:])
 

@@ -1,10 +1,10 @@
-"""Removal of long repeated byte strings by distributed rank refinement of positions.
+"""Removal of long repeated byte strings by distributed ranking of suffix positions.
 
 A byte goes if it lies in a ``length``-byte string (a window) that also starts
 at any other place of the corpus. Suffix positions are ranked by strings that
-grow around them: Spark sorts (rank so far, key at the next offset), positions
-that are unique at a size drop out, and the rest go on to the next size until
-they are unique or the whole window is matched.
+grow around them: each round, Spark sorts pairs (rank so far, key of the longer
+string), positions that are unique drop out, and the others get a new rank and
+go on to the next length, until they are unique or the whole window is matched.
 
 Ranking every byte position would move some 24 bytes per byte of text and
 round. Instead each window is ranked through one position that its content
@@ -22,8 +22,9 @@ Cells lie on a grid relative to the position, the same for equal windows:
 * else the cell is split, and the next round ranks its parts, down to single
   windows.
 
-Splits happen only where a repeat begins or ends. Keys are 128-bit hashes of
-byte ranges. Rows of a round are narrow; texts are written once, bucketed by
+Splits happen only where a repeat begins or ends. The common bytes of a cell
+grow from round to round: 32, 273, 385, 400 for the default sizes. Keys are
+64-bit hashes of byte ranges, compared within one rank only. Rows of a round are narrow; texts are written once, bucketed by
 row, and read again in each round without moving.
 """
 
@@ -92,23 +93,21 @@ def _seed_rows(length: int):
 
 
 def cell_keys(data: np.ndarray, at, cell, size: int, length: int):
-    """Keys (two for the common bytes, two for all bytes) of cells: the windows
-    that start cell * size .. cell * size + size - 1 bytes before ``at``."""
+    """Keys (of the common bytes, of all bytes) of cells: the windows that start
+    cell * size .. cell * size + size - 1 bytes before ``at``."""
     lo, hi = at - cell * size - size + 1, at - cell * size
     start, end = np.maximum(lo, 0), np.minimum(hi + length, len(data))
     # What the text's ends cut off. The cell's place on the grid is part of a key:
     # cells of two positions may hold the same windows, which are no repeat.
     place = cell.astype(np.uint64)
     off = ((start - lo) << 40 | (hi + length - end) << 20).astype(np.uint64) | place
-    out = []
-    for which in (0, 1):
-        ranges = Ranges(data, which)
-        out += [mix(ranges.hash(hi, lo + length) + place), mix(ranges.hash(start, end) + off)]
-    return [x.view(np.int64) for x in (out[0], out[2], out[1], out[3])]
+    ranges = Ranges(data)
+    return (mix(ranges.hash(hi, lo + length) + place).view(np.int64),
+            mix(ranges.hash(start, end) + off).view(np.int64))
 
 
 def _cell_rows(size: int, length: int):
-    names = ["row", "at", "first", "last", "cell", "c1", "c2", "f1", "f2"]
+    names = ["row", "at", "first", "last", "cell", "rank", "common", "whole"]
 
     def run(batches):
         for batch in batches:
@@ -118,9 +117,10 @@ def _cell_rows(size: int, length: int):
             for k, (row, data) in enumerate(zip(*columns)):
                 # As flat arrays, not as one object for each cell.
                 cells = lists[k].values
-                at, first, last, cell = (cells.field(f).to_numpy(zero_copy_only=False) for f in ("at", "first", "last", "cell"))
+                at, first, last, cell, rank = (cells.field(f).to_numpy(zero_copy_only=False)
+                                               for f in ("at", "first", "last", "cell", "rank"))
                 keys = cell_keys(np.frombuffer(data, np.uint8), at, cell, size, length)
-                for name, v in zip(names, (np.full(len(at), row), at, first, last, cell, *keys)):
+                for name, v in zip(names, (np.full(len(at), row), at, first, last, cell, rank, *keys)):
                     out[name].append(v)
             yield _batch(out, {})
     return run
@@ -137,20 +137,21 @@ def repeated_windows(base: DataFrame, row: str, length: int = LENGTH) -> DataFra
     data = base.select(F.col(row).alias("row"), "data")
     seeds = written(data.mapInArrow(_seed_rows(length), "row long, at long, first long, last long, seed long"), "seeds")
     twice = written(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "twice")
-    live = seeds.join(twice, "seed").select("row", "at", "first", "last",
-                                            F.lit(0).cast("long").alias("_least"), F.lit(length).cast("long").alias("_most"))
+    live = seeds.join(twice, "seed").select(
+        "row", "at", "first", "last", F.col("seed").alias("rank"),
+        F.lit(0).cast("long").alias("_least"), F.lit(length).cast("long").alias("_most"))
     done = None
     for size in CELLS:
-        cells = _split(live, size).groupBy("row").agg(F.collect_list(F.struct("at", "first", "last", "cell")).alias("cells"))
+        cells = _split(live, size).groupBy("row").agg(F.collect_list(F.struct("at", "first", "last", "cell", "rank")).alias("cells"))
         ranked = written(data.join(cells, "row").mapInArrow(
-            _cell_rows(size, length), "row long, at long, first long, last long, cell long, c1 long, c2 long, f1 long, f2 long"),
+            _cell_rows(size, length), "row long, at long, first long, last long, cell long, rank long, common long, whole long"),
             "ranked")
         ranked = ranked.withColumn("_least", F.col("cell") * size).withColumn(
             "_most", F.col("_least") + size - 1).withColumn("me", F.xxhash64("row", "at"))
-        full = written(ranked.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("witness"))
-                       .filter("n > 1").select("f1", "f2", "witness"), "full")
-        ranked = written(ranked.join(full, ["f1", "f2"], "left").select(
-            "row", "at", "first", "last", "_least", "_most", "c1", "c2", F.col("witness").isNotNull().alias("settled"),
+        full = written(ranked.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("witness"))
+                       .filter("n > 1").select("rank", "whole", "witness"), "full")
+        ranked = written(ranked.join(full, ["rank", "whole"], "left").select(
+            "row", "at", "first", "last", "_least", "_most", "me", "rank", "common", F.col("witness").isNotNull().alias("settled"),
             (F.col("witness") == F.col("me")).alias("witness")), "judged")
         runs = ranked.filter("settled").select(
             "row", F.greatest("first", F.col("at") - F.col("_most")).alias("first"),
@@ -161,11 +162,11 @@ def repeated_windows(base: DataFrame, row: str, length: int = LENGTH) -> DataFra
         # Of settled cells with equal bytes one goes on, as a witness for open cells
         # with the same common bytes: a part of it may be their match.
         ranked = ranked.filter("NOT settled OR witness")
-        core = written(ranked.groupBy("c1", "c2").agg(
-            F.count(F.lit(1)).alias("n"), F.min("settled").alias("all_settled"))
-            .filter("n > 1 AND NOT all_settled").select("c1", "c2"), "core")
-        live = ranked.join(core, ["c1", "c2"], "left_semi").select(
-            "row", "at", "first", "last", "_least", "_most")
+        core = written(ranked.groupBy("rank", "common").agg(
+            F.count(F.lit(1)).alias("n"), F.min("settled").alias("all_settled"), F.min("me").alias("next"))
+            .filter("n > 1 AND NOT all_settled").select("rank", "common", "next"), "core")
+        live = ranked.join(core, ["rank", "common"]).select(
+            "row", "at", "first", "last", F.col("next").alias("rank"), "_least", "_most")
 
 
 def _remove(length: int):
