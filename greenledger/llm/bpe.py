@@ -7,21 +7,24 @@ the longest one that fits behind the last token of the shorter prefix, where
 two tokens fit if encoding their joined text gives exactly those two. Following
 the stored tokens back from the end gives the ids.
 
-Whitespace-separated chunks recur, so each Python worker keeps the encodings
-of recent chunks in a dictionary of bounded size.
+Whitespace-separated chunks recur, so each Python worker keeps one encoder from
+task to task, with the ids of the chunks met lately in two dictionaries of
+bounded size: a full one becomes the older one, and the older one goes.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's dictionaries; a full one is emptied.
-REMEMBERED = 400_000
+#: Entries of a worker's dictionary of chunks.
+REMEMBERED = 300_000
 
 # Fixed values of the tokenizer's format.
 WORD_END = "</w>"
@@ -66,8 +69,10 @@ class PrefixEncoder:
                 automaton.add_word(inner, (i, len(inner)))
         automaton.make_automaton()
         self.matches = automaton.iter
-        self.fit: dict[tuple[int, int], bool] = {}
-        self.chunks: dict[str, tuple[list[int], str]] = {}
+        self.whole = {t[:-1]: (i,) for t, i in self.id.items() if t[-1] == END and t[:-1].isascii() and t[:-1].isalpha()}
+        self.fit: dict[int, bool] = {}
+        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     @staticmethod
     def _inner(token: str) -> str:
@@ -86,88 +91,101 @@ class PrefixEncoder:
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        a, b = self.text[pair[0]], self.text[pair[1]]
+    def _fits(self, left: int, right: int) -> bool:
+        a, b = self.text[left], self.text[right]
         if len(self.fit) > REMEMBERED:
             self.fit.clear()
-        self.fit[pair] = ok = self._merged(a + b) == [a, b]
+        self.fit[left << 20 | right] = ok = self._merged(a + b) == [a, b]
         return ok
 
-    def piece_ids(self, piece: str) -> list[int]:
-        word = "".join([self.letters[b] for b in piece.encode()]) + END
-        n, fit, fits = len(word), self.fit, self._fits
-        last: list = [None] * n + [None]  # by prefix length: (last token, its length)
+    def piece_ids(self, piece: str) -> tuple[int, ...]:
+        if piece in self.whole:
+            return self.whole[piece]
+        word = piece + END if piece.isascii() and piece.isalpha() else "".join(
+            [self.letters[b] for b in piece.encode()]) + END
+        n, fit = len(word), self.fit
+        last, size = [-1] * (n + 1), [0] * (n + 1)  # by prefix length: its last token, that one's length
         done = 0
         for end, (token, length) in self.matches(word):  # longest first at each end
-            at = end + 1
-            if done == at:
+            if done > end:
                 continue
-            start = at - length
+            start = end + 1 - length
             if start:
                 before = last[start]
-                if before is None:
+                if before < 0:
                     continue
-                ok = fit.get(pair := (before[0], token))
+                ok = fit.get(before << 20 | token)
                 if ok is None:
-                    ok = fits(pair)
+                    ok = self._fits(before, token)
                 if not ok:
                     continue
-            last[at] = (token, length)
-            done = at
+            done = end + 1
+            last[done], size[done] = token, length
         ids, at = [], n
         while at:
-            token, length = last[at]
-            ids.append(token)
-            at -= length
-        return ids[::-1]
+            ids.append(last[at])
+            at -= size[at]
+        return tuple(ids[::-1])
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str]:
-        ids = [i for piece in self.pieces(chunk) for i in self.piece_ids(piece)]
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """Ids of a chunk without white space; a word and one mark behind it share the word's."""
         if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        self.chunks[chunk] = got = (ids, " ".join([self.name[i] for i in ids]))
+            self.chunks, self.older = {}, self.chunks
+        known = self.chunks
+        if got := self.older.get(chunk):
+            pass
+        elif chunk.isalpha():
+            got = self.piece_ids(chunk)
+        elif chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            word = chunk[:-1]
+            got = (known.get(word) or self._chunk(word)) + (known.get(chunk[-1]) or self.piece_ids(chunk[-1]))
+        else:
+            got = tuple([i for piece in self.pieces(chunk) for i in self.piece_ids(piece)])
+        known[chunk] = got
         return got
 
-    def _plain(self, text: str) -> list[tuple[list[int], str]]:
+    def _plain(self, text: str) -> list[int]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: a final sigma is no special case.
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # split() would take them for white space
             import regex
-            words = regex.split(f"[{WHITE_SPACE}]+", text)
+            words = [w for w in regex.split(f"[{WHITE_SPACE}]+", text) if w]
         else:
             words = text.split()
-        known, chunk, out = self.chunks, self._chunk, []
-        for w in words:
-            got = known.get(w)
-            out.append(chunk(w) if got is None else got)
-        return out
+        known, chunk = self.chunks.get, self._chunk
+        return list(chain.from_iterable([known(w) or chunk(w) for w in words]))
 
-    def encode(self, text: str) -> list[tuple[list[int], str]]:
-        """(ids, their tokens joined by a space) of the chunks of ``text`` in order."""
+    def encode(self, text: str) -> list[int]:
         if "<|" not in text:
             return self._plain(text)
         out = []
         for part in self.cut(text):
             i = self.special.get(part)
-            out += self._plain(part) if i is None else [([i], part)]
+            out += self._plain(part) if i is None else [i]
         return out
 
+    def decode(self, ids: list[int]) -> str:
+        """The file has no decoder: tokens are joined by a space."""
+        name = self.name
+        return " ".join([name[i] for i in ids])
+
 
-def _coder(path: str):
+def _coder(path: str, kept):
     def run(batches):
-        coder = PrefixEncoder(path)
+        # A broadcast's value lives as long as the worker: the encoder is built once there.
+        coder = kept.value.get(path) or kept.value.setdefault(path, PrefixEncoder(path))
         for batch in batches:
             ids, ends, decoded = [], [0], []
             for text in batch.column("text").to_pylist():
-                parts = coder.encode(text)
-                for part in parts:
-                    ids += part[0]
-                ends.append(len(ids))
-                decoded.append(" ".join([p[1] for p in parts if p[1]]))
+                mine = coder.encode(text)
+                ids.append(np.array(mine, np.int32))
+                ends.append(ends[-1] + len(mine))
+                decoded.append(coder.decode(mine))
+            flat = pa.array(np.concatenate([*ids, np.empty(0, np.int32)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
+                [batch.column("_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
                  pa.array(decoded, pa.string())], ["_id", "ids", "decoded"])
     return run
 
@@ -183,5 +201,6 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     come out as often as they came in. Other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    kept = docs.sparkSession.sparkContext.broadcast({})
     return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        _coder(tokenizer_path), f"_id {kind}, ids array<int>, decoded string").withColumnRenamed("_id", id_col)
+        _coder(tokenizer_path, kept), f"_id {kind}, ids array<int>, decoded string").withColumnRenamed("_id", id_col)
