@@ -16,6 +16,8 @@ Only rows in undecided groups move, with the digit of that pass.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,24 +32,25 @@ def normalised(text) -> F.Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def _classes(base: DataFrame, row: str) -> DataFrame:
-    """(row, first, keep_id, group_size) of every row of ``base``
-    (row, _id, _norm binary); ``first`` is the row that stays."""
-    n_bytes = F.length("_norm")
+def _classes(base: DataFrame, row: str, text: F.Column) -> tuple[DataFrame, DataFrame]:
+    """(row, first, keep_id, group_size) of every row of ``base`` (row, _id and
+    what ``text`` reads); ``first`` is the row that stays. Also (row, _id, _sha)."""
+    norm = F.encode(normalised(text), "UTF-8")
     state, done, at, width = None, [], 0, FIRST_DIGIT
     while True:
-        rows = base.select(
-            row, "_id", F.substring("_norm", at + 1, width).alias("_digit"),
-            (n_bytes <= at + width).alias("_ended"))
+        digit = [F.substring(norm, at + 1, width).alias("_digit"), (F.length(norm) <= at + width).alias("_ended")]
         if state is None:
-            rows = rows.withColumn("_group", F.lit(0).cast("long"))
-        else:
-            rows = rows.join(state, row)
+            rows = every = written(base.select(
+                row, "_id", F.lit(0).cast("long").alias("_group"), *digit, F.sha2(norm, 256).alias("_sha")), "digits")
+        else:  # only rows still undecided are normalised again
+            rows = written(base.join(state, row).select(row, "_id", "_group", *digit), "digits")
         keys = ["_group", "_digit", "_ended"]
-        groups = rows.groupBy(*keys).agg(
+        # Written, so that both sides of the join are shuffled for it alone: a hot
+        # group's rows can then be split over tasks.
+        groups = written(rows.groupBy(*keys).agg(
             F.min(F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"),
                            F.col(row).alias("row"))).alias("_first"),
-            F.count(F.lit(1)).alias("_n"))
+            F.count(F.lit(1)).alias("_n")), "groups")
         split = written(
             rows.join(groups, keys).select(
                 row, F.col("_first.row").alias("_next"), F.col("_first.id").alias("keep_id"),
@@ -59,17 +62,7 @@ def _classes(base: DataFrame, row: str) -> DataFrame:
         if state.isEmpty():
             break
         at, width = at + width, width * GROWTH
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return out
-
-
-def _base(docs: DataFrame, id_col: str, text_col: str, keep: list[str]):
-    row = free_name([*docs.columns, "_id", "_norm"], "row")
-    norm = F.encode(normalised(F.col(text_col)), "UTF-8")
-    cols = [F.col(id_col).alias("_id"), norm.alias("_norm")]
-    return row, bucketed(numbered(docs.select(*keep, *cols), row), row, "exact")
+    return reduce(DataFrame.union, done), every.select(row, "_id", "_sha")
 
 
 def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,19 +73,18 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stays (null ids last); of rows that tie on the id exactly one stays. Null
     and empty texts are equal. Other columns are not read.
     """
-    row, base = _base(docs, id_col, text_col, [])
-    base = base.withColumn("_sha", F.sha2("_norm", 256))
-    out = _classes(base, row).join(base.select(row, "_id", "_sha"), row)
-    return out.select(
+    row = free_name(["_id", "_text"], "row")
+    base = bucketed(numbered(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), row), row, "exact")
+    classes, every = _classes(base, row, F.col("_text"))
+    return classes.join(every, row).select(
         F.col("_id").alias(id_col), "keep_id", "group_size",
         (F.col(row) == F.col("first")).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without later copies, all columns unchanged."""
-    names = free_name(docs.columns, "c")
-    plain = docs.select(F.struct(*docs.columns).alias(names), id_col, text_col)
-    row, base = _base(plain, id_col, text_col, [names])
-    classes = _classes(base.select(row, "_id", "_norm"), row)
+    row = free_name(["_id", "_whole"], "row")
+    base = bucketed(numbered(docs.select(F.col(id_col).alias("_id"), F.struct(*docs.columns).alias("_whole")), row), row, "exact")
+    classes, _ = _classes(base, row, F.col("_whole")[text_col])
     kept = classes.filter(F.col(row) == F.col("first")).select(row)
-    return base.select(row, names).join(kept, row, "left_semi").select(f"{names}.*")
+    return base.select(row, "_whole").join(kept, row, "left_semi").select("_whole.*")
