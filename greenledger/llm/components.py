@@ -13,13 +13,13 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node; ``root`` is the smallest.
 
     Each round links every larger neighbour of a node, then the node and its
-    smaller neighbours, to the smallest node around. Rounds grow with the
-    logarithm of the longest path; each is written, and only narrow edges move.
+    smaller neighbours, to the smallest node around, until all that is left are
+    stars. Rounds grow with the logarithm of the longest path; each is written,
+    and only narrow edges move.
     """
     state = written(edges.filter("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
-    while True:
+    while not _stars(state):
         both = state.union(state.select("b", "a").toDF("a", "b"))
         around = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "near")
         large = written(both.join(around, "a").filter("b > a").select(
@@ -28,7 +28,12 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").union(
             least.select("a", "m"))
         state = written(small.distinct(), "small")
-        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return state.toDF("node", "root")
-        seen = now
+    return state.toDF("node", "root")
+
+
+def _stars(state: DataFrame) -> bool:
+    """True if every node has one edge up, and no upper end has one itself."""
+    ups = written(state.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "ups")
+    if not ups.filter("n > 1").isEmpty():
+        return False
+    return state.join(ups.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()

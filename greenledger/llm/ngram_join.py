@@ -8,9 +8,12 @@ shingles is at least 0.8.
    similarity s shares a key with probability 1 - (1 - s**5)**36: all but
    6 in 10 million at 0.8. Texts joined through shared keys form candidate
    components (star edges to the smallest member of a key, never all pairs).
-3. The members of a component are laid out in one order and cut into blocks of
-   bounded bytes. Every pair of blocks of a component is one task's work, so a
-   huge component is spread over many tasks; small ones share a block.
+3. A component is compared as a whole. One of many blocks whose keys are small
+   beside it (loosely chained texts, say around one boilerplate) is compared key
+   by key instead, each pair at its first shared key only.
+   The members of these units are laid out in one order and cut into blocks of
+   bounded bytes. Every pair of blocks of a unit is one task's work, so a huge
+   unit is spread over many tasks; small ones share a block.
 4. In a block pair, pairs are compared by further MinHash values, ``STEP`` at a
    time. After n values with m matches, the posterior probability (uniform
    prior) that the similarity reaches the threshold is that of at most m
@@ -28,7 +31,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.llm.common import bucketed, free_name, numbered, with_positions, written
@@ -40,7 +43,9 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 36, 5
 STEP, STEPS = 16, 8
 TOLERANCE = 1e-8
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+#: A component above so many blocks is compared by key if that makes SPARSE times fewer pairs.
+SPREAD_BLOCKS, SPARSE = 8, 4
 #: Shingles hashed at once, so that the product stays in cache.
 CHUNK = 1024
 
@@ -117,9 +122,11 @@ def _key_rows(batches):
             ["row", "id", "digest", "n_bytes", "keys"])
 
 
-def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, threshold: float = THRESHOLD):
+def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, band: int = -1,
+            threshold: float = THRESHOLD):
     """Yields (a, linked b's) for a in ``left`` and b in ``right`` (None: later
-    members of ``left``); indices into ``sets``."""
+    members of ``left``); indices into ``sets``. With a ``band`` only pairs whose
+    first shared key is that band's."""
     used = left if right is None else np.concatenate([left, right])
     values = {i: minhash(sets[i], COMPARE) for i in used}
     others = left if right is None else right
@@ -131,6 +138,7 @@ def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None,
     names, dense = np.unique(flat, return_inverse=True)
     mark = np.zeros(len(names) + 1, bool)
     need = least_matches(threshold)
+    keys = {i: band_keys(sets[i]) for i in used} if band >= 0 else {}
     for k, a in enumerate(left):
         n = len(sets[a])
         near = np.arange(k + 1 if right is None else 0, len(others))
@@ -144,6 +152,8 @@ def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None,
             matches += (sig[near, part] == values[a][part]).sum(1)
             alive = matches >= need[s]
             near, matches = near[alive], matches[alive]
+        if band >= 0 and len(near):
+            near = near[(np.array([keys[i] for i in others[near]]) == keys[a]).argmax(1) == band]
         if not len(near):
             continue
         at = np.searchsorted(names, sets[a])
@@ -159,9 +169,10 @@ def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None,
 def _links(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row per document of a block pair that is linked there: links, root."""
     p, q = pdf["p"].iloc[0], pdf["q"].iloc[0]
-    pdf = pdf.sort_values(["comp", "row"], ignore_index=True)
-    rows, copies, block = (pdf[c].to_numpy() for c in ("row", "copies", "block"))
-    sets = [shingles(words_of(t)) for t in pdf["text"]]
+    pdf = pdf.sort_values(["band", "unit", "row"], ignore_index=True)
+    rows, copies, block, band, unit = (pdf[c].to_numpy() for c in ("row", "copies", "block", "band", "unit"))
+    of_row: dict[int, np.ndarray] = {}  # a text may stand in several units
+    sets = [of_row[r] if r in of_row else of_row.setdefault(r, shingles(words_of(t))) for r, t in zip(rows, pdf["text"])]
     root = np.arange(len(rows))
     links = np.zeros(len(rows), np.int64)
 
@@ -170,17 +181,16 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
             root[i] = i = root[root[i]]
         return i
 
-    comp = pdf["comp"].to_numpy()
-    cuts = [0, *(np.flatnonzero(comp[1:] != comp[:-1]) + 1), len(comp)]
+    cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]) | (band[1:] != band[:-1])) + 1), len(unit)]
     for lo, hi in zip(cuts, cuts[1:]):
         members = np.arange(lo, hi)
         if p == q:
-            pairs = compare(sets, members, None)
+            pairs = compare(sets, members, None, band[lo])
         else:
             left, right = members[block[lo:hi] == p], members[block[lo:hi] == q]
             if not len(left) or not len(right):
                 continue
-            pairs = compare(sets, left, right)
+            pairs = compare(sets, left, right, band[lo])
         for a, linked in pairs:
             links[a] += copies[linked].sum()
             links[linked] += copies[a]
@@ -192,18 +202,16 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """See ``near_classes``; without the row column."""
-    row, base = _base(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    return near_classes(base, row).select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "kept")
+    """``near_classes`` of documents: one row per input row, named by ``id_col``."""
+    row = free_name(["id", "text"], "row")
+    base = bucketed(numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), row), row, "near")
+    return near_classes(base, row, F.col("text")).select(
+        F.col("id").alias(id_col), "class_id", "class_size", "n_links", "kept")
 
 
-def _base(docs: DataFrame):
-    row = free_name(docs.columns, "row")
-    return row, bucketed(numbered(docs.withColumn("text", F.coalesce("text", F.lit(""))), row), row, "near")
-
-
-def near_classes(base: DataFrame, row: str) -> DataFrame:
-    """(row, id, class_id, class_size, n_links, kept) of every row of ``base``.
+def near_classes(base: DataFrame, row: str, text: Column) -> DataFrame:
+    """(row, id, class_id, class_size, n_links, kept) of every row of ``base``
+    (row, id and what ``text`` reads).
 
     ``n_links``: rows linked to this one, copies included. A class is a set of
     rows connected by links; ``class_id`` is its smallest id (null ids last), and
@@ -212,24 +220,28 @@ def near_classes(base: DataFrame, row: str) -> DataFrame:
     rows are copies of each other.
     """
     kind = base.schema["id"].dataType.simpleString()
-    keyed = written(base.select(F.col(row).alias("row"), "id", "text").mapInArrow(
+    text = F.coalesce(text, F.lit("")).alias("text")
+    keyed = written(base.select(F.col(row).alias("row"), "id", text).mapInArrow(
         _key_rows, f"row long, id {kind}, digest binary, n_bytes long, keys array<bigint>"), "keys")
     texts = written(keyed.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     keys = keyed.join(texts.select(F.col("rep").alias("row")), "row", "left_semi").select(
-        "row", F.explode("keys").alias("key"))
+        "row", F.posexplode("keys").alias("band", "key"))
     shared = written(keys.groupBy("key").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-                     .filter("n > 1").select("key", "first"), "shared")
-    found = components(keys.join(shared, "key").select(F.col("row").alias("a"), F.col("first").alias("b")))
+                     .filter("n > 1"), "shared")
+    held = written(keys.join(shared, "key").select("row", "band", "key", "first"), "held")
+    found = components(held.select(F.col("row").alias("a"), F.col("first").alias("b")))
     members = found.union(found.select("root", "root").distinct()).toDF("row", "comp")
-    members = members.join(keyed.select("row", "n_bytes", "digest"), "row").join(texts, "digest").select(
-        "row", "comp", "copies", "n_bytes")
-    laid = with_positions(members, ["comp", "row"], "laid", {"upto": "n_bytes"})
+    members = written(members.join(keyed.select("row", "n_bytes", "digest"), "row").join(texts, "digest").select(
+        "row", "comp", "copies", "n_bytes"), "members")
+    units = _units(members, held, shared)
+    laid = with_positions(units, ["band", "unit", "row"], "laid", {"upto": "n_bytes"})
     laid = written(laid.withColumn("block", F.expr(f"upto div {BLOCK_BYTES}")), "blocks")
-    spans = written(laid.groupBy("comp").agg(F.min("block").alias("lo"), F.max("block").alias("hi")), "spans")
-    work = laid.join(spans, "comp").withColumn("other", F.explode(F.sequence("lo", "hi"))).select(
-        "row", "comp", "copies", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-    work = base.select(F.col(row).alias("row"), "text").join(work, "row")
+    spans = written(laid.groupBy("band", "unit").agg(F.min("block").alias("lo"), F.max("block").alias("hi")), "spans")
+    work = laid.join(spans, ["band", "unit"]).withColumn("other", F.explode(F.sequence("lo", "hi"))).select(
+        "row", "band", "unit", "copies", "block",
+        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    work = base.select(F.col(row).alias("row"), text).join(work, "row")
     linked = written(work.groupBy("p", "q").applyInPandas(_links, "row long, links long, root long"), "links")
     classes = components(linked.select(F.col("row").alias("a"), F.col("root").alias("b")))
     per_text = linked.groupBy("row").agg(F.sum("links").alias("links"))
@@ -251,10 +263,23 @@ def near_classes(base: DataFrame, row: str) -> DataFrame:
         (F.col("row") == F.col("first.row")).alias("kept"))
 
 
+def _units(members: DataFrame, held: DataFrame, shared: DataFrame) -> DataFrame:
+    """(row, band, unit, copies, n_bytes): what is compared together. Band -1: a
+    whole component; else the texts that hold one key of that band."""
+    comps = members.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n_bytes").alias("bytes"))
+    by_key = shared.join(members.select(F.col("row").alias("first"), "comp"), "first").groupBy("comp").agg(
+        F.sum((F.col("n") * F.col("n")).cast("double")).alias("pairs"))
+    sparse = written(comps.filter(F.col("bytes") > SPREAD_BLOCKS * BLOCK_BYTES).join(by_key, "comp").filter(
+        SPARSE * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("comp"), "sparse")
+    whole = members.join(sparse, "comp", "left_anti").select(
+        "row", F.lit(-1).alias("band"), F.col("comp").alias("unit"), "copies", "n_bytes")
+    return whole.union(held.join(members.join(sparse, "comp", "left_semi"), "row").select(
+        "row", "band", F.col("key").alias("unit"), "copies", "n_bytes"))
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each class, all columns unchanged."""
-    whole = free_name(docs.columns, "whole")
-    plain = docs.select(F.struct(*docs.columns).alias(whole), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    row, base = _base(plain)
-    kept = near_classes(base, row).filter("kept").select(row)
-    return base.select(row, whole).join(kept, row, "left_semi").select(f"{whole}.*")
+    row = free_name(["id", "whole"], "row")
+    base = bucketed(numbered(docs.select(F.col(id_col).alias("id"), F.struct(*docs.columns).alias("whole")), row), row, "near")
+    kept = near_classes(base, row, F.col("whole")[text_col]).filter("kept").select(row)
+    return base.select(row, "whole").join(kept, row, "left_semi").select("whole.*")

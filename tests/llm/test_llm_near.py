@@ -67,9 +67,11 @@ def varied(rng, n=60):
     return docs
 
 
-@pytest.mark.parametrize("block", [1500, 4 << 20])
-def test_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,sparse", [(1500, 4), (1500, 0), (4 << 20, 4)])
+def test_equals_brute_force(spark, monkeypatch, block, sparse):
     monkeypatch.setattr(J, "BLOCK_BYTES", block)  # small blocks: components span many
+    monkeypatch.setattr(J, "SPARSE", sparse)  # 0: all those are compared key by key
+    monkeypatch.setattr(J, "SPREAD_BLOCKS", 1)
     docs = varied(random.Random(block)) + [
         (None, None), (500, ""), (500, ""), (501, " \n"), (502, "one two"), (503, "one  two"), (502, "one two"),
         (None, "one two three"), (None, "one two three"), (7, "é " * 50), (8, "é " * 49)]
