@@ -148,7 +148,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
         F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("_sha"),
         F.monotonically_increasing_id().alias(row)), "sizes")
-    firsts = rows.groupBy("_sha").agg(F.min("_id").alias("_first"))
+    # Written, so that the join can split a hot group's rows over tasks.
+    firsts = written(rows.groupBy("_sha").agg(F.min("_id").alias("_first")), "firsts")
     rows = rows.join(firsts, "_sha").select(
         F.col("_first").isNull().alias("_late"), "_first", "_sha",
         F.col("_id").isNull().alias("_no_id"), "_id", row, "size", "text_crc32")
