@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import fresh_path
+from greenledger.llm.common import fresh_path, written
 
 LIMIT = 4096
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
@@ -76,7 +76,8 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str | None = None
     (misses.mapInArrow(_count(model_path), "digest binary, n_tokens long")
      .withColumn("tokenizer", F.lit(version))
      .write.mode("append").partitionBy("tokenizer").parquet(cache_path))
-    counts = read_cache(spark, cache_path, version)
+    # Written, so that the join can split the rows of a text with very many copies.
+    counts = written(read_cache(spark, cache_path, version), "counts")
     return keyed.select("_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(
         counts, "digest").select(
         F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
