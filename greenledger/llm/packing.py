@@ -2,10 +2,11 @@
 
 A document is cut at every 1024 tokens; its full windows are sequences of their
 own and its rest is one more piece. Pieces are routed to tiers by length (up to
-128, 256, 512, 1024 tokens). Each tier is packed from the longest piece down,
-and the gaps of its windows are filled with the longest pieces that fit, from
-the same tier or shorter ones. A piece that fills its tier exactly needs no
-padding and stays alone.
+128, 256, 512, 1024 tokens). Each tier is packed into windows of its own length
+from the longest piece down, and the gaps of its windows are filled with the
+longest pieces that fit, from the same tier or shorter ones. A piece that fills
+its tier exactly needs no padding and stays alone; pieces of windows that nothing
+fills share windows of 1024 tokens.
 
 The plan needs only how many pieces there are of each length: at most 1024
 numbers, whatever the data. It is a list of patterns (lengths side by side,
@@ -20,6 +21,7 @@ steps of a training run hold near equal numbers of tokens.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -90,22 +92,53 @@ def _pieces(tokenizer_path: str, ranks_path: str, pattern: str):
     return run
 
 
+def tier(length: int) -> int:
+    """The shortest tier that holds ``length`` tokens."""
+    return min(t for t in TIERS if t >= length)
+
+
+def _side_by_side(left: dict[int, int], window: int) -> list[int]:
+    """Lengths for one window: from the longest down, what fits into its gap."""
+    pattern, gap = [], window
+    for n in sorted(left, reverse=True):
+        fit = min(gap // n, left[n])
+        pattern += [n] * fit
+        gap -= fit * n
+    return pattern
+
+
+def _repeat(left: dict[int, int], uses: Counter[int]) -> int:
+    """Takes ``uses`` out of ``left`` as often as it can be, and says how often."""
+    times = min(left[n] // k for n, k in uses.items())
+    for n, k in uses.items():
+        left[n] -= k * times
+        if not left[n]:
+            del left[n]
+    return times
+
+
 def plan(counts: dict[int, int]) -> list[tuple[list[int], int]]:
-    """Patterns (lengths, repeats) that use up ``counts`` pieces of each length."""
+    """Patterns (lengths, repeats) that use up ``counts`` pieces of each length.
+
+    Each tier is packed in turn, from the longest down, into windows of its own
+    length. A window stays if its pieces fill it; the pieces of the others share
+    windows of 1024 tokens.
+    """
     left = {n: c for n, c in counts.items() if c}
     out = [([n], left.pop(n)) for n in TIERS if n in left]
+    loose: Counter[int] = Counter()
     while left:
-        lengths = sorted(left, reverse=True)
-        pattern, gap = [lengths[0]], WINDOW - lengths[0]
-        for n in lengths:
-            while n <= gap and pattern.count(n) < left[n]:
-                pattern.append(n)
-                gap -= n
-        times = min(left[n] // pattern.count(n) for n in set(pattern))
-        for n in pattern:
-            left[n] -= times
-        left = {n: c for n, c in left.items() if c}
-        out.append((pattern, times))
+        window = tier(max(left))
+        pattern = _side_by_side(left, window)
+        uses = Counter(pattern)
+        times = _repeat(left, uses)
+        if sum(pattern) == window:
+            out.append((pattern, times))
+        else:
+            loose.update({n: k * times for n, k in uses.items()})
+    while loose:
+        pattern = _side_by_side(loose, WINDOW)
+        out.append((pattern, _repeat(loose, Counter(pattern))))
     return out
 
 

@@ -143,6 +143,15 @@ def test_plan_uses_every_piece():
     assert used == collections.Counter({n: c for n, c in counts.items() if c})
 
 
+def test_plan_packs_each_tier_into_its_own_windows():
+    counts = {700: 5, 324: 5, 300: 8, 212: 8, 150: 6, 106: 6, 90: 4, 38: 4, 128: 3}
+    windows = collections.Counter()
+    for pattern, times in plan(counts):
+        assert sum(pattern) == next(t for t in (128, 256, 512, 1024) if t >= max(pattern))
+        windows[sum(pattern)] += times
+    assert windows == {1024: 5, 512: 8, 256: 6, 128: 7}
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert count_tokens(none, MODEL).count() == 0
