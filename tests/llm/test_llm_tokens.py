@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from greenledger.llm import queries as Q
 from greenledger.llm.bpe import PrefixEncoder, encode_decode
-from greenledger.llm.packing import WINDOW, pack, plan
+from greenledger.llm.packing import WINDOW, _placements, fill, pack, plan
 from greenledger.llm.token_counts import count_tokens, read_cache, tokenizer_version
 
 SF = "/root/testdata/sf0.001"
@@ -152,6 +152,39 @@ def test_plan_packs_each_tier_into_its_own_windows():
     assert windows == {1024: 5, 512: 8, 256: 6, 128: 7}
 
 
+def test_filled_plan_has_one_open_window_at_most():
+    import random
+    rng = random.Random(4)
+    for hot in (520, 600, 1023, 3):
+        counts = collections.Counter(min(1024, 1 + int(rng.expovariate(1 / 400))) for _ in range(2000))
+        counts[hot] += 1000
+        rows, sequences = _placements(counts, fill(plan(counts)))
+        windows, pieces = collections.defaultdict(list), collections.defaultdict(list)
+        for n, first, end, at, used, sequence, offset, window in rows:
+            for k in range(end - first):
+                windows[sequence + k].append((offset, used, window))
+                pieces[n, first + k].append((at, used))
+        assert set(pieces) == {(n, k) for n, c in counts.items() for k in range(c)}
+        for (n, _), parts in pieces.items():
+            ends = [0, *(at + used for at, used in sorted(parts))]
+            assert [at for at, _ in sorted(parts)] == ends[:-1] and ends[-1] == n
+        open_windows = 0
+        for parts in windows.values():
+            ends = [0, *(offset + used for offset, used, _ in sorted(parts))]
+            assert [offset for offset, _, _ in sorted(parts)] == ends[:-1]
+            open_windows += ends[-1] != parts[0][2]
+        assert sorted(windows) == list(range(sequences)) and open_windows <= 1
+
+
+def test_a_third_of_all_rows_of_one_length_costs_no_padding(spark):
+    rows = [(i, "word " * 300 + f"{i} " + "other " * 300) for i in range(100)]
+    rows += [(i, f"{i} " + "short " * (7 * i % 900)) for i in range(100, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = pack(docs, P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    padding, tokens = check_packing(rows, out)
+    assert tokens > 100_000 and padding < WINDOW
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert count_tokens(none, MODEL).count() == 0
