@@ -40,21 +40,40 @@ SCRIPTS = {
 
 _TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 _LOCAL = r"[\p{L}\p{N}._%+-]"
+#: Letters and digits of an IBAN, by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@(?:[\p{{L}}\p{{N}}-]++\.)+\p{{L}}{{2,}}"
+_IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+_PHONE = (r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+          r"|(?<!\d)\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])")
+_SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
+_OTHER = "|".join(f"(?:{p})" for p in (_EMAIL, _IP, _PHONE, _SSN))
+_SIZED = "|".join(rf"(?:{codes.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (
+    rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, codes in IBAN_LENGTHS.items())
 #: Kind and pattern, the first that matches wins. Each pattern starts at a place
-#: that a look-behind makes unique in its run, so long runs cost linear time.
+#: that a look-behind makes unique in its run, so long runs cost linear time. An IBAN
+#: ends where its country's do, a card is looked for in its run of up to 256 digits, and
+#: both leave the mentions behind them to the other kinds. After a mention a run of
+#: digits may start at once.
 PATTERNS = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}++@(?:[\p{{L}}\p{{N}}-]++\.)+\p{{L}}{{2,}}",
+    "email": _EMAIL,
     "credential": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
                   r"|(?i:(?<=password=)[0-9a-z]{8,}+|(?<=(?:token|secret) = \")[0-9a-z]{16,}+(?=\"))",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
-             r"|(?<!\d)\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])",
-    "card": r"(?<!\d|\d[ -])\d(?:[ -]?\d){12,18}(?![ -]?\d)",
+    "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:(?:{_SIZED})(?![0-9A-Za-z])"
+            rf"|[A-Z]{{2}}\d{{2}}(?:(?: (?!{_OTHER}))?[A-Z0-9]{{4}}){{2,7}}(?:(?: (?!{_OTHER}))?[A-Z0-9]{{1,3}})?(?![0-9A-Za-z]))",
+    "ip": _IP,
+    "phone": _PHONE,
+    "ssn": _SSN,
+    "card": rf"(?:(?=\d)(?<!\d|\d[ -])|\G[ -](?!{_OTHER}))\d(?:\d|[ -](?!{_OTHER})\d){{12,255}}(?!\d)",
     "name": rf"(?<![\p{{L}}-])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: A group of digits that a card starts with, if it is not the first of its run.
+CARD_START = r"^[ -]?(?:[3-6]|2[2-7])\d{3}"
 #: No entity without one of these.
 HINT = rf"[0-9@]|password=|(?:{_TITLES})\.? \p{{Lu}}"
 DIGITS = ["phone", "ssn", "card"]
@@ -94,6 +113,50 @@ def _kind(mention: Column) -> Column:
     return first
 
 
+def _cards(run: Column) -> Column:
+    """The cards in a run of groups: structs (before, mention, kind, after).
+
+    From each place where a card may start, the longest row of whole groups with
+    13 to 19 digits and right check digits is taken, and the search goes on behind it.
+    """
+    def text(groups, start, end):
+        return F.array_join(F.slice(groups, start + 1, end - start), "")
+
+    def right(digits):
+        return F.when(digits.rlike("^[0-9]{13,19}$"), luhn_sum(digits) % 10 == 0).otherwise(False)
+
+    def step(groups):
+        def go(acc, start):
+            may = (start == acc["next"]) | ((start > acc["next"]) & F.get(groups, start).rlike(CARD_START))
+            ends = F.filter(F.sequence(start + 1, F.least(start + 19, F.size(groups))),
+                            lambda end: _let(F.regexp_replace(text(groups, start, end), "[ -]", ""), right))
+            return F.when(~may, acc).otherwise(_let(F.array_max(ends), lambda end: F.when(end.isNull(), acc).otherwise(F.struct(
+                F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"), end.alias("next")))))
+        return go
+
+    def pieces(groups, spans):
+        def one(span, i):
+            start = F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))
+            found = text(groups, span["start"], span["end"])
+            return F.struct(
+                F.concat(text(groups, start, span["start"]), F.regexp_extract(found, "^[ -]?", 0)).alias("before"),
+                F.regexp_replace(found, "^[ -]", "").alias("mention"), F.lit("card").alias("kind"),
+                F.when(i == F.size(spans) - 1, text(groups, span["end"], F.size(groups))).otherwise("").alias("after"))
+        return F.transform(spans, one)
+
+    return _let(F.regexp_extract_all(run, F.lit("[ -]?[0-9A-Za-z]+"), 0), lambda groups: _let(F.aggregate(
+        F.sequence(F.lit(0), F.size(groups) - 1),
+        F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(0).alias("next")),
+        step(groups), lambda acc: acc["spans"]), lambda spans: pieces(groups, spans)))
+
+
+def _checked(mention: Column, kind: Column) -> Column:
+    """What is an entity in a mention: structs (before, mention, kind, after)."""
+    whole = F.array(F.struct(F.lit("").alias("before"), mention.alias("mention"), kind.alias("kind"), F.lit("").alias("after")))
+    wrong = (kind == "iban") & (mod97(F.lower(_packed(mention))) != 1)
+    return F.when((kind == "card") | wrong, _cards(mention)).otherwise(whole)
+
+
 def _parts(mention: Column, kind: Column) -> Column:
     """The entities of a mention: structs (prefix kept as is, raw, kind, canon)."""
     def one(prefix, raw, kind, canon):
@@ -210,8 +273,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
 
     ``count_col`` adds the number of replaced mentions (it replaces a column of
     that name). Null texts stay null; texts without an entity stay as they are.
-    A run of digits with wrong check digits is no card or IBAN. Repeated rows get equal
-    texts. The same key gives the same surrogates as long as nothing collides.
+    A run of digits with wrong check digits is no card or IBAN, but its groups may
+    hold one. Repeated rows get equal texts. The same key gives the same surrogates as long as nothing collides.
     """
     columns = [c for c in docs.columns if not count_col or c.lower() != count_col.lower()]
     whole, row = free_name(columns, "whole"), free_name(columns, "row")
@@ -221,26 +284,25 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
         F.monotonically_increasing_id().alias("row")), "pii")
     hits = base.filter("found IS NOT NULL").select("row", F.posexplode("found").alias("i", "mention"))
     hits = hits.withColumn("kind", _kind(F.col("mention")))
-    packed = F.lower(_packed(F.col("mention")))
-    hits = hits.filter(F.when(F.col("kind") == "card", luhn_sum(packed) % 10 == 0)
-                       .when(F.col("kind") == "iban", mod97(packed) == 1).otherwise(True))
-    parts = written(hits.select("row", "i", F.posexplode(_parts(F.col("mention"), F.col("kind"))).alias("j", "part"))
-                    .select("row", "i", "j", "part.*"), "parts")
+    hits = hits.select("row", "i", F.posexplode(_checked(F.col("mention"), F.col("kind"))).alias("k", "entity"))
+    hits = hits.select("row", "i", "k", "entity.*")
+    parts = written(hits.select("row", "i", "k", "before", "after", F.posexplode(_parts(F.col("mention"), F.col("kind"))).alias("j", "part"))
+                    .select("row", "i", "k", "j", "before", "after", "part.*"), "parts")
     subs = surrogates(parts.select("kind", "canon").distinct(), key)
-    worded = parts.join(subs, ["kind", "canon"]).select("row", "i", "j", F.concat(
-        "prefix", _worded(F.col("raw"), F.col("kind"), F.col("sub"))).alias("s"))
+    worded = parts.join(subs, ["kind", "canon"]).select("row", "i", "k", "j", F.concat(
+        "before", "prefix", _worded(F.col("raw"), F.col("kind"), F.col("sub")), "after").alias("s"))
     # One row per document, with its own mentions only.
-    by_row = worded.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "j", "s"))).alias("subs"))
+    by_row = worded.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "k", "j", "s"))).alias("subs"))
     out = base.filter("found IS NULL").select(whole, "text", F.lit(0).cast("long").alias("n")).unionByName(
         base.filter("found IS NOT NULL").join(by_row, "row", "left").select(
             whole, _rebuilt(F.col("text"), F.col("found"), F.col("subs")).alias("text"),
-            F.coalesce(F.size(F.array_distinct(F.col("subs.i"))), F.lit(0)).cast("long").alias("n")))
+            F.coalesce(F.size(F.array_distinct(F.transform("subs", lambda x: F.struct(x["i"], x["k"])))), F.lit(0)).cast("long").alias("n")))
     fields = [F.col("text").alias(c) if c == text_col else F.col(f"{whole}.{c}").alias(c) for c in columns]
     return out.select(*fields, *([F.col("n").alias(count_col)] if count_col else []))
 
 
 def _rebuilt(text: Column, found: Column, subs: Column) -> Column:
-    """The text with mention i replaced by its parts (i, j, s); others stay."""
+    """The text with mention i replaced by its parts (i, k, j, s); others stay."""
     def word(i):
         mine = F.filter(subs, lambda x: x["i"] == i)
         return F.when(F.coalesce(F.size(mine), F.lit(0)) > 0, F.array_join(F.transform(mine, lambda x: x["s"]), "")).otherwise(

@@ -112,3 +112,37 @@ def test_key_matters_and_empty(spark):
     docs = spark.createDataFrame([(1, "a.b@c.org")], "doc_id long, text string")
     assert replace_pii(docs, "k").first() == replace_pii(docs, "k").first() != replace_pii(docs, "other").first()
     assert replace_pii(docs.limit(0), "k").collect() == []
+
+
+def test_numbers_after_ibans_and_cards_hide_nothing(spark):
+    cases = {  # text: the entities in it, and what stays around them
+        "to ES91 2100 0418 4502 0005 1332 EUR 50": ["ES91 2100 0418 4502 0005 1332"],
+        "to BE68539007547034 BIC KREDBEBB": ["BE68539007547034"],
+        "BE68 5390 0754 7034 A nombre": ["BE68 5390 0754 7034"],
+        "BE68539007547034 BE71096123456769": ["BE68539007547034", "BE71096123456769"],
+        "BE68 5390 0754 7034 555-123-4567": ["BE68 5390 0754 7034", "555-123-4567"],
+        "4111 1111 1111 1111 12/27": ["4111 1111 1111 1111"],
+        "4111 1111 1111 1111 123.": ["4111 1111 1111 1111"],
+        "4111111111111111 2027 123": ["4111111111111111"],
+        "4111 1111 1111 1111 5500 0000 0000 0004": ["4111 1111 1111 1111", "5500 0000 0000 0004"],
+        "4111-1111-1111-1111 123-45-6789 x": ["4111-1111-1111-1111", "123-45-6789"],
+        "4111 1111 1111 1111 192.168.1.77": ["4111 1111 1111 1111", "192.168.1.77"],
+        "nr 12 4111 1111 1111 1111": ["4111 1111 1111 1111"],
+        "123-45-6789 4111 1111 1111 1111": ["123-45-6789", "4111 1111 1111 1111"],
+        "NR12 4111 1111 1111 1111": ["4111 1111 1111 1111"],
+        "4111 1111 1111 1112 12/27, BE69 5390 0754 7034 A": [],
+        "1-1-" * 3000: None,
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in replace_pii(docs, "k", count_col="n").collect()}
+    for i, (text, entities) in enumerate(cases.items()):
+        if entities is None:
+            continue
+        assert out[i]["n"] == len(entities), (text, out[i])
+        rest, parts = text, []
+        for e in entities:
+            before, rest = rest.split(e, 1)
+            parts += [regex.escape(before), "(" + regex.sub(r"\d", r"\\d", regex.sub("[A-Z]", "[A-Z]", regex.escape(e))) + ")" if "." not in e
+                      else r"([\d.]+)"]
+        m = regex.fullmatch("".join(parts) + regex.escape(rest), out[i]["text"])
+        assert m and all(a != b for a, b in zip(m.groups(), entities)), (text, out[i])
