@@ -75,7 +75,7 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A group of digits that a card starts with, if it is not the first of its run.
 CARD_START = r"^[ -]?(?:[3-6]|2[2-7])\d{3}"
 #: No entity without one of these.
-HINT = rf"[0-9@]|password=|(?:{_TITLES})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|AKIA|(?i:password=|(?:token|secret) = \")|(?:{_TITLES})\.? \p{{Lu}}"
 DIGITS = ["phone", "ssn", "card"]
 
 
