@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from greenledger.tables import fresh_path, free_name, numbered, shuffle_partitions, with_positions, written
 
-__all__ = ["SPACES", "bucketed", "free_name", "fresh_path", "numbered", "shuffle_partitions", "with_positions", "written"]
+__all__ = ["SPACES", "bucketed", "discard", "free_name", "fresh_path", "numbered", "shuffle_partitions", "with_positions", "written"]
 
 #: Words of the query contracts: runs of anything but these six ASCII spaces.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -23,3 +23,9 @@ def bucketed(df: DataFrame, row: str, label: str) -> DataFrame:
     (df.repartition(n, row).write.option("compression", "zstd")
      .option("path", fresh_path(spark, label)).bucketBy(n, row).saveAsTable(table))
     return spark.table(table)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder made with ``fresh_path`` whose rows a later table holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,4 +1,4 @@
-"""The registered queries ``opN_<name>`` over the ``documents`` table, and their SQL."""
+"""The registered queries ``opN_<name>`` over the whole training-data tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm.bpe import encode_decode
+from greenledger.llm.centroids import cluster_vectors
 from greenledger.llm.exact_dedup import exact_classes
 from greenledger.llm.langid import held_out, identify, labelled_sample
 from greenledger.llm.ngram_join import similar_classes
@@ -16,6 +17,8 @@ from greenledger.llm.quality_rules import judge
 from greenledger.llm.sharding import assign_shards
 from greenledger.llm.suffix_dedup import remove_repeats
 from greenledger.llm.token_counts import count_tokens
+from greenledger.llm.vector_codes import encode_vectors
+from greenledger.llm.vector_sql import centroids_sql, codes_sql
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -74,6 +77,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_classes(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -85,6 +96,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_ngram_join": op10_ngram_join,
+    "op11_centroids": op11_centroids,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 ORACLE_SQL = {
@@ -147,4 +160,6 @@ ORACLE_SQL = {
              deg AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY a)
         SELECT d.doc_id, first.doc_id AS class_id, class_size, coalesce(n_links, 0) AS n_links, class.root = d.r AS kept
         FROM d JOIN class USING (r) JOIN d first ON first.r = class.root LEFT JOIN deg ON deg.r = d.r""",
+    "op11_centroids": centroids_sql(),
+    "op12_vector_codes": codes_sql(),
 }
