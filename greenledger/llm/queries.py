@@ -19,6 +19,7 @@ from greenledger.llm.suffix_dedup import remove_repeats
 from greenledger.llm.token_counts import count_tokens
 from greenledger.llm.vector_codes import encode_vectors
 from greenledger.llm.vector_sql import centroids_sql, codes_sql
+from greenledger.llm.warc import archived
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -85,6 +86,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -98,6 +103,7 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
     "op11_centroids": op11_centroids,
     "op12_vector_codes": op12_vector_codes,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL = {
@@ -162,4 +168,11 @@ ORACLE_SQL = {
         FROM d JOIN class USING (r) JOIN d first ON first.r = class.root LEFT JOIN deg ON deg.r = d.r""",
     "op11_centroids": centroids_sql(),
     "op12_vector_codes": codes_sql(),
+    "op13_warc": r"""
+        WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS t FROM pages),
+             g AS (SELECT t, max_by(r, (coalesce(page_id, -9223372036854775808), r)) AS last FROM p WHERE strlen(t) >= 1000 GROUP BY t)
+        SELECT p.page_id, strlen(p.t)::BIGINT AS payload_bytes, sha1(p.t) AS payload_digest,
+               CASE WHEN last <> p.r THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN last <> p.r THEN o.page_id END AS refers_to
+        FROM p LEFT JOIN g ON g.t = p.t LEFT JOIN p AS o ON o.r = g.last""",
 }
