@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greenledger.operators.asof import asof_join
 from greenledger.operators.lookups import assert_unique_key
 
 
@@ -27,29 +28,16 @@ def activity_factor_join(activity: DataFrame, factors: DataFrame, keys: list[str
                          date_col: str, quantity_col: str,
                          take: tuple[str, ...] = ("ef_id", "gCO2e_per_unit"),
                          out: str = "emissions") -> DataFrame:
-    """LEFT interval join: each activity row gets the factor whose validity
-    interval contains its date, and ``quantity x factor`` (E2).
+    """LEFT as-of join: each activity row, once, with the newest factor of its
+    ``keys`` that is valid on its day, and ``quantity x factor`` (E2).
 
-    Factors must not overlap in time for one key (editions of one factor are
-    disjoint years); unmatched rows keep NULL factor and emissions.
-    Plan: equi-join on ``keys`` with the date range as a residual.
-    No hint is given: AQE picks the strategy from the *measured* size of the
-    factor side after its shuffle, a broadcast when it is small, else a
-    sort-merge join whose skewed (hot-key) partitions it splits.
+    Editions may overlap and nest: the latest ``valid_from`` wins, then the latest
+    ``valid_to``, then the largest ``take`` values. Rows without a valid factor
+    keep NULL factor and emissions. See :mod:`greenledger.operators.asof` for the plan.
     """
-    f = factors.select(*[F.col(k).alias(f"__f_{k}") for k in keys],
-                       F.col("valid_from").alias("__f_from"), F.col("valid_to").alias("__f_to"),
-                       *take)
-    cond = None
-    for k in keys:
-        c = F.col(k) == F.col(f"__f_{k}")
-        cond = c if cond is None else cond & c
-    d = F.col(date_col)
-    cond = cond & (d >= F.col("__f_from")) & (d <= F.col("__f_to"))
-    joined = activity.join(f, cond, "left")
+    joined = asof_join(activity, factors, keys, date_col, list(take))
     value = "gCO2e_per_unit" if "gCO2e_per_unit" in take else take[-1]
-    return (joined.withColumn(out, F.col(quantity_col) * F.col(value))
-                  .drop(*[f"__f_{k}" for k in keys], "__f_from", "__f_to"))
+    return joined.withColumn(out, F.col(quantity_col) * F.col(value))
 
 
 def geo_fallback(activity: DataFrame, factors: DataFrame, levels: list[tuple],

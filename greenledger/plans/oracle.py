@@ -465,6 +465,33 @@ def oracle_sql() -> dict[str, str]:
                    CAST(count_if(status <> 'skipped') AS BIGINT) AS invalid,
                    CAST(count_if(status = 'skipped') AS BIGINT) AS skipped FROM cat_chk"""),
     }
+    editions = ", ".join(f"{e} AS {c}" for c, e in si.EDITION_KEYS.items())
+    edition_values = ", ".join(f'{e} AS "{c}"' for c, e in si.EDITION_VALUES.items())
+    newest = "ORDER BY f.valid_from DESC, f.valid_to DESC, f.ef_id DESC"
+    sql["asof_editions"] = f"""
+        WITH f AS (SELECT factor_name, unit, edition AS ef_id, {edition_values}
+                   FROM (SELECT {editions}, l_shipdate, l_extendedprice FROM lineitem) GROUP BY ALL),
+             a AS (SELECT row_number() OVER () AS r, * FROM ({shaped(si.EDITION_ACTIVITY, 'lineitem')}))
+        SELECT a.l_orderkey, a.l_linenumber, a.activity_date, f.ef_id, f."gCO2e_per_unit",
+               a.quantity * f."gCO2e_per_unit" AS emissions
+        FROM a LEFT JOIN f ON a.factor_name = f.factor_name AND a.unit = f.unit
+             AND a.activity_date BETWEEN f.valid_from AND f.valid_to
+        QUALIFY row_number() OVER (PARTITION BY a.r {newest}) = 1"""
+    located = " UNION ALL ".join(f"""
+        SELECT {place} AS country_code, l_linestatus AS unit, '{level} ' || CAST({edition} AS STRING) AS ef_id,
+               {", ".join(f'{e.format(days=days)} AS "{c}"' for c, e in si.LOCATED_VALUES.items())}
+        FROM act WHERE l_returnflag = '{flag}' GROUP BY ALL""" for level, (flag, place, edition, days) in si.LOCATED_LEVELS.items())
+    sql["geo_fallback_dated"] = f"""
+        WITH act AS ({_LOC_ACT.replace("l_orderkey, l_linenumber, l_suppkey, l_quantity,", "lineitem.*,")}),
+             f AS ({located}),
+             a AS (SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, nation_code, region_code,
+                          l_linestatus AS unit, CAST(l_shipdate AS DATE) AS activity_date FROM act)
+        SELECT a.* EXCLUDE (r), f.ef_id, f."gCO2e_per_unit",
+               CASE f.country_code WHEN a.nation_code THEN 'nation' WHEN a.region_code THEN 'region' WHEN 'GLOBAL' THEN 'global' END AS geo_level
+        FROM a LEFT JOIN f ON a.unit = f.unit AND a.activity_date BETWEEN f.valid_from AND f.valid_to
+             AND f.country_code IN (a.nation_code, a.region_code, 'GLOBAL')
+        QUALIFY row_number() OVER (PARTITION BY a.r ORDER BY CASE f.country_code WHEN a.nation_code THEN 1
+                WHEN a.region_code THEN 2 ELSE 3 END, {newest.removeprefix('ORDER BY ')}) = 1"""
     sql["incremental_landing"] = sql["bronze_roundtrip"]
     return sql
 

@@ -21,6 +21,7 @@ from greenledger.functions.scalars import (
     strip_trailing_group,
 )
 from greenledger.operators import checks as ck
+from greenledger.operators.asof import asof_fallback
 from greenledger.operators.dimension import (
     build_dimension,
     current_only,
@@ -475,6 +476,23 @@ def q_geo_fallback(spark, sf):
                       (F.col("l_quantity") * F.col("gCO2e_per_unit")).alias("emissions"))
 
 
+def q_asof_editions(spark, sf):
+    """The newest of nested editions on each activity row's day, once per row."""
+    out = activity_factor_join(si.edition_activity(spark, sf), written(si.edition_factors(spark, sf), "editions"),
+                               ["factor_name", "unit"], "activity_date", "quantity")
+    return out.select("l_orderkey", "l_linenumber", "activity_date", "ef_id", "gCO2e_per_unit", "emissions")
+
+
+def q_geo_fallback_dated(spark, sf):
+    """Nation, else region, else world, by unit and day."""
+    act = si.located_lines(spark, sf).select(
+        "l_orderkey", "l_linenumber", "nation_code", "region_code", F.col("l_linestatus").alias("unit"),
+        F.col("l_shipdate").cast("date").alias("activity_date"))
+    return asof_fallback(act, written(si.located_editions(spark, sf), "editions"),
+                         [("nation_code", "nation"), ("region_code", "region"), (None, "global", "GLOBAL")],
+                         ["unit"], "activity_date", ["ef_id", "gCO2e_per_unit"])
+
+
 QUERIES: dict[str, Query] = {
     "stage_catalog": q_stage_catalog,
     "stage_products": q_stage_products,
@@ -526,4 +544,6 @@ QUERIES: dict[str, Query] = {
     "usable_on": q_usable_on,
     "activity_factor_join": q_activity_factor_join,
     "geo_fallback": q_geo_fallback,
+    "asof_editions": q_asof_editions,
+    "geo_fallback_dated": q_geo_fallback_dated,
 }

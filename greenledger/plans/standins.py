@@ -114,6 +114,46 @@ EVENT_ACTIVITY = {
     "quantity": "value",
 }
 
+# Dated factors whose editions nest: of each return flag (name) and line status (unit) there are yearly
+# editions, quarterly revisions and monthly updates, told apart by the line number. An edition is
+# valid from its first to its last shipping day.
+_SHIPPED = "CAST(l_shipdate AS DATE)"
+EDITION_KEYS = {
+    "factor_name": "l_returnflag",
+    "unit": "l_linestatus",
+    "edition": ("CASE l_linenumber WHEN 1 THEN 'month ' || CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING) "
+                "WHEN 2 THEN 'quarter ' || CAST(year(l_shipdate) * 10 + quarter(l_shipdate) AS STRING) "
+                "ELSE 'year ' || CAST(year(l_shipdate) AS STRING) END"),
+}
+EDITION_VALUES = {
+    "valid_from": f"min({_SHIPPED})",
+    "valid_to": f"max({_SHIPPED})",
+    "gCO2e_per_unit": "max(l_extendedprice) / 1000",
+}
+# Activity rows for them: the shipped quantity, as many days later.
+EDITION_ACTIVITY = {
+    "l_orderkey": "l_orderkey",
+    "l_linenumber": "l_linenumber",
+    "factor_name": "l_returnflag",
+    "unit": "l_linestatus",
+    "activity_date": f"{_SHIPPED} + CAST(l_quantity AS INT)",
+    "quantity": "l_quantity",
+}
+
+# Located dated factors. Each level has the editions of one return flag: nations one a year, valid for as many
+# days as the largest quantity; regions one a quarter, likewise; the world one a month, valid
+# for as many days as the largest line number. Hence every level has days without one.
+LOCATED_LEVELS = {
+    "nation": ("R", "nation_code", "year(l_shipdate)", "max(l_quantity)"),
+    "region": ("A", "region_code", "year(l_shipdate) * 10 + quarter(l_shipdate)", "max(l_quantity)"),
+    "global": ("N", "'GLOBAL'", "year(l_shipdate) * 100 + month(l_shipdate)", "max(l_linenumber)"),
+}
+LOCATED_VALUES = {
+    "valid_from": f"min({_SHIPPED})",
+    "valid_to": f"min({_SHIPPED}) + CAST({{days}} AS INT)",
+    "gCO2e_per_unit": "max(l_extendedprice) / 1000",
+}
+
 # A translation-shaped lookup derived from part (for the lookup-key checks).
 PART_TRANSLATIONS = {
     "factor_name_fr": "p_name",
@@ -188,6 +228,31 @@ def event_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(read_table(spark, sf_dir, "events"), EVENT_ACTIVITY)
 
 
+def edition_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Editions that nest: factor_name, unit, ef_id, validity, value."""
+    li = read_table(spark, sf_dir, "lineitem")
+    keyed = li.selectExpr(*[f"{e} AS {c}" for c, e in EDITION_KEYS.items()], "l_shipdate", "l_extendedprice")
+    return keyed.groupBy(*EDITION_KEYS).agg(*[F.expr(e).alias(c) for c, e in EDITION_VALUES.items()]).withColumnRenamed(
+        "edition", "ef_id")
+
+
+def edition_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shape(read_table(spark, sf_dir, "lineitem"), EDITION_ACTIVITY)
+
+
+def located_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Editions per place and unit at three levels: country_code, unit, ef_id, validity, value."""
+    act = located_lines(spark, sf_dir)
+    out = None
+    for level, (flag, place, edition, days) in LOCATED_LEVELS.items():
+        one = act.where(F.col("l_returnflag") == flag).groupBy(
+            F.expr(place).alias("country_code"), F.col("l_linestatus").alias("unit"),
+            F.expr(f"'{level} ' || CAST({edition} AS STRING)").alias("ef_id")).agg(
+            *[F.expr(e.format(days=days)).alias(c) for c, e in LOCATED_VALUES.items()])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --------------------------------------------------------------------------
 # Lookup rows (invented for the stand-ins)
 # --------------------------------------------------------------------------
@@ -274,7 +339,13 @@ def catalog_rules(spark: SparkSession):
 # --------------------------------------------------------------------------
 def located_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their supplier's nation and region names."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return located_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                                               "nation_code", "region_code")
+
+
+def located_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the line items with their supplier's nation and region names."""
+    li = read_table(spark, sf_dir, "lineitem")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
