@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from greenledger.llm.common import written
@@ -13,27 +13,31 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node; ``root`` is the smallest.
 
     Each round links every larger neighbour of a node, then the node and its
-    smaller neighbours, to the smallest node around, until all that is left are
-    stars. Rounds grow with the logarithm of the longest path; each is written,
-    and only narrow edges move.
+    smaller neighbours, to the smallest node around, until a round changes
+    nothing: all that is left are stars. Rounds grow with the logarithm of the
+    longest path. A round writes two tables, and only narrow edges move; what
+    tells that nothing changed is observed while they are written.
     """
-    state = written(edges.filter("a != b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not _stars(state):
+    state, sum_ = _written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while True:
         both = state.union(state.select("b", "a").toDF("a", "b"))
-        around = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "near")
-        large = written(both.join(around, "a").filter("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        around = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large, _ = _written(both.join(around, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").union(
             least.select("a", "m"))
-        state = written(small.distinct(), "small")
-    return state.toDF("node", "root")
-
-
-def _stars(state: DataFrame) -> bool:
-    """True if every node has one edge up, and no upper end has one itself."""
-    ups = written(state.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "ups")
-    if not ups.filter("n > 1").isEmpty():
-        return False
-    return state.join(ups.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+        last = sum_
+        state, sum_ = _written(small.distinct())
+        if sum_ == last:
+            return state.toDF("node", "root")
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and what tells two sets of edges apart: their number
+    and two sums of their hashes."""
+    seen = Observation()
+    rest = F.lit(1 << 40)
+    out = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.pmod(F.xxhash64(F.lit(k), "a", "b"), rest)).alias(f"h{k}") for k in (0, 1)]), "edges")
+    got = seen.get
+    return out, (got["n"], got["h0"], got["h1"])

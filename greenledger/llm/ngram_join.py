@@ -8,9 +8,10 @@ shingles is at least 0.8.
    similarity s shares a key with probability 1 - (1 - s**5)**36: all but
    6 in 10 million at 0.8. Texts joined through shared keys form candidate
    components (star edges to the smallest member of a key, never all pairs).
-3. A component is compared as a whole. One of many blocks whose keys are small
-   beside it (loosely chained texts, say around one boilerplate) is compared key
-   by key instead, each pair at its first shared key only.
+3. The pairs compared are those that share a key, at every size. A component is
+   laid out as a whole. One of many blocks whose keys are small beside it
+   (loosely chained texts, say around one boilerplate) is laid out key by
+   key instead, each pair at its first shared key only.
    The members of these units are laid out in one order and cut into blocks of
    bounded bytes. Every pair of blocks of a unit is one task's work, so a huge
    unit is spread over many tasks; small ones share a block.
@@ -18,7 +19,8 @@ shingles is at least 0.8.
    time. After n values with m matches, the posterior probability (uniform
    prior) that the similarity reaches the threshold is that of at most m
    successes in n + 1 trials at the threshold; a pair below ``TOLERANCE`` is
-   dropped. The rest are verified on their exact shingle sets.
+   dropped. The rest are verified on their exact shingle sets, as bit rows over
+   the shingles that a block pair shares. All steps work on arrays of pairs.
 5. A task emits one row per document: its links there and a spanning star of
    the linked ones. Links are summed, stars are united to classes.
 """
@@ -48,6 +50,8 @@ BLOCK_BYTES = 1 << 20
 SPREAD_BLOCKS, SPARSE = 8, 4
 #: Shingles hashed at once, so that the product stays in cache.
 CHUNK = 1024
+#: Pairs that are compared at once, and words of bits: bounds the memory of a task.
+PAIRS, WORDS = 1 << 18, 1 << 22
 
 _rng = np.random.default_rng(20240229)
 _N = BANDS * BAND_ROWS + STEP * STEPS
@@ -122,48 +126,76 @@ def _key_rows(batches):
             ["row", "id", "digest", "n_bytes", "keys"])
 
 
+def bits_of(sets: list[np.ndarray]) -> np.ndarray:
+    """(set, word) bit rows over the hashes that at least two of the sets have:
+    the others are in no intersection."""
+    flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+    names, dense, times = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    shared = times[dense] > 1
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[shared]
+    at = place[dense[shared]]
+    bits = np.zeros((len(sets), -(-int((times > 1).sum()) // 64) or 1), np.uint64)
+    np.bitwise_or.at(bits, (owner, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    return bits
+
+
 def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, band: int = -1,
             threshold: float = THRESHOLD):
-    """Yields (a, linked b's) for a in ``left`` and b in ``right`` (None: later
-    members of ``left``); indices into ``sets``. With a ``band`` only pairs whose
-    first shared key is that band's."""
+    """Yields arrays (a, b) of linked pairs, a in ``left`` and b in ``right`` (None: later
+    members of ``left``); indices into ``sets``. Pairs without a shared band key
+    are left out; with a ``band``, all but those whose first shared key is that band's."""
     used = left if right is None else np.concatenate([left, right])
-    values = {i: minhash(sets[i], COMPARE) for i in used}
-    others = left if right is None else right
-    sizes = np.array([len(sets[i]) for i in others])
-    sig = np.array([values[i] for i in others])
-    # Exact sets as dense numbers, for intersections by counting marks.
-    flat = np.concatenate([sets[i] for i in others])
-    ends = np.cumsum(sizes)
-    names, dense = np.unique(flat, return_inverse=True)
-    mark = np.zeros(len(names) + 1, bool)
+    mine = [sets[i] for i in used]
+    sig = np.array([minhash(x, COMPARE) for x in mine])
+    keys = np.array([band_keys(x) for x in mine])
+    sizes = np.array([len(x) for x in mine])
+    bits = bits_of(mine)
+    others = np.arange(0 if right is None else len(left), len(used))
     need = least_matches(threshold)
-    keys = {i: band_keys(sets[i]) for i in used} if band >= 0 else {}
-    for k, a in enumerate(left):
-        n = len(sets[a])
-        near = np.arange(k + 1 if right is None else 0, len(others))
-        size = sizes[near]
-        near = near[np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9]
-        matches = np.zeros(len(near), np.int64)
+    slab = max(1, PAIRS // max(1, len(others)))
+    for lo in range(0, len(left), slab):
+        a = np.arange(lo, min(lo + slab, len(left)))
+        small, large = (f(sizes[a][:, None], sizes[others][None]) for f in (np.minimum, np.maximum))
+        near = small >= threshold * large - 1e-9
+        if right is None:
+            near &= others[None] > a[:, None]
+        i, j = np.nonzero(near)
+        i, j = a[i], others[j]
+        matches = np.zeros(len(i), np.int64)
         for s in range(STEPS):
-            if not len(near):
-                break
             part = slice(s * STEP, (s + 1) * STEP)
-            matches += (sig[near, part] == values[a][part]).sum(1)
+            matches += (sig[i, part] == sig[j, part]).sum(1)
             alive = matches >= need[s]
-            near, matches = near[alive], matches[alive]
-        if band >= 0 and len(near):
-            near = near[(np.array([keys[i] for i in others[near]]) == keys[a]).argmax(1) == band]
-        if not len(near):
+            i, j, matches = i[alive], j[alive], matches[alive]
+            if not len(i):
+                break
+        if not len(i):
             continue
-        at = np.searchsorted(names, sets[a])
-        at = at[(at < len(names)) & (names[np.minimum(at, len(names) - 1)] == sets[a])]
-        mark[at] = True
-        both = np.fromiter((np.count_nonzero(mark[dense[ends[b] - sizes[b]:ends[b]]]) for b in near), np.int64, len(near))
-        mark[at] = False
-        linked = near[both >= threshold * (n + sizes[near] - both) - 1e-9]
-        if len(linked):
-            yield a, others[linked]
+        same = keys[i] == keys[j]
+        alive = same.any(1) if band < 0 else same.any(1) & (same.argmax(1) == band)
+        i, j = i[alive], j[alive]
+        step = max(1, WORDS // bits.shape[1])
+        for at in range(0, len(i), step):
+            x, y = i[at:at + step], j[at:at + step]
+            both = np.bitwise_count(bits[x] & bits[y]).sum(1, dtype=np.int64)
+            linked = both >= threshold * (sizes[x] + sizes[y] - both) - 1e-9
+            if linked.any():
+                yield used[x[linked]], used[y[linked]]
+
+
+def joined_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give all members that the pairs (a, b) connect the smallest root among them."""
+    while True:
+        low = np.minimum(root[a], root[b])
+        old = root.copy()
+        for end in (a, b):
+            np.minimum.at(root, root[end], low)
+            np.minimum.at(root, end, low)
+        while (root[root] != root).any():
+            root[:] = root[root]
+        if (old == root).all():
+            return
 
 
 def _links(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -175,12 +207,6 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
     sets = [of_row[r] if r in of_row else of_row.setdefault(r, shingles(words_of(t))) for r, t in zip(rows, pdf["text"])]
     root = np.arange(len(rows))
     links = np.zeros(len(rows), np.int64)
-
-    def find(i):
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
-
     cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]) | (band[1:] != band[:-1])) + 1), len(unit)]
     for lo, hi in zip(cuts, cuts[1:]):
         members = np.arange(lo, hi)
@@ -191,14 +217,12 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
                 continue
             pairs = compare(sets, left, right, band[lo])
-        for a, linked in pairs:
-            links[a] += copies[linked].sum()
-            links[linked] += copies[a]
-            for b in linked:
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
+        for a, b in pairs:
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            joined_roots(root, a, b)
     there = np.flatnonzero(links)
-    return pd.DataFrame({"row": rows[there], "links": links[there], "root": rows[[find(i) for i in there]]})
+    return pd.DataFrame({"row": rows[there], "links": links[there], "root": rows[root[there]]})
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,14 +251,13 @@ def near_classes(base: DataFrame, row: str, text: Column) -> DataFrame:
         F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     keys = keyed.join(texts.select(F.col("rep").alias("row")), "row", "left_semi").select(
         "row", F.posexplode("keys").alias("band", "key"))
-    shared = written(keys.groupBy("key").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-                     .filter("n > 1"), "shared")
-    held = written(keys.join(shared, "key").select("row", "band", "key", "first"), "held")
+    shared = keys.groupBy("key").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = written(keys.join(shared, "key").select("row", "band", "key", "first", "n"), "held")
     found = components(held.select(F.col("row").alias("a"), F.col("first").alias("b")))
     members = found.union(found.select("root", "root").distinct()).toDF("row", "comp")
     members = written(members.join(keyed.select("row", "n_bytes", "digest"), "row").join(texts, "digest").select(
         "row", "comp", "copies", "n_bytes"), "members")
-    units = _units(members, held, shared)
+    units = _units(members, held)
     laid = with_positions(units, ["band", "unit", "row"], "laid", {"upto": "n_bytes"})
     laid = written(laid.withColumn("block", F.expr(f"upto div {BLOCK_BYTES}")), "blocks")
     spans = written(laid.groupBy("band", "unit").agg(F.min("block").alias("lo"), F.max("block").alias("hi")), "spans")
@@ -263,12 +286,11 @@ def near_classes(base: DataFrame, row: str, text: Column) -> DataFrame:
         (F.col("row") == F.col("first.row")).alias("kept"))
 
 
-def _units(members: DataFrame, held: DataFrame, shared: DataFrame) -> DataFrame:
+def _units(members: DataFrame, held: DataFrame) -> DataFrame:
     """(row, band, unit, copies, n_bytes): what is compared together. Band -1: a
     whole component; else the texts that hold one key of that band."""
     comps = members.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n_bytes").alias("bytes"))
-    by_key = shared.join(members.select(F.col("row").alias("first"), "comp"), "first").groupBy("comp").agg(
-        F.sum((F.col("n") * F.col("n")).cast("double")).alias("pairs"))
+    by_key = held.join(members.select("row", "comp"), "row").groupBy("comp").agg(F.sum(F.col("n").cast("double")).alias("pairs"))
     sparse = written(comps.filter(F.col("bytes") > SPREAD_BLOCKS * BLOCK_BYTES).join(by_key, "comp").filter(
         SPARSE * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("comp"), "sparse")
     whole = members.join(sparse, "comp", "left_anti").select(
