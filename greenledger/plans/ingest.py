@@ -27,8 +27,7 @@ from greenledger.operators.validate import (
     enforce,
     validate,
 )
-from greenledger.sources.bronze import bronze_path, land_bronze
-from greenledger.sources.publish import discard, swap_partitions
+from greenledger.sources.bronze import replace_years
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -49,10 +48,10 @@ class SourceSpec:
 def ingest_source(spark: SparkSession, spec: SourceSpec, bronze_root: str) -> str:
     """Validate under the contract's policy and land the valid rows per year.
 
-    Lenient sources land their valid rows directly. Strict sources are read
+    The years that the valid rows bring are replaced in one step. Strict sources are read
     ONCE: the valid rows are written to a staging folder while the status
-    counts are observed in the same job; the year folders are swapped into
-    bronze only when no row is invalid, so a failed batch lands nothing.
+    counts are observed in the same job, and are refused there if any row is
+    invalid, so a failed batch lands nothing.
     """
     checked = validate(spec.read(spark), spec.contract)
 
@@ -62,29 +61,26 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, bronze_root: str) -> st
         return df.withColumn("year", F.lit(spec.fixed_year).cast("int"))
 
     if spec.contract.on_error != "fail":
-        return land_bronze(with_year(checked.valid_raw), bronze_root, spec.name)
+        return replace_years(with_year(checked.valid_raw), bronze_root, spec.name)
 
     obs = Observation(f"ingest_{spec.name}_{uuid.uuid4().hex}")
     s = F.col(STATUS)
     observed = checked.annotated.observe(
         obs, F.count(F.lit(1)).alias("total"), F.count_if(s == INVALID).alias("invalid"))
-    staged_root = f"{bronze_root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     valid = Validated(observed, checked.contract, checked.raw_columns).valid_raw
-    staged = land_bronze(with_year(valid), staged_root, spec.name)
-    try:
-        counts = obs.get
-        total, invalid = counts["total"], counts["invalid"]
-    except Exception:  # metrics dropped when the optimizer folds the input away
-        row = checked.summary().first()
-        total, invalid = row["total"], row["invalid"]
-    if total == 0 or invalid:
-        discard(spark, staged_root)
-        enforce(checked)  # failure path only: re-reads to build the message sample
-        raise ContractError(f"{spec.name}: input is empty, no rows to validate")
-    target = bronze_path(bronze_root, spec.name)
-    swap_partitions(spark, staged, target)
-    discard(spark, staged_root)
-    return target
+
+    def accept() -> None:
+        try:
+            counts = obs.get
+            total, invalid = counts["total"], counts["invalid"]
+        except Exception:  # metrics dropped when the optimizer folds the input away
+            row = checked.summary().first()
+            total, invalid = row["total"], row["invalid"]
+        if total == 0 or invalid:
+            enforce(checked)  # failure path only: re-reads to build the message sample
+            raise ContractError(f"{spec.name}: input is empty, no rows to validate")
+
+    return replace_years(with_year(valid), bronze_root, spec.name, accept=accept)
 
 
 def _run_one(spark: SparkSession, registry: dict[str, SourceSpec], bronze_root: str, name: str):

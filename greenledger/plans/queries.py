@@ -31,7 +31,7 @@ from greenledger.operators.dimension import (
 )
 from greenledger.operators.lookups import drop_listed, map_values, unmatched_keys, wildcard_lookup
 from greenledger.operators.rules import apply_name_rules, assign_country, rewrite_sub_category
-from greenledger.operators.usage import activity_factor_join, geo_fallback, usable_on
+from greenledger.operators.usage import activity_factor_join, geo_fallback
 from greenledger.operators.validate import (
     VIOLATIONS,
     blank_to_null,
@@ -61,7 +61,14 @@ from greenledger.sources.bronze import (
     year_slice,
 )
 from greenledger.sources.lookups import load_lookup
-from greenledger.sources.publish import check_schema, materialise, publish_snapshot, read_snapshot, reconcile_written
+from greenledger.sources.publish import (
+    check_schema,
+    materialise,
+    publish_snapshot,
+    read_snapshot,
+    read_valid_on,
+    reconcile_written,
+)
 from greenledger.sources.publishers import read_catalog_export, read_series_sheets
 from greenledger.tables import fresh_path, written
 
@@ -457,8 +464,22 @@ def q_missing_column(spark, sf):
 
 
 # ---------------------------------------------------------------- consumer side
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def published(spark, sf) -> str:
+    """Folder of the published dimension (once per application and state of the input)."""
+    key = si.table_state(spark, sf)
+    if key not in _PUBLISHED:
+        target = work_dir(spark, f"gold-{uuid.uuid4().hex}", "dim_factors")
+        publish_snapshot(written(dimension(spark, sf), "dim"), target)
+        _PUBLISHED[key] = target
+    return _PUBLISHED[key]
+
+
 def q_usable_on(spark, sf):
-    return usable_on(dimension(spark, sf), USABLE_DAY)
+    """What a consumer asks the published table: the files that may hold the day, nothing else."""
+    return read_valid_on(spark, published(spark, sf), USABLE_DAY)
 
 
 def q_activity_factor_join(spark, sf):

@@ -2,18 +2,23 @@
 
 Layout: ``{root}/{source}/year=YYYY/part-*.csv`` (one folder per edition
 year, written with dynamic partition overwrite so a re-run replaces only the
-years it brings). The publisher layout ``{root}/{source}/{YYYY}/factors.csv``
+years it brings), or, where years are replaced in one step (``replace_years``),
+``year=YYYY/run=*/part-*.csv`` with a log that names the run that counts for
+each year. The publisher layout ``{root}/{source}/{YYYY}/factors.csv``
 is read too; each file's columns are bound by its own header names.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.contracts import text_schema
+from greenledger.sources.versions import LEASE_S, commit, expire, file_system, newest
 
 # White space is data: the writer would strip it by default.
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "encoding": "UTF-8",
@@ -29,20 +34,23 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [c for c in spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns]
 
 
-def scan_by_name(spark: SparkSession, path: str, columns: list[str], paths: dict | None = None) -> DataFrame:
+def scan_by_name(spark: SparkSession, path: str | list[str], columns: list[str], paths: dict | None = None,
+                 base: str | None = None) -> DataFrame:
     """Text ``columns`` of CSV files, bound by header name whatever their order.
 
     The header of the first file gives the order; files with another header
     fail the read (``enforceSchema`` off) instead of being misread. A missing
-    column is an error. Partition columns of the path come along.
+    column is an error. Partition columns of the path (below ``base``) come along.
     """
-    header = csv_header(spark, path)
+    header = csv_header(spark, path if isinstance(path, str) else path[0])
     names = {c.strip(): c for c in header}
     missing = [c for c in columns if c not in names]
     if missing:
         raise ValueError(f"{path}: no column {missing} in header {header}")
-    df = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(text_schema(
-        [c for c in header if c not in (paths or {})])).csv(path)
+    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false")
+    if base:
+        reader = reader.option("basePath", base)
+    df = reader.schema(text_schema([c for c in header if c not in (paths or {})])).csv(path)
     return df.withColumnsRenamed({names[c]: c for c in columns if names[c] != c})
 
 
@@ -65,7 +73,11 @@ def scan_bronze(spark: SparkSession, root: str, source: str, columns: list[str],
     data_cols = [c for c in columns if c != "year"]
     base = bronze_path(root, source)
     if layout == "partitioned":
-        df = scan_by_name(spark, base, data_cols, {"year": 1, "batch": 1})
+        state = newest(spark, base)
+        at = base if state is None else [f"{base}/{folder}" for _, folder in sorted(state["years"].items())]
+        if not at:
+            raise ValueError(f"{base}: no year has landed")
+        df = scan_by_name(spark, at, data_cols, {"year": 1, "batch": 1, "run": 1}, base)
         return df.select(*[F.col(f"`{c}`") for c in data_cols], F.col("year").cast("int").alias("year"))
     editions = []
     for folder, path in sorted(publisher_files(spark, root, source).items()):
@@ -105,6 +117,46 @@ def land_bronze(df: DataFrame, root: str, source: str, year_col: str = "year",
     return path
 
 
+def replace_years(df: DataFrame, root: str, source: str, year_col: str = "year",
+                  accept: Callable[[], None] | None = None, lease_s: float = LEASE_S) -> str:
+    """Land ``df`` and replace the years it brings in one step (S6); the source's folder.
+
+    Rows are written to a staging folder, their year folders are moved to names
+    that no reader knows (``year=YYYY/run=<run>``), and the log is told that these
+    count now. ``accept`` is called once the rows are written and may raise to refuse them. A run
+    that dies anywhere leaves the state before it; a year is never absent, and
+    of two runs that bring different years both are kept. The runs replaced last stay for readers that still use them.
+    """
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    base = bronze_path(root, source)
+    staged_root = f"{root.rstrip('/')}/_staging-{run}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        staged = land_bronze(df, staged_root, source, year_col)
+        if accept:
+            accept()
+        fs, folder = file_system(spark, staged)
+        brought = {}
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if not name.startswith(f"{year_col}="):
+                continue
+            fs.mkdirs(jpath(f"{base}/{name}"))
+            if not fs.rename(status.getPath(), jpath(f"{base}/{name}/run={run}")):
+                raise OSError(f"cannot move {name} into {base}")
+            brought[name.split("=", 1)[1]] = f"{name}/run={run}"
+    finally:
+        staging, path = file_system(spark, staged_root)
+        staging.delete(path, True)
+    commit(spark, base, lambda state: {"years": {**(state["years"] if state else {}), **brought}})
+    fs, _ = file_system(spark, base)
+    there = {f"{y.getPath().getName()}/{r.getPath().getName()}" for y in fs.listStatus(jpath(base))
+             if y.getPath().getName().startswith(f"{year_col}=") for r in fs.listStatus(y.getPath())
+             if r.getPath().getName().startswith("run=")}
+    expire(spark, base, lambda s: set(s["years"].values()), there, lease_s)
+    return base
+
+
 def read_publisher_csv(spark: SparkSession, path: str) -> DataFrame:
     """A publisher's CSV as delivered: header names kept, every column text,
     a UTF-8 byte-order mark stripped; a file without columns is an error (S2)."""
