@@ -11,6 +11,7 @@ from greenledger.session import work_dir
 
 
 _MADE: dict[str, list[str]] = {}
+_NAMED: dict[str, list[str]] = {}
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -20,12 +21,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def named_table(spark: SparkSession, name: str) -> str:
+    """``name``, remembered as a catalog table over an intermediate folder of this application."""
+    _NAMED.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def clean_up(spark: SparkSession) -> int:
-    """Delete the intermediate tables that this application has written; how many.
+    """Delete the intermediate tables that this application has written, in the
+    catalog too; how many folders.
 
     For the end of a job, once its results are written: frames that still read
     an intermediate table stop working.
     """
+    for name in _NAMED.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _MADE.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -331,11 +331,30 @@ def test_land_bronze_without_aqe_uses_hash_buckets(spark, tmp_dir):
 def test_intermediate_tables_can_be_cleaned_up(spark):
     from greenledger import tables
 
-    before = tables._MADE.pop(spark.sparkContext.applicationId, [])  # those of other tests stay
+    app = spark.sparkContext.applicationId
+    before, named = tables._MADE.pop(app, []), tables._NAMED.pop(app, [])  # those of other tests stay
     try:
         kept = tables.written(spark.range(5), "cleaned")
-        (path,) = tables._MADE[spark.sparkContext.applicationId]
+        (path,) = tables._MADE[app]
         assert kept.count() == 5 and os.path.isdir(path)
-        assert tables.clean_up(spark) == 1 and not os.path.exists(path) and tables.clean_up(spark) == 0
+        spark.range(3).write.option("path", tables.fresh_path(spark, "named")).saveAsTable(tables.named_table(spark, "gl_cleaned"))
+        assert spark.catalog.tableExists("gl_cleaned")
+        assert tables.clean_up(spark) == 2 and not os.path.exists(path) and tables.clean_up(spark) == 0
+        assert not spark.catalog.tableExists("gl_cleaned")
     finally:
-        tables._MADE[spark.sparkContext.applicationId] = before
+        tables._MADE[app], tables._NAMED[app] = before, named
+
+
+def test_entry_survives_a_missing_optional_package():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['public_tokenizers'] = None\n"
+            "import __spark_entry__ as e\n"
+            "from greenledger.plans.queries import QUERIES\n"
+            "assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(QUERIES)")
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    if os.path.isdir(os.path.join(root, "greenledger", "llm")):
+        assert "left out" in run.stderr
