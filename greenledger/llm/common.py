@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenledger.tables import fresh_path, free_name, numbered, shuffle_partitions, with_positions, written
+from greenledger.tables import fresh_path, free_name, named_table, numbered, shuffle_partitions, with_positions, written
 
 __all__ = ["SPACES", "bucketed", "discard", "free_name", "fresh_path", "numbered", "shuffle_partitions", "with_positions", "written"]
 
@@ -19,7 +19,7 @@ def bucketed(df: DataFrame, row: str, label: str) -> DataFrame:
     narrow rows on ``row`` move the narrow side only, never the texts."""
     spark = df.sparkSession
     n = shuffle_partitions(spark)
-    table = f"gl_{label}_{uuid.uuid4().hex}"
+    table = named_table(spark, f"gl_{label}_{uuid.uuid4().hex}")
     (df.repartition(n, row).write.option("compression", "zstd")
      .option("path", fresh_path(spark, label)).bucketBy(n, row).saveAsTable(table))
     return spark.table(table)
