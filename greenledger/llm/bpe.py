@@ -7,6 +7,11 @@ the longest one that fits behind the last token of the shorter prefix, where
 two tokens fit if encoding their joined text gives exactly those two. Following
 the stored tokens back from the end gives the ids.
 
+Texts are normalised and cut into pieces with Python's Unicode tables where those
+can't differ from the tokenizer's: chunks of code points that are assigned there and
+don't combine. A chunk with any other is normalised and cut by the tokenizer
+file's own library; its pieces are encoded by the dynamic program like all others.
+
 Whitespace-separated chunks recur, so each Python worker keeps one encoder from
 task to task, with the ids of the chunks met lately in two dictionaries of
 bounded size: a full one becomes the older one, and the older one goes.
@@ -15,6 +20,7 @@ bounded size: a full one becomes the older one, and the older one goes.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from itertools import chain
 
@@ -43,6 +49,21 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+def unsure() -> re.Pattern:
+    """Code points whose class, case or place in a normalised text may depend on the
+    version of Unicode, or on the order of marks: unassigned, private, and combining ones."""
+    category, combining = unicodedata.category, unicodedata.combining
+    ranges, start = [], None
+    for i in range(0x80, 0x110001):
+        odd = i < 0x110000 and (category(chr(i)) in ("Cn", "Co", "Cs", "Mn", "Mc", "Me") or combining(chr(i)) > 0)
+        if odd and start is None:
+            start = i
+        elif not odd and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{i - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}]")
+
+
 class PrefixEncoder:
     """Exact BPE of single pieces, and texts to ids and back, for one tokenizer file."""
 
@@ -52,6 +73,7 @@ class PrefixEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.path, self.library, self.unsure = path, None, unsure().search
         model = spec["model"]
         self.letters = byte_letters()
         self.rank = {(self._inner(a), self._inner(b)): k for k, (a, b) in enumerate(
@@ -101,8 +123,11 @@ class PrefixEncoder:
     def piece_ids(self, piece: str) -> tuple[int, ...]:
         if piece in self.whole:
             return self.whole[piece]
-        word = piece + END if piece.isascii() and piece.isalpha() else "".join(
-            [self.letters[b] for b in piece.encode()]) + END
+        return self.word_ids(piece + END if piece.isascii() and piece.isalpha() else "".join(
+            [self.letters[b] for b in piece.encode()]) + END)
+
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of a piece in the letters of its bytes, with its end."""
         n, fit = len(word), self.fit
         last, size = [-1] * (n + 1), [0] * (n + 1)  # by prefix length: its last token, that one's length
         done = 0
@@ -144,18 +169,34 @@ class PrefixEncoder:
         known[chunk] = got
         return got
 
+    def _own(self, chunk: str) -> tuple[int, ...]:
+        """Ids of a chunk, normalised and cut by the tokenizer's library."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
+        return tuple([i for piece, _ in pieces for i in self.word_ids(piece + END)])
+
     def _plain(self, text: str) -> list[int]:
+        if not text.isascii() and self.unsure(text):
+            # Chunk by chunk: white space ends every composition.
+            return [i for chunk in self.words(text) for i in (self._own(chunk) if self.unsure(chunk) else self._sure(chunk))]
+        return self._sure(text)
+
+    def words(self, text: str) -> list[str]:
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # split() would take them for white space
+            import regex
+            return [w for w in regex.split(f"[{WHITE_SPACE}]+", text) if w]
+        return text.split()
+
+    def _sure(self, text: str) -> list[int]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: a final sigma is no special case.
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # split() would take them for white space
-            import regex
-            words = [w for w in regex.split(f"[{WHITE_SPACE}]+", text) if w]
-        else:
-            words = text.split()
         known, chunk = self.chunks.get, self._chunk
-        return list(chain.from_iterable([known(w) or chunk(w) for w in words]))
+        return list(chain.from_iterable([known(w) or chunk(w) for w in self.words(text)]))
 
     def encode(self, text: str) -> list[int]:
         if "<|" not in text:

@@ -69,6 +69,28 @@ def test_bpe(hard):
     assert got == want
 
 
+def test_bpe_on_every_code_point_and_random_strings():
+    """The library's ids for each code point alone and inside a word, and for
+    strings of letters, marks, new and unassigned code points in any order."""
+    import random
+    import unicodedata
+
+    lib, own = Tokenizer.from_file(P.path("word_bpe_49k.json")), PrefixEncoder(P.path("word_bpe_49k.json"))
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for lo in range(0, len(every), 256):
+        part = every[lo:lo + 256]
+        text = " ".join([*part, *(f"a{c}E" for c in part)])
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids, hex(lo)
+    rng = random.Random(3)
+    marks = [c for c in every if unicodedata.category(c)[0] == "M"]
+    letters = [c for c in every if c.isalpha()]
+    newer = [chr(i) for i in (0xA7CB, 0x10D56, 0x16EA3, 0x11D44, 0x18A9, 0x0345, 0x1161, 0xAC00, 0x1E9E, 0x130, 0x3A3, 0x85, 0x1F)]
+    pools = [letters, marks, newer, every, list("abc É.'s12 "), list(" \n\u3000")]
+    for _ in range(10_000):
+        text = "".join(rng.choice(rng.choice(pools)) for _ in range(rng.randint(1, 14)))
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_query(spark):
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     docs = texts(spark.read.parquet(f"{SF}/documents.parquet"))
