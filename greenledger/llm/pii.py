@@ -1,16 +1,17 @@
 """PII surrogates: keyed, type-consistent replacements of detected entities.
 
-Detected are e-mail addresses, phone numbers, IPv4 addresses, payment cards and
-IBANs (with valid check digits), social security numbers, credentials, and names
-behind a title. All spellings of an entity share a canonical form (letters in
+Detected are e-mail addresses, phone numbers (international, and national in several
+forms), IPv4 and IPv6 addresses, payment cards (of a network's number range, with a valid
+check digit), IBANs (with valid check digits), social security numbers, credentials,
+and names behind a title. All spellings of an entity share a canonical form (letters in
 lower case, digits without separators; a name word by word), and all mentions
 of it get the same surrogate: coreference is kept, across documents too.
 
 A surrogate is derived from a secret key, the kind and the canonical form, so
 it can't be turned back without the key. It keeps the format: digits for
 digits, letters for letters, the mention's own separators and capitals, the
-country code and the top-level domain, a valid check digit, octets in range; a
-name keeps its script, and a given name the gender that its title tells.
+calling or country code, the card's network and the top-level domain, a valid check
+digit, octets in range; a name keeps its script, and a given name the gender that its title tells.
 
 Distinctness: all entities' surrogates are compared with each other and with
 all real entities of the kind. Of equal ones the first keeps it; the others,
@@ -48,15 +49,41 @@ IBAN_LENGTHS = {
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 _EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@(?:[\p{{L}}\p{{N}}-]++\.)+\p{{L}}{{2,}}"
 _IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+#: IPv6: all eight groups, or fewer around a double colon; the first has four digits, as
+#: global, unique local, link-local and multicast addresses have.
+_IP6 = (r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{4}(?:(?::[0-9A-Fa-f]{1,4}){7}"
+        r"|(?=(?::[0-9A-Fa-f]{1,4}){0,5}::)(?=[0-9A-Fa-f:]*\d)(?::[0-9A-Fa-f]{1,4}){0,5}:(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:]|\.\d)")
+#: In this order: North American with brackets, international in groups and in one, North American
+#: with hyphens, French, German, Spanish (mobile groups; nine digits in threes only behind a cue).
 _PHONE = (r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
-          r"|(?<!\d)\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])")
+          r"|(?<!\d)\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]\d{1,4}){2,5}(?!\d)|(?<!\d)\+[1-9]\d{7,14}(?!\d)"
+          r"|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+          r"|(?<![\d.-])0[1-9](?:[ .-]\d{2}){4}(?![ .-]?\d)|(?<![\d.-])0[1-9]\d{1,3}[ /]\d{5,8}(?![ .-]?\d)"
+          r"|(?<![\d.,-])[6-9]\d{2}(?: \d{2}){3}(?! ?\d)"
+          r"|(?<=(?i:\b(?:tel|tfno|tlf|teléfono|móvil|phone|call)\b[.:]? ))[6-9]\d{2} \d{3} \d{3}(?! ?\d)")
+#: What the last of these finds, without its cue.
+_CUED = r"[6-9]\d{2} \d{3} \d{3}"
 _SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
-_OTHER = "|".join(f"(?:{p})" for p in (_EMAIL, _IP, _PHONE, _SSN))
+_OTHER = "|".join(f"(?:{p})" for p in (_EMAIL, _IP, _IP6, _PHONE, _SSN))
+# Calling codes of one and of two digits; all others have three.
+CALLING_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                 "81 82 84 86 90 91 92 93 94 95 98")
+# Number ranges and lengths of the card networks.
+CARD_NETWORKS = {
+    "Visa": r"4(?:\d{12}|\d{15}|\d{18})",
+    "Mastercard": r"(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d{12}",
+    "American Express": r"3[47]\d{13}",
+    "Diners Club": r"3(?:0[0-5]|[689]\d)\d{11,16}",
+    "JCB": r"35(?:2[89]|[3-8]\d)\d{12,15}",
+    "Discover": r"(?:6011|64[4-9]\d|65\d\d)\d{12,15}",
+    "UnionPay": r"62\d{14,17}",
+    "Maestro": r"(?:5018|5020|5038|5893|6304|6759|676[1-3])\d{9,15}",
+}
 _SIZED = "|".join(rf"(?:{codes.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (
     rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, codes in IBAN_LENGTHS.items())
 #: Kind and pattern, the first that matches wins. Each pattern starts at a place
 #: that a look-behind makes unique in its run, so long runs cost linear time. An IBAN
-#: ends where its country's do, a card is looked for in its run of up to 256 digits, and
+#: ends where its country's do, a card is looked for in its whole run of digits, and
 #: both leave the mentions behind them to the other kinds. After a mention a run of
 #: digits may start at once.
 PATTERNS = {
@@ -66,9 +93,10 @@ PATTERNS = {
     "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:(?:{_SIZED})(?![0-9A-Za-z])"
             rf"|[A-Z]{{2}}\d{{2}}(?:(?: (?!{_OTHER}))?[A-Z0-9]{{4}}){{2,7}}(?:(?: (?!{_OTHER}))?[A-Z0-9]{{1,3}})?(?![0-9A-Za-z]))",
     "ip": _IP,
+    "ip6": _IP6,
     "phone": _PHONE,
     "ssn": _SSN,
-    "card": rf"(?:(?=\d)(?<!\d|\d[ -])|\G[ -](?!{_OTHER}))\d(?:\d|[ -](?!{_OTHER})\d){{12,255}}(?!\d)",
+    "card": rf"(?:(?=\d)(?<!\d|\d[ -])|\G[ -](?!{_OTHER}))\d(?:\d|[ -](?!{_OTHER})\d){{12,}}+(?!\d)",
     "name": rf"(?<![\p{{L}}-])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -76,7 +104,7 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 CARD_START = r"^[ -]?(?:[3-6]|2[2-7])\d{3}"
 #: No entity without one of these.
 HINT = rf"[0-9@]|AKIA|(?i:password=|(?:token|secret) = \")|(?:{_TITLES})\.? \p{{Lu}}"
-DIGITS = ["phone", "ssn", "card"]
+DIGITS = ["phone", "phone+", "ssn", "card"]
 
 
 def _let(value: Column, body) -> Column:
@@ -110,20 +138,20 @@ def mod97(iban: Column) -> Column:
 def _kind(mention: Column) -> Column:
     first = reduce(lambda rest, kind: F.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), kind).otherwise(rest),
                    reversed([k for k in PATTERNS if k != "credential"]), F.lit("credential"))
-    return first
+    return F.when(mention.rlike(f"^{_CUED}$"), "phone").otherwise(first)
 
 
 def _cards(run: Column) -> Column:
     """The cards in a run of groups: structs (before, mention, kind, after).
 
     From each place where a card may start, the longest row of whole groups with
-    13 to 19 digits and right check digits is taken, and the search goes on behind it.
+    a network's digits and a right check digit is taken, and the search goes on behind it.
     """
     def text(groups, start, end):
         return F.array_join(F.slice(groups, start + 1, end - start), "")
 
     def right(digits):
-        return F.when(digits.rlike("^[0-9]{13,19}$"), luhn_sum(digits) % 10 == 0).otherwise(False)
+        return F.when(digits.rlike(f"^(?:{'|'.join(CARD_NETWORKS.values())})$"), luhn_sum(digits) % 10 == 0).otherwise(False)
 
     def step(groups):
         def go(acc, start):
@@ -174,7 +202,8 @@ def _parts(mention: Column, kind: Column) -> Column:
                    F.concat_ws(":", F.lit("name"), role, script), F.lower(w))
 
     canon = F.when(kind.isin(DIGITS), _digits(mention)).when(kind == "iban", F.lower(_packed(mention))).otherwise(F.lower(mention))
-    whole = F.array(one(F.lit(""), mention, kind, canon))
+    abroad = F.when((kind == "phone") & mention.startswith("+"), "phone+").otherwise(kind)
+    whole = F.array(one(F.lit(""), mention, abroad, canon))
     return F.when(kind == "name", F.transform(F.slice(words, 2, 9), name_word)).otherwise(whole)
 
 
@@ -196,7 +225,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
         return F.concat_ws("\x1f", salt, i.cast("string"))
 
     def same_class(c, i):
-        hexa = canon.rlike("^[0-9a-f]+$") & (kind == "credential")
+        hexa = canon.rlike("^[0-9a-f]+$") & (kind == "credential") | (kind == "ip6") & c.rlike("[0-9a-f]")
         return (F.when(hexa, _pick("0123456789abcdef", key, at(i))).when(c.rlike(r"\d"), _pick("0123456789", key, at(i)))
                 .when(c.rlike(r"\p{L}"), _pick("abcdefghijklmnopqrstuvwxyz", key, at(i))).otherwise(c))
 
@@ -210,10 +239,18 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     email = F.concat(longer, chars(F.substring(canon, F.lit(1), F.char_length(canon) - F.char_length(tld))), tld)
     octets = [_draw(key, at(F.lit(i)), n) + 1 for i, n in enumerate((223, 254, 254, 254))]
     ip = F.concat_ws(".", *[o.cast("string") for o in octets])
-    body = chars(F.substring(canon, F.lit(1), F.char_length(canon) - 1), 1)
+    body = chars(F.substring(canon, F.lit(1), F.char_length(canon) - 1), 4)
     card = _let(body, lambda b: F.concat(b, F.pmod(-luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
-    code = F.greatest(F.char_length(canon) - 10, F.lit(0))  # the country code stays
-    phone = F.concat(F.substring(canon, F.lit(1), code), F.lit("5"), chars(F.substring(canon, code + 2, F.lit(32))))
+    # The calling code stays, and the digit behind it, which tells what sort of number it is; of
+    # national numbers a 0 and the digit behind it. Of the North American ones it is 5.
+    code = F.when(canon.rlike(f"^(?:{CALLING_CODES.replace(' ', '|')})"), F.char_length(F.regexp_extract(
+        canon, f"^(?:{CALLING_CODES.replace(' ', '|')})", 0))).otherwise(3)
+    american = F.lit("5")
+    abroad = F.when(canon.startswith("1"), F.concat(F.lit("1"), american, chars(F.substring(canon, 3, 32)))).otherwise(
+        F.concat(F.substring(canon, F.lit(1), code + 1), chars(F.substring(canon, code + 2, F.lit(32)))))
+    phone = (F.when(canon.startswith("0"), chars(canon, 2)).when(F.char_length(canon) == 9, chars(canon, 1))
+             .otherwise(F.concat(american, chars(F.substring(canon, 2, 32)))))
+    ip6 = chars(canon, 4)
     account = chars(F.substring(canon, 5, 64))
     iban = _let(F.concat(F.substring(canon, 1, 2), F.lit("00"), account), lambda x: F.concat(
         F.substring(x, 1, 2), F.lpad((98 - mod97(x)).cast("string"), 2, "0"), F.substring(x, 5, 64)))
@@ -226,8 +263,8 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
         ending = F.when(kind.contains("given-f"), F.concat(_pick(consonants, key, at(F.lit(0))), F.lit(female))).otherwise(
             F.concat(_pick(consonants, key, at(F.lit(0))), F.lit(male)))
         names = F.when(kind.endswith(script), F.concat(syllables, ending)).otherwise(names)
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
-            .when(kind == "iban", iban).when(kind == "ssn", ssn).when(kind == "credential", credential).otherwise(names))
+    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).when(kind == "phone+", abroad)
+            .when(kind == "ip6", ip6).when(kind == "iban", iban).when(kind == "ssn", ssn).when(kind == "credential", credential).otherwise(names))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -274,7 +311,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
     ``count_col`` adds the number of replaced mentions (it replaces a column of
     that name). Null texts stay null; texts without an entity stay as they are.
     A run of digits with wrong check digits is no card or IBAN, but its groups may
-    hold one. Repeated rows get equal texts. The same key gives the same surrogates as long as nothing collides.
+    hold one. An IPv6 address is known by its spelling (in lower case), a phone number
+    by its digits, with or without calling code. Repeated rows get equal texts. The same key gives the same surrogates as long as nothing collides.
     """
     columns = [c for c in docs.columns if not count_col or c.lower() != count_col.lower()]
     whole, row = free_name(columns, "whole"), free_name(columns, "row")
