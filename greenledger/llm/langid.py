@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = 4096
-#: The labelled sample: at most so many texts of a language, so many characters of each.
+#: The labelled sample, by default: at most so many texts of a language, so many characters of each.
 SAMPLE_TEXTS = 64
 SAMPLE_CHARS = 400
 #: The model holds one automaton per label, so labels are bounded; more raise an error.
@@ -39,17 +39,20 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
 
 
-def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> dict[str, list[str]]:
-    """{language: texts}: of each label the texts with the smallest hashed ids
-    outside the held-out fold, cut to ``SAMPLE_CHARS``."""
+def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+    """{language: texts}: of each label the ``texts`` distinct texts with the smallest
+    hashes outside the held-out fold, ``chars`` characters of each from a hashed offset on.
+
+    Copies count once, so a group of them doesn't fill a language's sample, and a
+    shared head or licence at the top of many texts isn't what is learned.
+    """
     known = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = known.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"),
-                         F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
+    known = known.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     first = Window.partitionBy("lang").orderBy("h")
-    # Ids only: the texts are not read. Each task passes on SAMPLE_TEXTS rows per label.
-    bound = (known.select("lang", "h").withColumn("k", F.row_number().over(first))
-             .filter(F.col("k") <= SAMPLE_TEXTS).groupBy("lang").agg(F.max("h").alias("most")))
+    # Hashes only, copies merged in the tasks. Each task passes on ``texts`` rows per label.
+    bound = (known.select("lang", "h").distinct().withColumn("k", F.row_number().over(first))
+             .filter(F.col("k") <= texts).groupBy("lang").agg(F.max("h").alias("most")))
     got = bound.limit(MAX_LANGUAGES + 1).collect()
     if len(got) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} language labels")
@@ -58,8 +61,9 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = F.lit(False)
     for r in got:
         near = near | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["most"]))
-    rows = (known.filter(near).withColumn("k", F.row_number().over(first.orderBy("h", "t")))
-            .filter(F.col("k") <= SAMPLE_TEXTS).collect())
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.char_length("t") - chars + 1, F.lit(1))) + 1
+    rows = known.filter(near).select("lang", "h", F.substring("t", start.cast("int"), F.lit(chars)).alias("t")).groupBy("lang", "h").agg(
+        F.min("t").alias("t")).collect()
     sample: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["t"])):
         sample.setdefault(r["lang"], []).append(r["t"])

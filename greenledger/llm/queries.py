@@ -45,7 +45,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("repeats"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +153,8 @@ ORACLE_SQL = {
              cut AS (SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es FROM span GROUP BY r)
         SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
                sha256(unhex(CASE WHEN ss IS NULL THEN h ELSE array_to_string(list_transform(range(len(ss) + 1),
-                   lambda k: substr(h, 2 * coalesce(es[k], 0) + 1, 2 * (coalesce(ss[k + 1], len(h) // 2) - coalesce(es[k], 0)))), '') END)) AS kept_sha256
+                   lambda k: substr(h, 2 * coalesce(es[k], 0) + 1, 2 * (coalesce(ss[k + 1], len(h) // 2) - coalesce(es[k], 0)))), '') END)) AS kept_sha256,
+               coalesce(n_removed, 0) > 0 AS repeats
         FROM d LEFT JOIN cut USING (r)""",
     "op10_ngram_join": r"""
         WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

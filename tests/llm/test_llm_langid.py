@@ -65,3 +65,20 @@ def test_columns_nulls_and_empty(spark):
         ("1", "fr", 1.0), ("1", "fr", 1.0), ("7", "und", 0.0), ("None", "und", 0.0)]
     assert labelled_sample(docs.limit(0)) == {} and identify(docs.limit(0), {}).count() == 0
     assert {r["lang_pred"] for r in identify(docs, {}).collect()} == {"und"}
+
+
+def test_sample_of_a_label_made_of_copies(spark):
+    """Copies count once, offsets vary, bounds are arguments, and prediction still works."""
+    base = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+            if r["lang"] and len(r["text"] or "") > 600]
+    head = "the same licence line stands at the top of every one of these texts " * 3
+    one = next(t for _, t, l in base if l == "fr")
+    rows = [(i, head + t, l) for i, t, l in base if l != "fr"] + [(10_000 + i, one, "fr") for i in range(3000)]
+    rows += [(20_000 + i, t, "fr") for i, (_, t, l) in enumerate(base) if l == "fr"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = labelled_sample(docs, texts=20, chars=300)
+    assert all(len(v) <= 20 and len(set(v)) == len(v) and max(map(len, v)) <= 300 for v in sample.values())
+    assert len(sample["fr"]) == 20
+    assert sum(t.startswith(head[:100]) for v in sample.values() for t in v) < 5
+    got = identify(spark.createDataFrame(base, "doc_id long, text string, lang string"), sample).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) > 0.95 * len(got)
