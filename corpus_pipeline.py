@@ -22,10 +22,14 @@ from greenledger.llm.queries import PII_KEY
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text or no letter. The language
-    found replaces a missing label; given labels stay."""
-    found = identify(docs, labelled_sample(docs)).filter(F.col("lang_pred") != UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    """Drops documents without a language: no text or no letter. The language found
+    becomes the label of the others, missing and wrong ones included; if
+    there is nothing to learn from, labels stay as they are."""
+    sample = labelled_sample(docs)
+    if not sample:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, sample).filter(F.col("lang_pred") != UNKNOWN)
+    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
