@@ -50,7 +50,7 @@ from greenledger.plans.staging import (
     stage_series,
 )
 from greenledger.session import work_dir
-from greenledger.streaming.incremental import land_arrivals, run_until_caught_up
+from greenledger.streaming.incremental import land_arrivals, landing_summary, run_until_caught_up
 from greenledger.sources.bronze import (
     CSV_OPTIONS,
     distinct_years,
@@ -348,6 +348,16 @@ def q_incremental_landing(spark, sf):
     return scan_bronze(spark, f"{base}/bronze", "defra", CATALOG_ROWS.names + list(CATALOG_ROWS.keep))
 
 
+def q_landing_counters(spark, sf):
+    """What the landing stream has counted over its batches, some files in each."""
+    base = work_dir(spark, f"arrivals-{uuid.uuid4().hex}")
+    cols = CATALOG_ROWS.names + list(CATALOG_ROWS.keep)
+    si.catalog_raw(spark, sf).select(*[F.col(f"`{c}`") for c in cols]).repartition(4, "row_no") \
+        .write.options(**CSV_OPTIONS).csv(f"{base}/incoming")
+    run_until_caught_up(land_arrivals(spark, f"{base}/incoming", CATALOG_ROWS, f"{base}/bronze", "defra", max_files_per_trigger=2))
+    return landing_summary(spark, f"{base}/bronze", "defra")
+
+
 def q_tagged_sheets(spark, sf):
     return union_tagged_sheets(si.event_readings(spark, sf), "sheet", si.SHEET_PATTERNS,
                                {"year": " YEAR ", "co2_per_kWh": "CO2_PER_KWH"})
@@ -550,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "distinct_years": q_distinct_years,
     "bronze_roundtrip": q_bronze_roundtrip,
     "incremental_landing": q_incremental_landing,
+    "landing_counters": q_landing_counters,
     "tagged_sheets": q_tagged_sheets,
     "publish_reconcile": q_publish_reconcile,
     "gated_publish": q_gated_publish,

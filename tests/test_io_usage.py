@@ -261,6 +261,33 @@ def test_incremental_landing_lenient_and_strict(spark, tmp_dir):
     assert not os.path.exists(f"{tmp_dir}/sb/nve")
 
 
+def test_stream_counters_survive_a_replayed_batch(spark, tmp_dir):
+    from greenledger.contracts import CATALOG
+    from greenledger.operators.validate import validate
+    from greenledger.sources.bronze import CSV_OPTIONS
+    from greenledger.streaming import land_arrivals, landing_summary, run_until_caught_up
+
+    schema = ", ".join(f"`{c}` string" for c in CATALOG.names)
+    good = ("a", "Fuels", "Gas", "Butane", None, None, "2.5", "kWh", "Scope 1", "kg CO2e", "2024")
+    bad, skipped = (*good[:6], "-1", *good[7:]), (*good[:6], None, *good[7:])
+    every = []
+    for k, part in enumerate(([good, bad, skipped], [good, good], [bad, bad, skipped, good])):
+        spark.createDataFrame(part, schema).coalesce(1).write.options(**CSV_OPTIONS).csv(f"{tmp_dir}/in/{k}")
+        every += part
+
+    def run():
+        run_until_caught_up(land_arrivals(spark, f"{tmp_dir}/in", CATALOG, f"{tmp_dir}/b", "defra", f"{tmp_dir}/ck", max_files_per_trigger=1))
+        return landing_summary(spark, f"{tmp_dir}/b", "defra").first()
+
+    want = validate(spark.createDataFrame(every, schema), CATALOG).summary().first()
+    assert run() == want and (want["total"], want["valid"], want["invalid"], want["skipped"]) == (9, 4, 3, 2)
+    assert sorted(p for p in os.listdir(f"{tmp_dir}/b/_counters/defra") if p.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
+    for name in ("2", ".2.crc"):  # the last batch was written, but its commit was lost
+        os.remove(f"{tmp_dir}/ck/landing/commits/{name}")
+    assert run() == want
+    assert scan_bronze(spark, f"{tmp_dir}/b", "defra", CATALOG.names).count() == 4
+
+
 def test_publisher_csv_and_prefixed_column(spark, tmp_dir):
     from greenledger.sources.bronze import read_publisher_csv, resolve_prefixed_column, year_slice
 
