@@ -25,6 +25,7 @@ from greenledger.operators.asof import asof_fallback
 from greenledger.operators.dimension import (
     build_dimension,
     current_only,
+    gold_columns,
     order_gold,
     prepare,
     rank_editions,
@@ -60,6 +61,7 @@ from greenledger.sources.bronze import (
     union_tagged_sheets,
     year_slice,
 )
+from greenledger.sources.dimension_store import merge_into, read_dimension
 from greenledger.sources.lookups import load_lookup
 from greenledger.sources.publish import (
     check_schema,
@@ -302,6 +304,17 @@ def q_dim_factors(spark, sf):
     return order_gold(dimension(spark, sf))
 
 
+def q_incremental_dimension(spark, sf):
+    """The dimension made of all editions but the last two years', which then arrive one by one."""
+    rows = written(prepare(conformed(spark, sf)), "conformed")
+    target = work_dir(spark, f"gold-{uuid.uuid4().hex}", "dim_editions")
+    late = sorted(r[0] for r in rows.select("source_year").distinct().collect() if r[0] is not None)[-2:]
+    in_time = F.col("source_year").isNull() | ~F.col("source_year").isin(late)
+    for part in (in_time, *[F.col("source_year") == year for year in late]):
+        merge_into(rows.where(part), target, n_buckets=8)
+    return gold_columns(read_dimension(spark, target))
+
+
 # ---------------------------------------------------------------- checks
 def q_check_suite(spark, sf):
     return check_models(checked_models(spark, sf))
@@ -554,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "flag_current": q_flag_current,
     "current_only": q_current_only,
     "dim_factors": q_dim_factors,
+    "incremental_dimension": q_incremental_dimension,
     "check_suite": q_check_suite,
     "check_unique_lookup": q_check_unique_lookup,
     "rows_per_year": q_rows_per_year,
