@@ -7,7 +7,9 @@ Failure counts follow the usual data-test conventions:
     unique          distinct non-NULL keys that occur more than once
 
 Plan: all checks of a model share ONE scan and one partially-aggregated
-shuffle of (check, value) pairs.
+shuffle of what fails. Unique keys go into it as 64-bit hashes; only keys whose
+hash occurs twice are compared themselves, in a second scan that data with unique keys
+never needs.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from greenledger.tables import written
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
     T.StructField("check", T.StringType(), False),
@@ -69,44 +73,61 @@ def _sql_literal(v) -> str:
 
 
 def _failure_sql(i: int, ch: Check) -> str:
-    """SQL for one check's (check, value) pair array: empty when it passes."""
-    null_v = "CAST(NULL AS STRING)"
+    """SQL for one check's (check, value, hash) array: empty when it passes."""
+    val, key = "CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)"
     if ch.kind == "not_null":
-        bad, val = f"({ch.column}) IS NULL", null_v
+        bad = f"({ch.column}) IS NULL"
     elif ch.kind == "expression":
-        bad, val = f"NOT coalesce(({ch.expr}), TRUE)", null_v
-    elif ch.kind == "unique":  # every key is emitted; repeats are counted later
-        bad, val = f"({ch.column}) IS NOT NULL", f"CAST(({ch.column}) AS STRING)"
+        bad = f"NOT coalesce(({ch.expr}), TRUE)"
+    elif ch.kind == "unique":  # every key's hash is emitted; repeats are counted later
+        bad, key = f"({ch.column}) IS NOT NULL", _HASH.format(f"CAST(({ch.column}) AS STRING)")
     else:
         vals = ", ".join(_sql_literal(v) for v in ch.values)
         bad = f"({ch.column}) IS NOT NULL AND ({ch.column}) NOT IN ({vals})"
         val = f"CAST(({ch.column}) AS STRING)"
-    return (f"CASE WHEN {bad} THEN array(named_struct('i', {i}, 'v', {val})) "
-            f"ELSE CAST(array() AS ARRAY<STRUCT<i: INT, v: STRING>>) END")
+    return (f"CASE WHEN {bad} THEN array(named_struct('i', {i}, 'v', {val}, 'h', {key})) "
+            f"ELSE CAST(array() AS ARRAY<STRUCT<i: INT, v: STRING, h: BIGINT>>) END")
+
+
+_HASH = "xxhash64({})"
+#: Suspect hashes (12 bytes each) that are broadcast to the second scan; more are joined by a shuffle.
+SUSPECTS = 1_000_000
+
+
+def _failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(i, v, h, n) of what fails: pairs of check and value, and of check and key
+    hash where the hash occurs more than once. One pass; a hot value or key is one row per task."""
+    pairs = "concat(" + ", ".join(_failure_sql(i, ch) for i, ch in enumerate(checks)) + ")"
+    failures = df.selectExpr(f"explode({pairs}) AS f").selectExpr("f.i AS i", "f.v AS v", "f.h AS h")
+    return failures.groupBy("i", "v", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("h").isNull() | (F.col("n") > 1))
+
+
+def _repeated(df: DataFrame, checks: list[Check], suspects: DataFrame, n: int) -> DataFrame:
+    """(i, repeated): keys that occur more than once, among those with a suspect hash (i, h)."""
+    keys = [f"named_struct('i', {i}, 'v', {text}, 'h', {_HASH.format(text)})"
+            for i, ch in enumerate(checks) if ch.kind == "unique" for text in [f"CAST(({ch.column}) AS STRING)"]]
+    rows = df.selectExpr(f"explode(array({', '.join(keys)})) AS f").select("f.*").where("v IS NOT NULL")
+    held = rows.join(F.broadcast(suspects) if n <= SUSPECTS else suspects, ["i", "h"], "left_semi")
+    return held.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy("i").agg(
+        F.count(F.lit(1)).alias("repeated"))
 
 
 def _flat_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    """All checks of a model in ONE pass over it.
-
-    Each row emits a (check, value) pair per failed check (value NULL for
-    row-level checks; every non-NULL key for unique checks) through a
-    ``concat`` of one-element arrays; pairs are counted with a partial
-    aggregate, so only distinct pairs per task are shuffled (a hot value
-    becomes one pair per task). A local catalogue of the checks fills in
-    zero failures. The pair expression is one SQL text, parsed once.
-    """
+    """All checks of a model in ONE pass over it, and a second one over the
+    keys if a hash repeats. What fails is written; a local catalogue of the checks
+    fills in zero failures."""
     spark = df.sparkSession
-    pairs = "concat(" + ", ".join(_failure_sql(i, ch) for i, ch in enumerate(checks)) + ")"
-    failures = df.selectExpr(f"explode({pairs}) AS f").selectExpr("f.i AS i", "f.v AS v")
-    per_value = failures.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    per_check = per_value.groupBy("i").agg(F.sum("n").alias("rows"),
-                                           F.count(F.lit(1)).alias("values"),
-                                           F.count_if(F.col("n") > 1).alias("repeated"))
-    meta = spark.createDataFrame(
-        [(i, ch.kind, ch.label) for i, ch in enumerate(checks)],
-        "i int, check string, column string")
-    # The catalogue has one row per declared check: a proven size bound.
+    found = written(_failures(df, checks), "failures")
+    per_check = found.where("h IS NULL").groupBy("i").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"))
+    meta = spark.createDataFrame([(i, ch.kind, ch.label) for i, ch in enumerate(checks)], "i int, check string, column string")
+    # One row per declared check: a proven size bound.
     joined = meta.join(F.broadcast(per_check), "i", "left")
+    suspects = found.where("h IS NOT NULL").select("i", "h")
+    n = suspects.count() if any(ch.kind == "unique" for ch in checks) else 0
+    if n:
+        joined = joined.join(F.broadcast(_repeated(df, checks, suspects, n)), "i", "left")
+    else:
+        joined = joined.withColumn("repeated", F.lit(None).cast("long"))
     failing = (F.when(F.col("check") == "accepted_values", F.col("values"))
                 .when(F.col("check") == "unique", F.col("repeated"))
                 .otherwise(F.col("rows")))

@@ -183,3 +183,21 @@ def test_range_rank_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert ranged == window
+
+
+@pytest.mark.parametrize("hashed,suspects", [("xxhash64({})", 1_000_000), ("xxhash64({})", 0), ("CAST(length({}) AS BIGINT)", 1_000_000),
+                                             ("CAST(length({}) AS BIGINT)", 0)])
+def test_unique_counts_are_exact_whatever_the_hash(spark, monkeypatch, hashed, suspects):
+    """Keys that share a hash are told apart; a hot key and nulls count as before."""
+    monkeypatch.setattr(ck, "_HASH", hashed)
+    monkeypatch.setattr(ck, "SUSPECTS", suspects)
+    rows = [(f"k{i}", i % 7 if i % 5 else None, "hot") for i in range(400)] + [("k3", 1, "hot"), ("k3", 2, None), ("k9", 3, "hot"), (None, 4, "x")]
+    df = spark.createDataFrame(rows, "a string, b int, c string").repartition(3)
+    got = {r["column"]: (r["failing"], r["passed"]) for r in ck.run_checks(
+        df, "m", [ck.unique("a"), ck.unique("b"), ck.unique("c"), ck.unique("concat(a, c, b)"), ck.not_null("a")]).collect() if r["check"] == "unique"}
+    assert got == {"a": (2, False), "b": (7, False), "c": (1, False), "concat(a, c, b)": (0, True)}
+
+
+def test_unique_keys_cross_the_shuffle_as_hashes(spark):
+    plan = ck._failures(spark.range(10).selectExpr("CAST(id AS STRING) AS a"), [ck.unique("a")])._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "named_struct" not in plan.split("Aggregate")[0]
