@@ -19,13 +19,22 @@ def wildcard_lookup(df: DataFrame, lookup: DataFrame, name: str, lookup_name: st
 
     A name with both a generic (NULL scope) and a matching specific row yields
     two output rows: the fan-out is part of the semantics, not removed here.
-    The name equality is the hash key; the scope test stays a residual.
+
+    Two equi-joins, on (name, scope) with the specific rows and on name with the
+    generic ones, each side merged to one row per key before: no row is tested against all scopes of
+    its name, and a hot name meets one row in each join. What both found is put in one list and
+    exploded; the list is as long as the lookup repeats a key.
     """
     lk = lookup.select(qcol(lookup_name).alias("__lk_name"), qcol(lookup_scope).alias("__lk_scope"),
-                       *[qcol(c) for c in take])
-    cond = (qcol(name) == F.col("__lk_name")) & (
-        F.col("__lk_scope").isNull() | (F.col("__lk_scope") == qcol(scope)))
-    return df.join(lk, cond, "left").drop("__lk_name", "__lk_scope")
+                       F.struct(*[qcol(c) for c in take]).alias("__lk")).where("__lk_name IS NOT NULL")
+    specific = lk.where("__lk_scope IS NOT NULL").groupBy("__lk_name", "__lk_scope").agg(F.collect_list("__lk").alias("__lk_own"))
+    generic = lk.where("__lk_scope IS NULL").groupBy(F.col("__lk_name").alias("__lk_any")).agg(F.collect_list("__lk").alias("__lk_all"))
+    joined = (df.join(specific, (qcol(name) == F.col("__lk_name")) & (qcol(scope) == F.col("__lk_scope")), "left")
+                .join(generic, qcol(name) == F.col("__lk_any"), "left"))
+    none = F.array().cast(generic.schema["__lk_all"].dataType)
+    found = F.concat(F.coalesce("__lk_own", none), F.coalesce("__lk_all", none))
+    out = joined.withColumn("__lk", F.explode_outer(found))
+    return out.select(*[qcol(c) for c in df.columns], *[F.col(f"__lk.`{c}`").alias(c) for c in take])
 
 
 def drop_listed(df: DataFrame, overrides: DataFrame, keys: list[str],

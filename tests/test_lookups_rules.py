@@ -37,6 +37,31 @@ def test_wildcard_lookup_cases(spark):
     ]
 
 
+def test_wildcard_lookup_on_a_hot_name(spark):
+    """One name with 3,000 scopes and 6,000 rows: no row meets the other scopes of its name."""
+    data = spark.range(6000).selectExpr("id", "'hot' AS name", "concat('s', id % 4000) AS fed", "'x' AS federation")
+    lk = spark.range(3000).selectExpr("'hot' AS factor_name_fr", "concat('en', id) AS factor_name_en", "concat('s', id) AS federation").unionByName(
+        spark.createDataFrame([("hot", "any", None), ("hot", "any too", None), ("hot", "en5", "s5"), (None, "none", None)], TR_SCHEMA))
+    out = wildcard_lookup(data, lk, "name", "factor_name_fr", "fed", "federation", ["factor_name_en"])
+    assert out.columns == ["id", "name", "fed", "federation", "factor_name_en"]
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["id"], []).append(r["factor_name_en"])
+    own = lambda i: [f"en{i % 4000}"] * (2 if i % 4000 == 5 else 1) if i % 4000 < 3000 else []
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted([*own(i), "any", "any too"]) for i in range(6000)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 2 and not any(" OR " in j or "isnull" in j for j in joins)
+
+
+def test_wildcard_lookup_with_null_names_scopes_and_an_empty_lookup(spark):
+    data = spark.createDataFrame([("1", None, "FOOT"), ("2", "Ballon", None)], "id string, name string, fed string")
+    lk = spark.createDataFrame([(None, "x", None), (None, "y", "FOOT"), ("Ballon", "Football", "FOOT"), ("Ballon", "Ball", None)], TR_SCHEMA)
+    args = ("name", "factor_name_fr", "fed", "federation", ["factor_name_en"])
+    assert rows(wildcard_lookup(data, lk, *args), "id", "factor_name_en") == [("1", None), ("2", "Ball")]
+    assert rows(wildcard_lookup(data, lk.limit(0), *args), "id", "factor_name_en") == [("1", None), ("2", None)]
+
+
 def test_repeated_mapping_keys_are_refused(spark):
     from greenledger.plans.clean import CatalogRules
 
