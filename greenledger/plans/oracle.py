@@ -493,6 +493,7 @@ def oracle_sql() -> dict[str, str]:
         QUALIFY row_number() OVER (PARTITION BY a.r ORDER BY CASE f.country_code WHEN a.nation_code THEN 1
                 WHEN a.region_code THEN 2 ELSE 3 END, {newest.removeprefix('ORDER BY ')}) = 1"""
     sql["incremental_landing"] = sql["bronze_roundtrip"]
+    sql["rule_table"] = sql["name_rules"]
     sql["incremental_dimension"] = w("SELECT * FROM dim")
     sql["landing_counters"] = w(summary.format(src="'defra'", t="cat_chk"))
     return sql

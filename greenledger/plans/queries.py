@@ -31,7 +31,7 @@ from greenledger.operators.dimension import (
     rank_editions,
 )
 from greenledger.operators.lookups import drop_listed, map_values, unmatched_keys, wildcard_lookup
-from greenledger.operators.rules import apply_name_rules, assign_country, rewrite_sub_category
+from greenledger.operators.rules import apply_name_rules, apply_rule_table, assign_country, rewrite_sub_category, rule_table
 from greenledger.operators.usage import activity_factor_join, geo_fallback
 from greenledger.operators.validate import (
     VIOLATIONS,
@@ -232,6 +232,13 @@ def q_name_rules(spark, sf):
     return apply_name_rules(m, rules.name_rules).select("id", "factor_name")
 
 
+def q_rule_table(spark, sf):
+    """The naming rules as a table, joined instead of compiled."""
+    rules = si.catalog_rules(spark)
+    m = map_catalog(stage_catalog(catalog_valid(spark, sf)), rules)
+    return apply_rule_table(m, rule_table(spark, rules.name_rules)).select("id", "factor_name")
+
+
 def q_unmatched_lookup_keys(spark, sf):
     """Sub-categories (after drop-list and key rewrite) with no mapping row:
     the report that exposes near-miss labels between lookup tables."""
@@ -553,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "map_category": q_map_category,
     "map_chain": q_map_chain,
     "name_rules": q_name_rules,
+    "rule_table": q_rule_table,
     "country_rule": q_country_rule,
     "unmatched_lookup_keys": q_unmatched_lookup_keys,
     "unit_scale": q_unit_scale,

@@ -176,3 +176,59 @@ def test_description_skips_nulls(spark, catalog_rules):
     out = {r["id"]: r for r in clean_catalog(staged_catalog(spark), catalog_rules).collect()}
     assert out["r2"]["description"] == "GHG Emission factor for Cars belonging to category Transport"
     assert out["r1"]["description"] == "GHG Emission factor for Hotel stay belonging to category Hotel"
+
+
+RULED = "category string, sub_category string, sub_sub_category string, column_text string, factor_name string, category_new string, sub_category_new string, fields int"
+
+
+def ruled_rows(n, seed):
+    import random
+
+    rng = random.Random(seed)
+    pick = lambda: rng.choice(["Gas", "Fuel oil", "WTT", "UK ", "", None, "x{y}", "a|b"])
+    return [(*[pick() for _ in range(7)], i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rule_table_equals_the_case(spark, seed):
+    import random
+
+    from greenledger.operators.rules import NameRule, apply_name_rules, apply_rule_table, rule_table
+
+    rng = random.Random(seed)
+    tests = ["name", "sub", "sub_orig", "category_new", "level4", "text"]
+    rules = [NameRule(rng.choice(tests), tuple(rng.sample(["Gas", "Fuel oil", "WTT", "UK ", "", "other"], rng.randint(1, 3))),
+                      rng.choice(["{sub} - {name}", "plain", "{text}", "{sub_orig_lower_first}: {level4}!", "", "{name}{name}"])) for _ in range(12)]
+    df = spark.createDataFrame(ruled_rows(300, seed), RULED)
+    for mine in (rules, rules[:1], [], CATALOG_NAME_RULES):
+        want = apply_name_rules(df, list(mine))
+        got = apply_rule_table(df, rule_table(spark, list(mine)))
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_ten_thousand_rules(spark):
+    from greenledger.operators.rules import NameRule, apply_rule_table, rule_table
+
+    rules = [NameRule("sub_orig" if i % 2 else "text", (f"v{i % 6000}",), f"rule {i} {{name}}") for i in range(10_000)]
+    df = spark.range(6000).selectExpr("'c' AS category", "concat('v', id) AS sub_category", "CAST(NULL AS STRING) AS sub_sub_category",
+                                      "concat('v', (id + 1) % 6000) AS column_text", "concat('n', id) AS factor_name",
+                                      "CAST(NULL AS STRING) AS category_new", "CAST(NULL AS STRING) AS sub_category_new")
+    out = apply_rule_table(df, rule_table(spark, rules))
+    first = {}
+    for i, r in enumerate(rules):
+        first.setdefault((r.test, r.values[0]), i)
+    for r in out.collect():
+        i = int(r["sub_category"][1:])
+        hits = [first[k] for k in (("sub_orig", f"v{i}"), ("text", f"v{(i + 1) % 6000}")) if k in first]
+        assert r["factor_name"] == (f"rule {min(hits)} n{i}" if hits else f"n{i}")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2 and plan.count("CASE WHEN") < 12
+
+
+def test_rule_table_refuses_unknown_fields(spark):
+    from greenledger.operators.rules import NameRule, rule_table
+
+    for rule in (NameRule("nope", ("a",), "x"), NameRule("name", ("a",), "{nope}")):
+        with pytest.raises(KeyError, match="unknown"):
+            rule_table(spark, [rule])
