@@ -51,17 +51,19 @@ def byte_letters() -> list[str]:
 
 def unsure() -> re.Pattern:
     """Code points whose class, case or place in a normalised text may depend on the
-    version of Unicode, or on the order of marks: unassigned, private, and combining ones."""
+    version of Unicode, or on the order of marks: unassigned, private and combining ones, and
+    all beyond the first plane (one range, so that the class stays a table)."""
     category, combining = unicodedata.category, unicodedata.combining
     ranges, start = [], None
-    for i in range(0x80, 0x110001):
-        odd = i < 0x110000 and (category(chr(i)) in ("Cn", "Co", "Cs", "Mn", "Mc", "Me") or combining(chr(i)) > 0)
+    for i in range(0x80, 0x10000):
+        odd = category(chr(i)) in ("Cn", "Co", "Cs", "Mn", "Mc", "Me") or combining(chr(i)) > 0
         if odd and start is None:
             start = i
         elif not odd and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{i - 1:08x}")
+            ranges.append(f"\\u{start:04x}-\\u{i - 1:04x}")
             start = None
-    return re.compile(f"[{''.join(ranges)}]")
+    last = 0x10000 if start is None else start
+    return re.compile(f"[{''.join(ranges)}\\U{last:08x}-\\U0010ffff]")
 
 
 class PrefixEncoder:
