@@ -153,7 +153,8 @@ def test_bad_hosts_take_their_documents_down(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     res = con.execute(Q.ORACLE_SQL[name])
     cols = [d[0] for d in res.description]
     want = collections.Counter(map(str, res.fetchall()))
