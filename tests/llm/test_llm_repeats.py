@@ -65,6 +65,26 @@ def test_periodic_and_self_overlapping(spark):
     check(spark, docs, 400)
 
 
+def test_planted_passages_of_over_50_words(spark, tmp_dir):
+    """Each passage stands in three documents among words of their own: from 400 bytes on
+    it goes from all three, below that it stays. Documents without one are left alone."""
+    rng = random.Random(4)
+    words = lambda n, k: " ".join("".join(rng.choices("abcdefgh", k=k)) for _ in range(n))
+    passages = {51 * (k + 1) - 1: words(51, k) for k in (5, 6, 7, 8)}
+    passages |= {399: words(57, 6) + "i", 400: words(57, 6) + "ij"}
+    # Another space character around it in each document, so that nothing but the passage is common.
+    docs = [(10 * n + i, f"{words(40, 9)}{s}{p}{s}{words(40, 9)}", n) for n, p in passages.items() for i, s in enumerate(" \n\t")]
+    docs += [(9000 + i, words(130, 7), 0) for i in range(10)]
+    spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r["doc_id"]: r for r in Q.op5_suffix_dedup(spark, tmp_dir).collect()}
+    assert sorted(passages) == [305, 356, 399, 400, 407, 458] and len(got) == len(docs)
+    for i, text, n in docs:
+        kept = text.replace(passages[n], "") if n >= 400 else text
+        assert got[i]["n_bytes"] == len(text) and got[i]["n_removed"] == len(text) - len(kept)
+        assert got[i]["repeats"] == (n >= 400) and got[i]["n_spans"] == (n >= 400)
+        assert got[i]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
 def test_query(spark):
     docs = [(r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = {(i, n, gone, spans, hashlib.sha256(kept).hexdigest())
